@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup
+from vellum.llm import exact_dedup, simhash
 from vellum.llm.common import documents
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_exact_dedup": op5_exact_dedup}
+    return {"op4_simhash": op4_simhash, "op5_exact_dedup": op5_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
