@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, simhash
+from vellum.llm import exact_dedup, packing, sharding, simhash
 from vellum.llm.common import documents
 
 
+def op3_flow_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -18,8 +22,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_simhash": op4_simhash, "op5_exact_dedup": op5_exact_dedup}
+    return {
+        "op3_flow_sharding": op3_flow_sharding,
+        "op4_simhash": op4_simhash,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op10_slack_packing": op10_slack_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
