@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, packing, sharding, simhash
+from vellum.llm import exact_dedup, line_dedup, packing, sharding, simhash
 from vellum.llm.common import documents
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=True)
+
+
 def op3_flow_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
@@ -28,6 +32,7 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_line_dedup": op2_line_dedup,
         "op3_flow_sharding": op3_flow_sharding,
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
@@ -36,4 +41,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_line_dedup": line_dedup.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
