@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, line_dedup, packing, sharding, simhash
+from vellum.llm import exact_dedup, line_dedup, packing, sharding, simhash, toxicity
 from vellum.llm.common import documents
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), counts=True)
 
@@ -32,6 +36,7 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_line_dedup": op2_line_dedup,
         "op3_flow_sharding": op3_flow_sharding,
         "op4_simhash": op4_simhash,
