@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, line_dedup, packing, sharding, simhash, toxicity
+from vellum.llm import exact_dedup, line_dedup, packing, pii, sharding, simhash, toxicity
 from vellum.llm.common import documents
 
 
@@ -30,6 +30,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op6_char_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(documents(spark, sf_dir))
+
+
 def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -41,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_flow_sharding": op3_flow_sharding,
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_char_tagger": op6_char_tagger,
         "op10_slack_packing": op10_slack_packing,
     }
 
