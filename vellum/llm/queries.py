@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, line_dedup, packing, pii, sharding, simhash, toxicity
+from vellum.llm import exact_dedup, forest, line_dedup, packing, pii, sharding, simhash, toxicity
 from vellum.llm.common import documents
 
 
@@ -34,6 +34,10 @@ def op6_char_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op9_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_char_tagger": op6_char_tagger,
+        "op9_tree_forest": op9_tree_forest,
         "op10_slack_packing": op10_slack_packing,
     }
 
