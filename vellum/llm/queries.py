@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import exact_dedup, forest, line_dedup, packing, pii, sharding, simhash, toxicity
+from vellum.llm import edit_counts, exact_dedup, forest, line_dedup, packing, pieces, pii, sharding, simhash, toxicity
 from vellum.llm.common import documents
 
 
@@ -34,6 +34,14 @@ def op6_char_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(documents(spark, sf_dir))
 
 
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.recount(edit_counts.sample_edits(documents(spark, sf_dir)))
+
+
+def op8_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segment(documents(spark, sf_dir))
+
+
 def op9_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -50,6 +58,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_simhash": op4_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_char_tagger": op6_char_tagger,
+        "op7_edit_counts": op7_edit_counts,
+        "op8_sampled_pieces": op8_sampled_pieces,
         "op9_tree_forest": op9_tree_forest,
         "op10_slack_packing": op10_slack_packing,
     }
