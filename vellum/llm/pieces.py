@@ -29,6 +29,11 @@ from pyspark.sql import functions as F
 MEMO = 250_000
 #: Characters of text whose stretches are sampled together.
 GROUP = 4_000_000
+#: Stretches beyond so many characters are filtered on their own; others together, so many characters at once.
+LONG = 256
+DENSE = 150_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_NONE = np.iinfo(np.int32).min
 STRETCH = re.compile(r"\n| *[^ \n]+| +")
 _U64 = np.uint64
 
@@ -67,53 +72,137 @@ class Lattices:
                 self.bytes.append(b"")
         self.low = (len(rank) + 10.0) ** -power  # of each byte of a character without a piece
         self.longest = max(map(len, self.weight))
+        self.tables = {n: self._table(n) for n in range(1, self.longest + 1)}
         self.clear()
 
+    def _table(self, n: int) -> tuple[np.ndarray, ...]:
+        """(hashes, rising; code points; weights; ids) of the pieces of n characters."""
+        of = [(t, *w) for t, w in self.weight.items() if len(t) == n]
+        codes = _codes("".join(t for t, *_ in of)).reshape(-1, n)
+        hashes = np.zeros(len(of), dtype=_U64)
+        for k in range(n):
+            hashes = hashes * _BASE + codes[:, k].astype(_U64)
+        order = np.argsort(hashes)
+        return hashes[order], codes[order], np.array([w for _, w, _ in of])[order], np.array([i for *_, i in of], dtype=np.int32)[order]
+
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
         self.base, self.length, self.nodes = [], [], 0
-        self.keys, self.prev, self.piece = [], [], []
+        self.pending: list[str] = []
         self.done = [np.empty(0, np.float64), np.empty(0, np.int32), np.empty(0, np.int32)]
 
     def add(self, stretch: str) -> int:
-        n, weight, low = len(stretch), self.weight, self.low
+        k = self.ids[stretch] = len(self.base)
+        self.base.append(self.nodes)
+        self.length.append(len(stretch))
+        self.nodes += len(stretch) + 1
+        self.pending.append(stretch)
+        return k
+
+    def _unknown(self, c: str) -> tuple[float, int]:
+        """Weight and id of a character without a piece: its byte's, or minus one minus its code point for several."""
+        data = c.encode("utf-8", "surrogatepass")
+        return self.low ** len(data), self.byte_id[data[0]] if len(data) == 1 else -1 - ord(c)
+
+    def _filter_long(self, stretch: str, base: int) -> tuple[np.ndarray, ...]:
+        """(keys, previous positions, pieces) of one stretch, position by position."""
+        n, weight = len(stretch), self.weight
         alpha = [1.0] + [0.0] * n
-        base, keys, prev, piece = self.nodes, self.keys, self.prev, self.piece
+        keys, prev, piece = [], [], []
         for i in range(1, n + 1):
             total, edges = 0.0, []
             for j in range(max(0, i - self.longest), i):
                 if (w := weight.get(stretch[j:i])) is not None:
                     total += alpha[j] * w[0]
                     edges.append((total, j, w[1]))
-            if not edges or edges[-1][1] != i - 1:  # no piece for the character itself
-                c = stretch[i - 1]
-                data = c.encode("utf-8", "surrogatepass")
-                total += alpha[i - 1] * low ** len(data)
-                edges.append((total, i - 1, self.byte_id[data[0]] if len(data) == 1 else -1 - ord(c)))
-            for t, j, p in edges[:-1]:
-                keys.append(base + i - 1 + t / total)
-                prev.append(j)
-                piece.append(p)
-            keys.append(float(base + i))
-            prev.append(edges[-1][1])
-            piece.append(edges[-1][2])
+            if not edges or edges[-1][1] != i - 1:
+                w, p = self._unknown(stretch[i - 1])
+                total += alpha[i - 1] * w
+                edges.append((total, i - 1, p))
+            keys += [base + i - 1 + t / total for t, *_ in edges[:-1]] + [float(base + i)]
+            prev += [j for _, j, _ in edges]
+            piece += [p for *_, p in edges]
             alpha[i] = total
             if total < 1e-150:  # only ratios within reach of a piece matter
                 for j in range(max(0, i - self.longest), i + 1):
                     alpha[j] *= 1e150
-        k = self.ids[stretch] = len(self.base)
-        self.base.append(base)
-        self.length.append(n)
-        self.nodes = base + n + 1
-        return k
+        return np.array(keys, np.float64), np.array(prev, np.int32), np.array(piece, np.int32)
+
+    def _filter(self, stretches: list[str], base: int) -> tuple[np.ndarray, ...]:
+        """The same for many short stretches together, a position of all at a time."""
+        reach = self.longest
+        sizes = np.array([len(x) for x in stretches], dtype=np.int64)
+        codes = _codes("".join(stretches))
+        bottom = np.cumsum(sizes + 1) - sizes - 1  # node of position 0
+        depth = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1  # position after each character
+        node = np.repeat(bottom, sizes) + depth
+        total = int((sizes + 1).sum())
+        share, piece = np.zeros((total, reach)), np.full((total, reach), _NONE, dtype=np.int32)
+        rolled = np.zeros(len(codes), dtype=_U64)  # hash of the n characters up to each one
+        power = _U64(1)
+        for n in range(1, min(reach, int(sizes.max(initial=0))) + 1):
+            shifted = np.zeros(len(codes), dtype=_U64)
+            shifted[n - 1 :] = codes[: len(codes) - n + 1]
+            rolled = rolled + shifted * power
+            power = _U64(int(power) * int(_BASE) % 2**64)
+            hashes, spelt, weights, ids = self.tables[n]
+            if not len(hashes):
+                continue
+            ends = np.flatnonzero(depth >= n)
+            at = np.minimum(np.searchsorted(hashes, rolled[ends]), len(hashes) - 1)
+            hit = hashes[at] == rolled[ends]
+            ends, at = ends[hit], at[hit]
+            same = (codes[ends[:, None] + np.arange(1 - n, 1)] == spelt[at]).all(axis=1)
+            ends, at = ends[same], at[same]
+            share[node[ends], reach - n] = weights[at]
+            piece[node[ends], reach - n] = ids[at]
+        for e in np.flatnonzero(piece[node, reach - 1] == _NONE):
+            share[node[e], reach - 1], piece[node[e], reach - 1] = self._unknown(chr(codes[e]))
+        alpha = np.zeros(total)
+        alpha[bottom] = 1.0
+        back = np.arange(-reach, 0)
+        order = np.argsort(-sizes, kind="stable")
+        sorted_bottom, alive = bottom[order], np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
+        for i, many in enumerate(alive.tolist(), 1):
+            low = sorted_bottom[:many]
+            here = low + i
+            before = np.maximum(here[:, None] + back, low[:, None])
+            ways = np.cumsum(alpha[before] * share[here], axis=1)
+            whole = ways[:, -1]
+            share[here] = ways / whole[:, None]
+            alpha[here] = whole
+            if (tiny := np.flatnonzero(whole < 1e-150)).size:
+                alpha[before[tiny]] *= 1e150
+                alpha[here[tiny]] *= 1e150
+        where, column = np.nonzero(piece != _NONE)
+        keys = base + where - 1 + share[where, column]
+        last = np.append(where[1:] != where[:-1], True)[: len(where)]
+        keys[last] = base + where[last]
+        at_depth = np.zeros(total, dtype=np.int64)
+        at_depth[node] = depth
+        return keys, (at_depth[where] - (reach - column)).astype(np.int32), piece[where, column]
 
     def arrays(self) -> tuple[np.ndarray, ...]:
-        new = (np.array(self.keys, np.float64), np.array(self.prev, np.int32), np.array(self.piece, np.int32))
-        self.done = [np.concatenate([a, b]) for a, b in zip(self.done, new, strict=True)]
-        self.keys, self.prev, self.piece = [], [], []
+        first = len(self.base) - len(self.pending)
+        made, group, held = [self.done], [], 0
+        for k, x in enumerate([*self.pending, None]):
+            if group and (x is None or len(x) > LONG or held > DENSE):
+                made.append(self._filter(group, self.base[first + k - len(group)]))
+                group, held = [], 0
+            if x is not None and len(x) > LONG:
+                made.append(self._filter_long(x, self.base[first + k]))
+            elif x is not None:
+                group.append(x)
+                held += len(x)
+        self.pending = []
+        self.done = [np.concatenate(x) for x in zip(*made, strict=True)]
         return (*self.done, np.array(self.base, np.int64), np.array(self.length, np.int64))
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
 @lru_cache(maxsize=2)
 def lattices(path: str, power: float) -> Lattices:
     return Lattices(path, power)
