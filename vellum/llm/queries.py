@@ -50,6 +50,12 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sampled_pieces": op8_sampled_pieces,
         "op9_tree_forest": op9_tree_forest,
         "op10_slack_packing": op10_slack_packing,
+        "pipeline": pipeline,
     }
 
 
