@@ -60,10 +60,10 @@ def type_of(title: str, content: str) -> str:
         parts = [f"3 * contains({title}, {lit(k)})::INT" for k in titles] + [count(content, k) for k in keywords] + [f"2 * {regex_count(content, p)}" for p in patterns]
         scores.append(f"{{'s': {' + '.join(parts)}, 'n': {lit(name)}}}")
     best = f"list_reduce([{', '.join(scores)}], lambda a, b: CASE WHEN b.s > a.s THEN b ELSE a END)"
-    return f"(SELECT CASE WHEN x.s > 0 THEN x.n ELSE 'general' END FROM (SELECT {best} AS x))"
+    return f"(SELECT CASE WHEN _b.s > 0 THEN _b.n ELSE 'general' END FROM (SELECT {best} AS _b))"
 
 
 def topic_of(content: str) -> str:
     scores = [f"{{'s': {' + '.join(count(content, k) for k in ks)}, 'n': {lit(t)}}}" for t, ks in classify.TOPICS.items()]
     best = f"list_reduce([{', '.join(scores)}], lambda a, b: CASE WHEN b.s > a.s THEN b ELSE a END)"
-    return f"(SELECT CASE WHEN x.s > 0 THEN x.n ELSE 'gospel principles' END FROM (SELECT {best} AS x))"
+    return f"(SELECT CASE WHEN _b.s > 0 THEN _b.n ELSE 'gospel principles' END FROM (SELECT {best} AS _b))"
