@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-THEMES = ("chunking", "prompting")
+THEMES = ("chunking", "prompting", "reformatting")
 
 
 def _all(what: str) -> dict:
