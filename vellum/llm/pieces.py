@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Stretches that a worker remembers before it starts anew.
-MEMO = 250_000
+MEMO = 400_000
 #: Characters of text whose stretches are sampled together.
 GROUP = 4_000_000
 #: Stretches beyond so many characters are filtered on their own; others together, so many characters at once.
 LONG = 256
-DENSE = 150_000
+DENSE = 30_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.iinfo(np.int32).min
 STRETCH = re.compile(r"\n| *[^ \n]+| +")
@@ -90,6 +90,7 @@ class Lattices:
         self.base, self.length, self.nodes = [], [], 0
         self.pending: list[str] = []
         self.done = [np.empty(0, np.float64), np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.first = np.empty(0, np.int64)  # of each node: the first edge into it
 
     def add(self, stretch: str) -> int:
         k = self.ids[stretch] = len(self.base)
@@ -195,8 +196,11 @@ class Lattices:
                 group.append(x)
                 held += len(x)
         self.pending = []
+        new = np.concatenate([k for k, *_ in made[1:]] or [np.empty(0)])
+        nodes = np.arange(len(self.first), self.nodes)
+        self.first = np.concatenate([self.first, len(self.done[0]) + np.searchsorted(new, nodes - 1.0, side="right")])
         self.done = [np.concatenate(x) for x in zip(*made, strict=True)]
-        return (*self.done, np.array(self.base, np.int64), np.array(self.length, np.int64))
+        return (*self.done, self.first, np.array(self.base, np.int64), np.array(self.length, np.int64))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -223,7 +227,7 @@ def sample(model: Lattices, texts: list[str], seeds: list[int]) -> list[np.ndarr
     known, add = model.ids, model.add
     which = np.array([k if (k := known.get(s)) is not None else add(s) for part in owned for s in part], dtype=np.int64)
     counts = np.array([len(x) for x in owned], dtype=np.int64)
-    keys, prev, piece, base, length = model.arrays()
+    keys, prev, piece, entry, base, length = model.arrays()
     first = np.cumsum(counts) - counts
     nth = (np.arange(len(which)) - np.repeat(first, counts)).astype(np.uint64)
     state = _mix(np.repeat(np.array(seeds, dtype=np.uint64), counts) + nth * _U64(0x9E3779B97F4A7C15))
@@ -233,7 +237,12 @@ def sample(model: Lattices, texts: list[str], seeds: list[int]) -> list[np.ndarr
     step = 0
     while len(open_):
         u = (_mix(state[open_] + _U64((step + 1) * 0xD1342543DE82EF95 % 2**64)) >> _U64(11)).astype(np.float64) * 2.0**-53
-        edge = np.searchsorted(keys, (bottom[open_] + at[open_] - 1) + u, side="right")
+        node = bottom[open_] + at[open_]
+        edge, x = entry[node], node - 1 + u
+        behind = np.flatnonzero(keys[edge] <= x)
+        while len(behind):
+            edge[behind] += 1
+            behind = behind[keys[edge[behind]] <= x[behind]]
         steps.append((open_, piece[edge]))
         taken[open_] += 1
         at[open_] = prev[edge]
