@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-THEMES = ("chunking", "prompting", "reformatting")
+THEMES = ("chunking", "prompting", "reformatting", "metrics", "ingesting")
 
 
 def _all(what: str) -> dict:
