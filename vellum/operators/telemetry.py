@@ -112,14 +112,14 @@ def should_checkpoint(step: Column, every: int) -> Column:
 
 
 def progress(log: DataFrame, width: int = 30) -> DataFrame:
-    """Per row: done so far, failures, percent, mean seconds an item, seconds left, and a bar."""
+    """Per row: done so far, failures, percent, mean and remaining time in microseconds, and a bar."""
     upto = _by().rowsBetween(W.unboundedPreceding, 0)
-    total, t = F.count("*").over(W.partitionBy("run")), F.unix_micros(c("ts").cast("timestamp")) / 1e6
-    base = log.withColumns({"done": F.count("*").over(upto), "failed_so_far": F.sum(c("failed").cast("int")).over(upto), "_total": total, "elapsed": F.round(t - F.min(t).over(upto), 3)})
+    total, t = F.count("*").over(W.partitionBy("run")), F.unix_micros(c("ts").cast("timestamp"))
+    base = log.withColumns({"done": F.count("*").over(upto), "failed_so_far": F.sum(c("failed").cast("int")).over(upto), "_total": total, "_us": t - F.min(t).over(upto)})
     share = c("done") / c("_total")
     bar = F.floor(share * width).cast("int")
     return base.select(
-        "run", "ord", "done", "failed_so_far", F.round(share * 100, 4).alias("percent"), F.round(c("elapsed") / c("done"), 4).alias("mean_seconds"), F.round(c("elapsed") / c("done") * (c("_total") - c("done")), 3).alias("eta"),
+        "run", "ord", "done", "failed_so_far", F.round(share * 100, 4).alias("percent"), F.expr("_us div done").alias("mean_us"), F.expr("_us * (_total - done) div done").alias("eta_us"),
         F.concat(F.repeat(F.lit("█"), bar), F.repeat(F.lit("░"), width - bar)).alias("bar"),
     )
 

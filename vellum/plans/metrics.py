@@ -65,8 +65,8 @@ ORACLES = {
     "grad_accum": f"SELECT run, update, count(*) AS n, round(sum(loss / 16), 6) AS loss FROM (SELECT *, (ord + 15) // 16 AS update FROM ({_LOG})) GROUP BY run, update",
     "adaptive_accum": f"SELECT event_id, CASE WHEN loss / 100 > 0.8 THEN 8 ELSE 16 END AS steps, ord % 10 = 0 AS checkpoint FROM ({_LOG})",
     "checkpoint_retention": f"SELECT run, path, mtime, step::INT AS step, n <= 3 AS keep, n = 1 AS latest FROM (SELECT run, 'checkpoint_step_' || ord || '.pt' AS path, ts AS mtime, ord AS step, row_number() OVER (PARTITION BY run ORDER BY ts DESC, ord DESC) AS n FROM ({_LOG}) WHERE operation = 'purchase')",
-    "progress_eta": f"""SELECT run, ord::INT AS ord, done, failed_so_far, round(done / total * 100, 4) AS percent, round(elapsed / done, 4) AS mean_seconds, round(elapsed / done * (total - done), 3) AS eta, repeat('█', (done * 30 // total)::INT) || repeat('░', (30 - done * 30 // total)::INT) AS bar
-        FROM (SELECT run, ord, ord AS done, sum(failed::INT) OVER w AS failed_so_far, count(*) OVER (PARTITION BY run) AS total, round({_EPOCH} - min({_EPOCH}) OVER w, 3) AS elapsed FROM ({_LOG}) WINDOW w AS (PARTITION BY run ORDER BY ord))""",
+    "progress_eta": f"""SELECT run, ord::INT AS ord, done, failed_so_far, round(done / total * 100, 4) AS percent, us // done AS mean_us, us * (total - done) // done AS eta_us, repeat('█', (done * 30 // total)::INT) || repeat('░', (30 - done * 30 // total)::INT) AS bar
+        FROM (SELECT run, ord, ord AS done, (sum(failed::INT) OVER w)::BIGINT AS failed_so_far, count(*) OVER (PARTITION BY run) AS total, epoch_us(ts) - min(epoch_us(ts)) OVER w AS us FROM ({_LOG}) WINDOW w AS (PARTITION BY run ORDER BY ord))""",
     "rate_wait": f"SELECT run, ord::INT AS ord, round(coalesce(greatest(0, 3600 - ({_EPOCH} - lag({_EPOCH}) OVER (PARTITION BY run ORDER BY ord))), 0), 3) AS wait FROM ({_LOG})",
     "backoff": f"SELECT event_id, least(pow(2.0, ord % 9), 60.0) AS wait, CASE WHEN failed THEN CASE WHEN ord % 12 >= 10 THEN 'give_up' ELSE 'retry' END WHEN operation = 'view' THEN 'raise' ELSE 'done' END AS then FROM ({_LOG})".replace("AS then", 'AS "then"'),
     "duration_format": f"SELECT event_id, CASE WHEN x < 60 THEN x || '.0s' WHEN x < 3600 THEN (x // 60) || 'm ' || (x % 60) || 's' ELSE (x // 3600) || 'h ' || (x % 3600 // 60) || 'm' END AS took FROM (SELECT event_id, floor(loss * 40)::INT AS x FROM ({_LOG}))",
