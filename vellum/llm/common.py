@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,24 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function over Arrow batches that gives memory back when a task ends, as Python workers live on."""
+
+    @functools.wraps(fn)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not this C library
+                pass
+
+    return run
+
+
 class Scratch:
     """Tables written once to the shared folder, so that lineage ends there and a lost executor costs nothing.
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import tokens
+from vellum.llm.common import tidy
 
 LEAF = 64
 #: Characters that a match may depend on beyond its end.
@@ -182,6 +183,8 @@ def recount(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """
     path = tokenizer or tokens.default_path()
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(tokens.encoder(path).count)
         for b in batches:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import Scratch
+from vellum.llm.common import Scratch, tidy
 
 K = 10
 QUERY_EVERY = 100
@@ -179,12 +179,16 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
     asking = rows.where(f"vec_id % {every} = 0").join(classes.select("key", "v"), "v").select(F.col("vec_id").alias("query_id"), "key", "v")
     asking = scratch.write(asking, "asking")
 
+    @tidy
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             leaves = forest.leaves(_matrix(b["v"]).reshape(-1, dim))
             for t in range(leaves.shape[1]):
                 yield pa.RecordBatch.from_arrays([pa.array(leaves[:, t]), pa.array(np.ones(len(leaves), np.int32)), b["key"], b["v"], b["ids"]], names=["leaf", "kind", "key", "v", "ids"])
 
+    @tidy
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [forest.probes(q, enough) for q in _matrix(b["v"]).reshape(-1, dim)]
@@ -193,6 +197,8 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
             none = pa.nulls(n, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *map(np.array, found)]).astype(np.int64)), pa.array(np.zeros(n, np.int32)), b["key"].take(at), b["v"].take(at), none], names=["leaf", "kind", "key", "v", "ids"])
 
+    @tidy
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, leaf_now, keys, points_ = _Best(k + 1), None, [], []
         for b in batches:

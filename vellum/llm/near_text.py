@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import simhash
-from vellum.llm.common import Scratch, components
+from vellum.llm.common import Scratch, components, tidy
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -91,6 +91,8 @@ def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
     rng = np.random.default_rng(17)
     places = [np.sort(rng.choice(64, bits, replace=False)).astype(np.uint64) for _ in range(samples)]
 
+    @tidy
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch["a"].to_numpy().view(np.uint64)
@@ -100,6 +102,8 @@ def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
                     key = key << 1 | ((fps >> bit) & np.uint64(1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch["th"], batch["a"], batch["b"]], names=["gid", "th", "a", "b"])
 
+    @tidy
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.empty(0, np.int64) for _ in range(4)]
         for batch in batches:
@@ -140,6 +144,8 @@ def _met(gid: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray, bits: in
 def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFrame:
     """The pairs whose texts (`texts`: th, text) have that similarity."""
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [similarity(shingles(s.as_py(), k), shingles(t.as_py(), k)) >= least for s, t in zip(batch["s"], batch["t"], strict=True)]
@@ -154,6 +160,8 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
     """(th, root, keep): the hash of each distinct text, of its group, and the doc_id that stays for the group."""
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: dict[int, tuple[int, int]] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.llm import tokens
-from vellum.llm.common import Scratch
+from vellum.llm.common import Scratch, tidy
 
 CAPACITY = 1024
 END_ID = 2
@@ -41,6 +41,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document's ids followed by end_id."""
     path = tokenizer or tokens.default_path()
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(path)
         for batch in batches:
@@ -151,6 +153,8 @@ def place(items: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Dat
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long"
     kept = items.columns
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = slots[:, 0] << 48 | slots[:, 1]
         for batch in batches:

@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellum.llm.common import tidy
+
 #: Stretches that a worker remembers before it starts anew.
 MEMO = 400_000
 #: Characters of text whose stretches are sampled together.
@@ -279,6 +281,8 @@ def segment(docs: DataFrame, model: str | None = None, power: float = 1.0, seed:
     """
     path = model or default_path()
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattices(path, power)
         is_byte = np.zeros(len(lat.bytes), dtype=bool)

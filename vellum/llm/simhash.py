@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import Scratch, components
+from vellum.llm.common import Scratch, components, tidy
 
 SHINGLE = 3
 RADIUS = 3
@@ -55,6 +55,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) for every row; fp is the fingerprint as a signed long."""
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], dtype=np.uint64).view(np.int64)
@@ -216,6 +218,8 @@ def links(classes: DataFrame, radius: int = RADIUS, tile: int = TILE, hot: int =
     if radius > 3:
         raise ValueError("four blocks find pairs that differ in three bits at most")
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, fps = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
 

@@ -8,7 +8,7 @@ token's string, and files of another kind, go through `tokenizers` itself.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -28,9 +28,8 @@ def _byte_of_char() -> dict[str, int]:
 class Encoder:
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -40,6 +39,13 @@ class Encoder:
         in_order = all(vocab[m] == 256 + i for i, m in enumerate(merges))
         self.fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}) if in_order else None
 
+    @cached_property
+    def exact(self):
+        """The tokenizer itself, loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vellum.llm.common import Scratch
+from vellum.llm.common import Scratch, tidy
 
 #: Labelled rows that training takes at most: those with the smallest hashes of their ids.
 MAX_TRAIN = 20_000
@@ -39,7 +39,9 @@ PREFIXES = (5, 4)
 #: Expected number of equally good segments in a clean text up to which a segment is significant.
 SIGNIFICANT = 0.05
 #: Tokens whose scores a worker remembers before it starts anew.
-MEMO = 400_000
+MEMO = 200_000
+#: Counts that a task of the training holds before it hands them on.
+HELD = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -160,6 +162,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch, limit: i
     picked = own.withColumn("fold", fold).where("fold <> 0").orderBy(F.xxhash64("lid"), "lid").limit(limit)  # the bounded sample
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), F.col("doc_id") == F.col("lid"))
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sigs = pa.array([signature(t.as_py()) for t in b["text"]], pa.int64())
@@ -173,6 +177,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch, limit: i
 def _counts(train: DataFrame) -> dict[str, tuple[int, int]]:
     """Feature -> (toxic documents, other documents) that hold it, of the significant ones; "" has the totals."""
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
         for b in batches:
@@ -231,6 +237,7 @@ def train_model(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> M
 
 
 def _evidence(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list[float]] = [[], [], [], []]
@@ -250,6 +257,8 @@ def _calibrated(model: Model, train: DataFrame) -> Model:
     """Sets the score of all other tokens and the extreme-value parameters from the clean and toxic sample rows."""
     weights = model.weights
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, tokens = (Counter(), Counter()), [0, 0]
         memo = _Memo(weights)
@@ -302,6 +311,8 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFra
     """
     model = train_model(docs, labels, limit)
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].to_pylist()
@@ -322,6 +333,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> Da
     """The rows of `docs` that aren't predicted toxic, with all their columns; odd rows as in `score`."""
     model = train_model(docs, labels, limit)
 
+    @tidy
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array([model.score(t) < 0.5 for t in b["text"].to_pylist()], pa.bool_()))
