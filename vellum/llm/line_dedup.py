@@ -78,12 +78,12 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
     removals = _removals(_occurrences(_chunked(keyed, ["_id", "_th"])), scratch).withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
     # the text is shuffled; chunks are found again behind the join rather than shuffled beside it
-    whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
+    whole = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
     joined = whole.join(removals, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
     cut = _chunked(joined.select("_row", "removed", "text"), ["_row", "removed"])
     kept = "transform(array_except(sequence(0, size(_chunks) - 1), removed), j -> get(_chunks, j).body)"
     text = F.expr(f"if(removed is null, _row.text, array_join({kept}, '\n'))")
-    columns = [text.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
+    columns = [text.alias(n) if n == "text" else F.col(f"_row.`{n}`").alias(n) for n in docs.columns]
     if counts:
         columns += [F.expr("greatest(size(_chunks), 0)").alias("n_chunks"), F.expr("coalesce(size(removed), 0)").alias("n_removed")]
     return cut.select(*columns)

@@ -190,6 +190,6 @@ def drop_near_copies(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGL
     """
     scratch = Scratch(docs.sparkSession, "near")
     kept = groups(docs, scratch, least, k).where("th = keep_th").select(F.col("th").alias("_kth"), F.col("keep").alias("_kid"))
-    marked = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
+    marked = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
     stays = marked.join(kept, (F.col("_th") == F.col("_kth")) & F.col("_id").eqNullSafe(F.col("_kid")), "left_semi")
     return stays.select("_row.*")
