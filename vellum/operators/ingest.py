@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from vellum.functions import html
 
 c = F.col
+# fixed value: where index pages are
 BASE = "https://www.churchofjesuschrist.org"
 CONTENT_TYPES = ("general-conference", "liahona")
 
