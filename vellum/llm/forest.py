@@ -30,7 +30,7 @@ TREES = 8
 SAMPLE = 50_000
 LEAF = 512
 #: Share of the sample that a query's leaves hold together, over all trees and counted with repeats.
-BREADTH = 0.9
+BREADTH = 1.3
 #: Sample vectors that a query's leaves hold at least, in the same count.
 LEAST = 6000
 SALTS = 64
