@@ -56,22 +56,25 @@ def maximal_segments(scores: list[tuple[int, int, float]], rest: float) -> list[
 
     scores: (position, position after it, score > 0) in order; every position between them scores `rest` < 0.
     """
-    stack: list[tuple[int, int, float, float]] = []  # first, last, sum before it, sum up to it
+    # first, last, sum before it, sum up to it, and the nearest earlier entry with a smaller sum before it:
+    # by these links no entry is passed over twice, which keeps the scan linear
+    stack: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for start, stop, score in scores:
         before = total + (start - at) * rest
         total, at = before + score, stop
-        first, left, right = start, before, total
+        first, left = start, before
+        j = len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][2] >= left:
-                j -= 1
-            if j < 0 or stack[j][3] >= right:
+                j = stack[j][4]
+            if j < 0 or stack[j][3] >= total:
                 break
-            first, left = stack[j][0], stack[j][2]
-            del stack[j:]
-        stack.append((first, stop - 1, left, right))
-    return [(a, b, right - left) for a, b, left, right in stack]
+            merged = j
+            first, left, _, j = stack[merged][0], *stack[merged][2:]
+            del stack[merged:]
+        stack.append((first, stop - 1, left, total, j))
+    return [(a, b, right - left) for a, b, left, right, _ in stack]
 
 
 @dataclass
