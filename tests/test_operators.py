@@ -125,3 +125,49 @@ def test_files(spark, tmp_path):
 def test_config():
     made = config.merge(config.DEFAULTS, {"encoding": {"fixes": {"a": "b"}}, "quality": {"min_body_length": 5, "other": 1}})
     assert made["encoding"]["fixes"] == {"a": "b"} and made["quality"]["min_body_length"] == 5 and "other" not in made["quality"]
+
+
+LONG = "This is a substantial line of the talk that goes on for more than fifty characters."
+
+
+def test_clean_content(spark):
+    cut = lambda t: one(spark, talks.clean_content(c("t")), t=t)
+    assert cut("A clean text\nwith lines") == "A clean text\nwith lines"
+    assert cut("14:56Walking\nbody") == "Walking\nbody"
+    block = "General Conference April 2023 general conference Contents a lot of Title\nOctober 2023 general conference"
+    assert cut(f"x\n{block}\n\n\nThe Real Title\nbody") == "The Real Title\nbody"
+    assert cut("Authenticating...\njunk\n4:28Welcome to It\nbody") == "Welcome to It\nbody"
+    title = "A Title Long Enough"
+    lines = [title, "1990-1999 list", *[f"entry {i}" for i in range(10)], title, "body"]
+    assert cut("\n".join(lines)) == f"{title}\nbody"
+    assert cut("Authenticating...\nnothing more") == "Authenticating...\nnothing more"
+
+
+def test_reformat(spark):
+    from vellum.operators import reformat
+
+    body = "\n".join([LONG] * 7)
+    talk = f"Finding Peace\nBy Elder Joseph Q. Sample\nOf the Seventy\nApril 1995\n\n{body}\nNotes\n1. See  2 Nephi  3:4."
+    rows = [("general-conference/1995-04/a.txt", talk), ("x/saturday-morning-session.txt", talk), ("x/c.txt", "nothing"), ("x/contents.txt", talk)]
+    got = {r.path: r for r in reformat.reformat(spark.createDataFrame(rows, "path string, content string"), 2025).collect()}
+    good = got["general-conference/1995-04/a.txt"]
+    # the title stops the skipping of metadata, so it and what follows stay in the body
+    head = "Finding Peace\nBy Elder Joseph Q. Sample\nOf the Seventy\nApril 1995"
+    assert good.formatted == f"DATE: April 1995\nTITLE: Finding Peace\nAUTHOR: Elder Joseph Q. Sample\nAUTHOR TITLE: Of the Seventy\nBODY:\n{head}\n\n{body}\nNotes\n1. See  2 Nephi 3:4."
+    assert good.success and good.warnings == [] and good.output_path == "general-conference/1995-04/a_formatted.txt"
+    assert [got[p].message for p, _ in rows[1:]] == ["Skipped session_header content", "Skipped invalid content", "Skipped contents_page content"]
+    stats = {r.content_type: (r.processed, r.successful, r.skipped, r.warned) for r in reformat.stats(reformat.reformat(spark.createDataFrame(rows, "path string, content string"), 2025)).collect()}
+    assert stats["conference_talk"] == (1, 1, 0, 0) and stats["invalid"] == (1, 0, 1, 0)
+
+
+def test_output_validity(spark):
+    text = "TITLE: a\nAUTHOR: b\nBODY:\n" + "x" * 99
+    assert not one(spark, talks.valid_output(c("t"), F.lit("short_remarks")), t=text)
+    assert one(spark, talks.valid_output(c("t"), F.lit("short_remarks")), t=text + "x")
+    assert not one(spark, talks.valid_output(c("t"), F.lit("short_remarks")), t=text.replace("AUTHOR: b", "AUTHOR:") + "x")
+
+
+def test_recognition_faults(spark):
+    assert one(spark, quality.ocr_rate(c("t")), t="clean words only here") == 0
+    assert one(spark, quality.ocr_rate(c("t")), t="wo7ds and ABC now") == 0.5
+    assert one(spark, quality.quality_score(c("t")), t="wo7ds and ABC now") < one(spark, quality.quality_score(c("t")), t="Words and more now.")

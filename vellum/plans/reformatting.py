@@ -133,3 +133,19 @@ ORACLES = {
     "format_standard": rf"""SELECT doc_id, {_S(rf"regexp_replace(regexp_replace(regexp_replace(f, '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), '(?m)^BODY:\s*\n\s*', 'BODY:' || chr(10), 'g'), '\nNotes\s*\n\s*\n', chr(10) || 'Notes' || chr(10), 'g')")} AS formatted FROM (SELECT doc_id, coalesce('DATE: ' || date || chr(10), '') || 'TITLE: ' || coalesce(title, 'Unknown Title') || chr(10) || 'AUTHOR: ' || coalesce(author, 'Unknown Author') || coalesce(chr(10) || 'AUTHOR TITLE: ' || author_title, '') || chr(10) || 'BODY:' || chr(10) || content AS f FROM ({_ANALYZED}))""",
     "reformat_eligible": rf"SELECT doc_id, path FROM ({TALKS}) WHERE NOT regexp_matches(path, 'session\.txt$|sessionlangeng\.txt$') AND replace(path, '.txt', '_formatted.txt') NOT IN (SELECT replace(path, '.txt', '_formatted.txt') FROM ({TALKS}) WHERE doc_id % 5 = 0)",
 }
+
+
+def _named(x: str) -> str:
+    line = _S(x)
+    two = lambda p: f"CASE WHEN regexp_matches({line}, {_RX(p)}) THEN {_S(f'''regexp_extract({line}, {_RX(p)}, 1) || ' ' || regexp_extract({line}, {_RX(p)}, 2)''')} END"
+    return f"coalesce({two(talks.SPEAKERS[0])}, {two(talks.SPEAKERS[1])}, CASE WHEN regexp_matches({line}, {_RX(talks.SPEAKERS[2])}) THEN {_S(f'regexp_extract({line}, {_RX(talks.SPEAKERS[2])}, 1)')} END, '')"
+
+
+_OFFICE = "coalesce(" + ", ".join(f"nullif(regexp_extract({_S('x')}, {_RX(p)}, 1), '')" for p in talks.SPEAKER_TITLES) + ")"
+_SPEAKER = f"""SELECT doc_id, content, hit.a AS author, CASE WHEN hit IS NOT NULL THEN list_filter(list_transform(ls[hit.i:hit.i + 4], lambda x: {_OFFICE}), lambda x: x IS NOT NULL)[1] END AS author_title
+    FROM (SELECT doc_id, content, ls, list_filter(list_transform(ls[1:20], lambda x, i: {{'i': i, 'a': {_named('x')}}}), lambda h: h.a <> '')[1] AS hit FROM (SELECT doc_id, content, {_L} AS ls FROM ({TALKS})))"""
+_INFERRED = "CASE WHEN contains(author_title, 'Quorum of the Twelve Apostles') THEN 'Of the Quorum of the Twelve Apostles' WHEN contains(author_title, 'First Presidency') THEN 'Of the First Presidency' WHEN contains(author_title, 'Seventy') THEN 'Of the Seventy' WHEN contains(author_title, 'Presiding Bishopric') THEN 'Of the Presiding Bishopric' ELSE author_title END"
+ORACLES |= {
+    "metadata_extract": f"SELECT doc_id, {_TITLE} AS title, author, author_title FROM ({_SPEAKER})",
+    "metadata_infer": rf"SELECT doc_id, {_S(r'''regexp_replace(regexp_replace(author, '\s+(Elder|President|Bishop|Sister)\s+', ' ', 'g'), '\s+', ' ', 'g')''')} AS author, {_INFERRED} AS author_title FROM ({_SPEAKER})",
+}
