@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import quality
 from vellum.operators import curation, evaluation, vectors
-from vellum.tables import corpus, load
+from vellum.tables import corpus, load, spread
 
 c = F.col
 KEEP = ("vocab_overlap", "structure_similarity", "rhetorical_score", "ngram_similarity", "style_features", "overall_similarity")
@@ -14,7 +14,7 @@ KEEP = ("vocab_overlap", "structure_similarity", "rhetorical_score", "ngram_simi
 
 def _texts(s, d):
     lead = F.when(c("conv_id") % 3 == 0, "Brothers and sisters, I know that God will help. ").otherwise("")
-    return load(s, d, "conversations").select((c("conv_id") * 1000 + c("turn")).alias("id"), F.concat(F.lit("author "), (c("conv_id") % 4).cast("string")).alias("author"), F.concat(lead, c("text")).alias("text"), "role")
+    return spread(load(s, d, "conversations")).select((c("conv_id") * 1000 + c("turn")).alias("id"), F.concat(F.lit("author "), (c("conv_id") % 4).cast("string")).alias("author"), F.concat(lead, c("text")).alias("text"), "role")
 
 
 def _pair(s, d):

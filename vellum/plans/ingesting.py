@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from vellum.functions import html
 from vellum.operators import ingest
-from vellum.tables import load
+from vellum.tables import load, spread
 
 c = F.col
 
 
 def _pages(s, d):
-    return load(s, d, "pages")
+    return spread(load(s, d, "pages"))
 
 
 def _links(s, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import talks
 from vellum.operators import reformat
-from vellum.tables import load
+from vellum.tables import load, spread
 
 c = F.col
 YEAR = 2025
@@ -28,7 +28,7 @@ TALKS = f"SELECT doc_id, {_PATHS} AS path, {_CASES} AS content FROM (SELECT doc_
 
 def talk_view(s, d) -> DataFrame:
     # a view of the documents with the headers above
-    docs = load(s, d, "documents").select("doc_id", "text").withColumn("nl", F.lit("\n"))
+    docs = spread(load(s, d, "documents").select("doc_id", "text")).withColumn("nl", F.lit("\n"))
     return docs.select("doc_id", F.expr(_PATHS.replace("VARCHAR(20)", "STRING")).alias("path"), F.expr(_CASES).alias("content"))
 
 

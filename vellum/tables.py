@@ -13,9 +13,18 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` over all cores: a table whose files give fewer tasks than there are cores is dealt out first.
+
+    Larger tables, which have tasks enough, aren't shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """documents as (doc_id, content, author, title, date, source); three in four have an author with a profile."""
-    docs = load(spark, folder, "documents")
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text", "source"))
     author = F.expr("case doc_id % 4 when 0 then 'Russell M. Nelson' when 1 then 'Dieter F. Uchtdorf' when 2 then 'Jeffrey R. Holland' else source end")
     return docs.select("doc_id", F.col("text").alias("content"), author.alias("author"), F.substring_index("text", "\n", 1).alias("title"), F.lit("").alias("date"), "source")
 
