@@ -31,6 +31,7 @@ QUERIES = {
     "dedupe_links": lambda s, d: ingest.first_links(_links(s, d)),
     "distinct_links": lambda s, d: _links(s, d).groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_set("url")), "\n").alias("urls")),
     "link_counts": lambda s, d: ingest.counts(_dated(s, d)),
+    # the links of every third page have been fetched before
     "resume_antijoin": lambda s, d: ingest.remaining(_links(s, d), _links(s, d).where("page_id % 3 = 0").select(html.file_name(html.slug(c("url"))).alias("file_name")).distinct()),
     "counted_talks": lambda s, d: ingest.seeds(s, 2000, 2004).join(ingest.counts(_dated(s, d)).where("month is not null"), ["year", "month"], "left").select("year", "month", F.coalesce("n", F.lit(0)).alias("n")),
     "slug_clean": lambda s, d: _pages(s, d).select("page_id", html.slug(c("url")).alias("slug"), html.file_name(html.slug(c("url"))).alias("file_name")),

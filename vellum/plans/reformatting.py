@@ -40,7 +40,7 @@ QUERIES = {
     "encoding_fix": _one(talks.fix_encoding),
     "encoding_fix_scraper": _one(talks.fix_scraper_encoding),
     "encoding_issue_counts": _one(talks.issue_count, "issues"),
-    "encoding_issue_positions": lambda s, d: talk_view(s, d).where("doc_id % 8 = 4").select("doc_id", F.explode_outer(talks.issues(c("content"))).alias("x")).select("doc_id", c("x.position").alias("position"), c("x.original").alias("original"), c("x.suggested_fix").alias("suggested_fix"), c("x.confidence").alias("confidence")),
+    "encoding_issue_positions": lambda s, d: talk_view(s, d).select("doc_id", F.explode_outer(talks.issues(c("content"))).alias("x")).where("x is not null").select("doc_id", c("x.position").alias("position"), c("x.original").alias("original"), c("x.suggested_fix").alias("suggested_fix"), c("x.confidence").alias("confidence")),
     "timestamp_strip": lambda s, d: talk_view(s, d).select("doc_id", talks.strip_stamp(F.substring_index("content", "\n", 1)).alias("title")),
     "toc_clean": _one(talks.clean_toc),
     "normalize_ws": _one(talks.normalize_whitespace),
@@ -64,6 +64,7 @@ QUERIES = {
     "output_validate": lambda s, d: reformat.reformat(talk_view(s, d), YEAR).where("success").select("doc_id", talks.valid_output(c("formatted"), c("content_type")).alias("valid")),
     "reformat_e2e": lambda s, d: reformat.reformat(talk_view(s, d), YEAR).select("doc_id", "path", "content_type", "success", "message", F.array_join("warnings", "; ").alias("warnings"), "formatted", "output_path"),
     "reformat_stats": lambda s, d: reformat.stats(reformat.reformat(talk_view(s, d), YEAR)),
+    # every fifth talk has been formatted before
     "reformat_eligible": lambda s, d: reformat.eligible(talk_view(s, d).select("doc_id", "path"), talk_view(s, d).where("doc_id % 5 = 0").select(F.regexp_replace("path", r"\.txt$", "_formatted.txt").alias("path"))),
 }
 
@@ -108,7 +109,7 @@ ORACLES = {
     "encoding_fix": f"SELECT doc_id, {_chain('content', talks.ENCODING)} AS content FROM ({TALKS})",
     "encoding_fix_scraper": f"SELECT doc_id, {_chain('content', talks.SCRAPER_ENCODING)} AS content FROM ({TALKS})",
     "encoding_issue_counts": f"SELECT doc_id, {_ISSUE}::INT AS issues FROM ({TALKS})",
-    "encoding_issue_positions": f"""WITH t AS (SELECT doc_id, content, unnest(range(length(content))) AS i FROM ({TALKS}) WHERE doc_id % 8 = 4), p AS (SELECT * FROM (VALUES {', '.join(f"('{p}', {_RX(f)}, {x}::DOUBLE)" for p, f, x in talks.ISSUES)}) AS v(original, suggested_fix, confidence))
+    "encoding_issue_positions": f"""WITH t AS (SELECT doc_id, content, unnest(range(length(content))) AS i FROM ({TALKS})), p AS (SELECT * FROM (VALUES {', '.join(f"('{p}', {_RX(f)}, {x}::DOUBLE)" for p, f, x in talks.ISSUES)}) AS v(original, suggested_fix, confidence))
         SELECT doc_id, i::INT AS position, original, suggested_fix, confidence FROM t JOIN p ON substr(content, i + 1, length(original)) = original""",
     "timestamp_strip": rf"SELECT doc_id, CASE WHEN x = '' THEN l ELSE x END AS title FROM (SELECT doc_id, {_L}[1] AS l, {_S(f'''regexp_replace({_L}[1], '^[0-9]{{1,2}}:[0-9]{{2}}', '')''')} AS x FROM ({TALKS}))",
     "normalize_ws": rf"""SELECT doc_id, regexp_replace(array_to_string(list_transform(string_split(regexp_replace(content, '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), chr(10)), lambda x: rtrim(x)), chr(10)), '^\n+|\s+$', '', 'g') AS content FROM ({TALKS})""",
