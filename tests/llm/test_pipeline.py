@@ -48,6 +48,24 @@ def test_near_copies_against_all_pairs(spark):
     assert len(removed) >= 0.95 * len(removable) and len(removable) > 250
 
 
+def test_copies_near_to_their_source_only(spark):
+    import random
+
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 1001):
+        words = list(base)
+        for i in range(4):
+            words[20 + 45 * i + rng.randrange(35)] = f"c{k}x{i}"
+        rows.append((k, " ".join(words)))
+    sets = [near_text.shingles(t) for _, t in rows]
+    assert all(near_text.similarity(sets[0], x) >= 0.8 for x in sets)
+    assert sum(near_text.similarity(sets[k], sets[k + 1]) >= 0.8 for k in range(1, 1000)) < 50
+    got = {r.doc_id for r in near_text.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert 0 in got and len(got) <= 31  # a pair is found with a probability of 0.97
+
+
 def test_odd_rows_of_near_copies(spark):
     rows = [(1, None, 5), (2, "", 5), (3, "a b c d e f", 5), (3, "a b c d e f", 5), (4, "A b  c d e f", 6), (None, "q r s", 7), (None, "q r s", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, th int")

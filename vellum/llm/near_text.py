@@ -6,7 +6,11 @@ of equal sampled bits of the first, in as many samples as bring such pairs toget
 asked for; and in a group's tiles both fingerprints are compared bit-sliced, as in `simhash`. Of what is
 close, each tile hands on stars around leaders, which are no neighbours of each other, and not all pairs.
 The similarity of each pair handed on is then computed from the texts themselves, and components are formed
-of pairs that have it. Samples order their leaders differently, so a pair has many chances to be seen.
+of pairs that have it. Being close is looser than being similar, so a leader may strike off texts that it isn't
+similar to, and pairs among those. Hence a second pass over the same groups: texts that are close to one of
+another component come with the hashes of their shingles, and in a tile every close pair that no verified link
+joins yet is compared on them. What is found is verified as before and joins the components; a tile hands on
+no more than a forest.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vellum.llm import simhash
 from vellum.llm.common import Scratch, components, tidy
@@ -85,9 +90,9 @@ def _stars(texts: np.ndarray, a: np.ndarray, b: np.ndarray, salt: int, radius: i
             yield texts[others], np.full(len(others), texts[i])
 
 
-def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
-    """Pairs (u, v) of text hashes in `classes` (th, a, b) that may be as similar as that."""
-    bits, samples, radius = layout(n, least)
+def _dealt(classes: DataFrame, n: int, least: float) -> DataFrame:
+    """`classes` (th, a, b and more) once for each sample, with gid, the group of equal sampled bits; whole groups in order."""
+    bits, samples, _ = layout(n, least)
     rng = np.random.default_rng(17)
     places = [np.sort(rng.choice(64, bits, replace=False)).astype(np.uint64) for _ in range(samples)]
 
@@ -100,32 +105,46 @@ def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
                 key = np.full(len(fps), s, dtype=np.int64)
                 for bit in own:
                     key = key << 1 | ((fps >> bit) & np.uint64(1)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), batch["th"], batch["a"], batch["b"]], names=["gid", "th", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *batch.columns], names=["gid", *batch.schema.names])
+
+    dealt = classes.mapInArrow(deal, T.StructType([T.StructField("gid", T.LongType()), *classes.schema]))
+    return dealt.repartition("gid").sortWithinPartitions("gid", "th")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted rows, gid first, cut between groups."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        fresh = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, fresh, strict=True)] if held else fresh
+        if len(held[0]) and held[0][-1] != held[0][0]:
+            whole = int(np.searchsorted(held[0], held[0][-1]))
+            yield [x[:whole] for x in held]
+            held = [x[whole:].copy() for x in held]
+    if held and len(held[0]):
+        yield held
+
+
+def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
+    """Pairs (u, v) of text hashes in `classes` (th, a, b) that may be as similar as that."""
+    bits, _, radius = layout(n, least)
 
     @tidy
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64) for _ in range(4)]
-        for batch in batches:
-            held = [np.concatenate([x, batch[c].to_numpy()]) for x, c in zip(held, ("gid", "th", "a", "b"), strict=True)]
-            if len(held[0]) and held[0][-1] != held[0][0]:
-                whole = int(np.searchsorted(held[0], held[0][-1]))
-                yield from _met(*(x[:whole] for x in held), bits, radius)
-                held = [x[whole:].copy() for x in held]
-        yield from _met(*held, bits, radius)
-
-    dealt = classes.mapInArrow(deal, "gid long, th long, a long, b long").repartition("gid").sortWithinPartitions("gid", "th")
-    pairs = dealt.mapInArrow(meet, "u long, v long")
+        for gid, th, a, b in _whole_groups(batches):
+            yield from _met(gid, th, a, b, bits, radius)
+
+    pairs = _dealt(classes, n, least).mapInArrow(meet, "u long, v long")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _met(gid: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int, radius: int) -> Iterator[pa.RecordBatch]:
-    if not len(gid):
-        return
+def _tiles(gid: np.ndarray) -> list[np.ndarray]:
+    """Rows to be compared with each other; large groups tile by tile, small ones share a tile."""
     cuts = np.concatenate([[0], np.flatnonzero(gid[1:] != gid[:-1]) + 1, [len(gid)]])
     tiles, held = [], []
     for x, y in zip(cuts, cuts[1:], strict=False):
-        if y - x > TILE:  # tile by tile
+        if y - x > TILE:
             half = [np.arange(i, min(i + TILE // 2, y)) for i in range(x, y, TILE // 2)]
             tiles += [np.concatenate([p, q]) for i, p in enumerate(half) for q in half[i + 1 :]]
         elif y - x > 1:
@@ -135,12 +154,95 @@ def _met(gid: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray, bits: in
             held.append(np.arange(x, y))
     if held:
         tiles.append(np.concatenate(held))
-    for rows in tiles:
+    return tiles
+
+
+def _met(gid: np.ndarray, th: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int, radius: int) -> Iterator[pa.RecordBatch]:
+    for rows in _tiles(gid):
         salt = int(gid[rows[0]]) >> bits
         for u, v in _stars(th[rows], a[rows].view(np.uint64), b[rows].view(np.uint64), salt * 0x9E3779B97F4A7C15 % 2**64, radius):
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
+def _close(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
+    close = simhash.near(a.view(np.uint64), radius)
+    return close & simhash.near(b.view(np.uint64), radius) if close.any() else close
+
+
+def _links(sets: list[np.ndarray], close: np.ndarray, label: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+    """Close pairs of similar sets (numbers below the sum of their sizes) of different labels; a link makes labels equal before the next text."""
+    sizes = np.array([len(x) for x in sets])
+    seen = np.zeros(int(sizes.sum()) + 1, dtype=bool)
+    for i in np.flatnonzero(close.any(axis=1)):
+        small, large = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+        others = np.flatnonzero(close[i] & (label != label[i]) & (small >= least * large))
+        others = others[others > i]
+        if not len(others):
+            continue
+        seen[sets[i]] = True
+        ends = np.cumsum(sizes[others])
+        counted = np.concatenate([[0], np.cumsum(seen[np.concatenate([sets[j] for j in others])])])
+        common = counted[ends] - counted[ends - sizes[others]]
+        seen[sets[i]] = False
+        # similarity() divides the same integers, so both agree at the limit
+        every = sizes[i] + sizes[others] - common
+        for j in others[(every == 0) | (common / np.maximum(every, 1) >= least)]:
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                yield int(i), int(j)
+
+
+def missed(classes: DataFrame, texts: DataFrame, n: int, least: float, k: int) -> DataFrame:
+    """Pairs (u, v) of `classes` (th, a, b, root) that join different roots: all similar ones but those that others of them join.
+
+    `texts` (th, text) has the text of each class, `n` is what `candidates` was called with.
+    """
+    radius = layout(n, least)[2]
+
+    @tidy
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gid, th, a, b, root in _whole_groups(batches):
+            some = np.zeros(len(gid), dtype=bool)
+            for rows in _tiles(gid):
+                g, r = gid[rows], root[rows]
+                if (r != r[0]).any():
+                    some[rows] |= (_close(a[rows], b[rows], radius) & (g[:, None] == g) & (r[:, None] != r)).any(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (gid, th, a, b, root)], names=["gid", "th", "a", "b", "root"])
+
+    @tidy
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.array([xxhash.xxh64_intdigest(x) for x in shingles(t.as_py(), k)], dtype=np.uint64)).tobytes() for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["th"], pa.array(sets, pa.binary())], names=["th", "hashes"])
+
+    @tidy
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for gid, th, a, b, root, hashes in _whole_groups(batches):
+            label = root.copy()
+            for rows in _tiles(gid):
+                mine = label[rows]
+                if (mine == mine[0]).all():
+                    continue
+                raw = [np.frombuffer(hashes[i], dtype=np.uint64) for i in rows]
+                numbers = np.unique(np.concatenate(raw), return_inverse=True)[1]
+                sets = np.split(numbers, np.cumsum([len(x) for x in raw])[:-1])
+                found = list(_links(sets, _close(a[rows], b[rows], radius), mine, least))
+                if found:
+                    for i, j in found:
+                        label[label == label[rows[j]]] = label[rows[i]]
+                    u, v = (np.array(x) for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(th[rows[u]]), pa.array(th[rows[v]])], names=["u", "v"])
+
+    where = _dealt(classes.select("th", "a", "b", "root"), n, least).mapInArrow(apart, "gid long, th long, a long, b long, root long")
+    sets = texts.select("th", "text").mapInArrow(hashed, "th long, hashes binary")
+    full = where.join(sets, "th").select("gid", "th", "a", "b", "root", "hashes")
+    pairs = full.repartition("gid").sortWithinPartitions("gid", "th").mapInArrow(compare, "u long, v long")
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFrame:
     """The pairs whose texts (`texts`: th, text) have that similarity."""
 
@@ -173,9 +275,16 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
 
     prints = hashed.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, a long, b long")
     classes = scratch.write(prints.groupBy("th").agg(F.min("doc_id").alias("least"), F.min("a").alias("a"), F.min("b").alias("b")), "classes")
-    pairs = scratch.write(candidates(classes.select("th", "a", "b"), classes.count(), least), "pairs")
+    n = classes.count()
+    pairs = scratch.write(candidates(classes.select("th", "a", "b"), n, least), "pairs")
     texts = hashed.select("th", "text").join(pairs.select(F.explode(F.array("u", "v")).alias("th")).distinct(), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
-    roots = components(verified(pairs, scratch.write(texts, "texts"), least, k), scratch)
+    texts = scratch.write(texts, "texts")
+    links = scratch.write(verified(pairs, texts, least, k), "links")
+    roots = scratch.write(components(links, scratch), "roots")
+    met = texts.select("th").join(classes, "th").join(roots, F.col("th") == F.col("node"), "left").select("th", "a", "b", F.coalesce("root", "th").alias("root"))
+    more = scratch.write(missed(met, texts, n, least, k), "more")
+    if not more.isEmpty():
+        roots = components(links.unionByName(verified(more, texts, least, k)), scratch)
     rooted = classes.join(roots, classes.th == roots.node, "left").select("th", "least", F.coalesce("root", "th").alias("root"))
     keep = rooted.groupBy("root").agg(F.min("least").alias("keep"), F.min(F.struct(F.col("least").isNull(), "least", "th")).alias("top"))
     return rooted.join(keep, "root").select("th", "root", "keep", F.col("top.th").alias("keep_th"))
