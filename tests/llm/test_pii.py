@@ -70,6 +70,29 @@ def test_tagger_on_new_text():
     assert pii.masked("ring (555) 123-4567 or a.b@c.org", every) == "ring <PHONE> or <EMAIL>"
 
 
+def test_spelt_out_at_signs():
+    names = ("jane.doe", "john_smith", "maria.garcia87", "kim", "bob.miller", "info", "support99", "hugo")
+    hosts = ("example.com", "mail.org", "company.net", "widgets.io", "web24.edu")
+    carriers = ("please write to {} for more", "the address {} works", "ask {}, or come by")
+    for at in (" (at) ", " [at] ", "(at)", "[at]", " at "):
+        texts = [(c.format(n + at + h), c.format("<EMAIL>")) for n in names for h in hosts for c in carriers]
+        found = sum(pii.masked(t, spans) == want for (t, want), (_, spans) in zip(texts, pii.all_spans([t for t, _ in texts], pii.tagger()), strict=True))
+        assert found >= 0.7 * len(texts), (at, found, len(texts))
+    assert pii.all_spans(["They arrived at noon. Then we looked at them. All was well."], pii.tagger())[0][1] == []
+
+
+def test_regions_hold_all_trained_forms():
+    writer = pii.Writer(77)
+    kinds = set()
+    for _ in range(4000):
+        kind, part = writer.private()
+        if pii.admissible(kind, part):
+            kinds.add(kind)
+            text = "so " * 30 + part + " so" * 30
+            assert any(a <= 90 and 90 + len(part) <= b for a, b in pii.regions(text)), part
+    assert kinds == set(pii.KINDS)
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

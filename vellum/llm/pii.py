@@ -1,7 +1,7 @@
 """Personal data: exact patterns, and a character-level BiLSTM-CRF for what is written otherwise.
 
 The patterns give the base spans. Around everything that may hold personal data (an at sign, a run of
-digits and separators, a spelt-out dot) a region is read by the tagger: overlapping windows of fixed
+digits and separators, a spelt-out dot or at sign) a region is read by the tagger: overlapping windows of fixed
 length are scored together, each character's scores are averaged over the windows that cover it, weighted
 towards their middles, and one Viterbi pass over the whole region decides, so that windows can't disagree.
 Decoded spans that satisfy their kind's own rules and touch no match of a pattern are added.
@@ -42,7 +42,7 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TRIGGER = re.compile(r"@|[0-9](?:[\x20()\[\]./-]{0,3}[0-9]){6,}|[0-9]{1,3}(?:[\x20()\[\]]{0,2}\.[\x20()\[\]]{0,2}[0-9]{1,3}){3}|\bdot\b")
+TRIGGER = re.compile(r"@|[0-9](?:[\x20()\[\]./-]{0,3}[0-9]){6,}|[0-9]{1,3}(?:[\x20()\[\]]{0,2}\.[\x20()\[\]]{0,2}[0-9]{1,3}){3}|\bdot\b|[(\[]at[)\]]|\sat\s\s?[A-Za-z0-9-]+\s?\.\s?[A-Za-z0-9-]")
 
 
 def luhn(digits: str) -> bool:
@@ -126,7 +126,7 @@ class Writer:
         return "".join(map(str, self.rng.integers(0, 10, n)))
 
     def word(self) -> str:
-        w = "".join(self.pick("an", "er", "th", "on", "re", "in", "ou", "st", "ti", "ch", "le", "qu", "é", "ü", "o", "s") for _ in range(int(self.rng.integers(1, 5))))
+        w = "".join(self.pick("an", "er", "th", "on", "re", "in", "ou", "st", "ti", "ch", "le", "qu", "é", "ü", "o", "s", "ja", "de", "ma", "bo", "ki", "pe", "vi", "wa", "zu", "fo", "gy", "mp", "x", "l", "d") for _ in range(int(self.rng.integers(1, 5))))
         return w.capitalize() if self.rng.random() < 0.15 else w
 
     def plain(self) -> str:
@@ -136,7 +136,7 @@ class Writer:
         n = lambda a, b: self.digits(int(self.rng.integers(a, b)))
         return self.pick(
             f"20{n(2, 3)}-{n(2, 3)}-{n(2, 3)}", f"{n(1, 3)}/{n(1, 3)}/20{n(2, 3)}", f"v{n(1, 2)}.{n(1, 3)}.{n(1, 3)}", f"{n(1, 4)}.{n(2, 3)}", f"{n(1, 7)}", f"${n(1, 4)},{n(3, 4)}",
-            f'"{n(3, 9)}ab{n(2, 9)}f{n(3, 9)}"', f"{n(20, 26)}", f"{n(7, 10)}", f"{n(1, 3)}.{n(1, 3)}.", f"p. {n(1, 4)}-{n(1, 4)}", f"@{self.word()}", "dot", "at", f"{n(2, 3)}:{n(2, 3)}:{n(2, 3)}", f"#{n(5, 9)}",
+            f'"{n(3, 9)}ab{n(2, 9)}f{n(3, 9)}"', f"{n(20, 26)}", f"{n(7, 10)}", f"{n(1, 3)}.{n(1, 3)}.", f"p. {n(1, 4)}-{n(1, 4)}", f"@{self.word()}", "dot", "at", f"at {self.word()}. {self.word().capitalize()}", f"at {self.word()}. {self.word()}", f"{n(2, 3)}:{n(2, 3)}:{n(2, 3)}", f"#{n(5, 9)}",
         )
 
     def private(self) -> tuple[str, str]:
@@ -145,7 +145,7 @@ class Writer:
         if kind == "email":
             name = self.pick("", f"{self.word()}.", f"{self.word()}_") + self.word() + self.pick("", d(2))
             host, end = self.word() + self.pick("", d(1)), self.pick("com", "org", "net", "example", "edu", "io")
-            at, dot = self.pick("@ .", "@ .", " at | dot ", " (at) | (dot) ", " [at] | [dot] ", " @ | . ", "(at)|(dot)").replace("@ .", "@|.").split("|")
+            at, dot = self.pick("@ .", "@ .", " at | dot ", " (at) | (dot) ", " [at] | [dot] ", " @ | . ", "(at)|(dot)", " at |.", " (at) |.", " [at] |.", "(at)|.", "[at]|.").replace("@ .", "@|.").split("|")
             return kind, f"{name}{at}{host}{dot}{end}"
         if kind == "ip":
             sep = self.pick(".", ".", "[.]", " . ", "(.)")
