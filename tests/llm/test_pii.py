@@ -93,6 +93,18 @@ def test_regions_hold_all_trained_forms():
     assert kinds == set(pii.KINDS)
 
 
+def test_regions_hold_long_addresses():
+    local = ("maximiliana.featherstone-haugh", "a" * 300, "x1234567." + "long-name." * 9 + "end")
+    for name in local:
+        for host in ("research-department dot example dot com", "many (dot) parts (dot) " * 12 + "org", "mail.example.com"):
+            part = f"{name} (at) {host}"
+            text = "so " * 40 + part + " so" * 40
+            assert pii.admissible("email", part)
+            assert any(a <= 120 and 120 + len(part) <= b for a, b in pii.regions(text)), part
+    text = "ask maximiliana.featherstone-haugh (at) research-department dot example dot com today"
+    assert "maximiliana" not in pii.masked(text, pii.all_spans([text], pii.tagger())[0][1])
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

@@ -44,6 +44,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TRIGGER = re.compile(r"@|[0-9](?:[\x20()\[\]./-]{0,3}[0-9]){6,}|[0-9]{1,3}(?:[\x20()\[\]]{0,2}\.[\x20()\[\]]{0,2}[0-9]{1,3}){3}|\bdot\b|[(\[]at[)\]]|\sat\s\s?[A-Za-z0-9-]+\s?\.\s?[A-Za-z0-9-]")
 
+_JOINED = r"\s?(?:@|[(\[](?:at|dot)[)\]]|\s(?:at|dot)\s)\s?|\s?\.\s?"
+SEPARATOR_END = re.compile(rf"(?:{_JOINED})\Z")
+RUN = re.compile(rf"(?:[A-Za-z0-9._%+-]+|{_JOINED})*+")
+
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -181,15 +185,38 @@ def tagger(seed: int = 11, examples: int = 1500, rounds: int = 320, hidden: int
     return bilstm.train(p, ids, tags, rounds, 48, 0.02, seed)
 
 
+def _address(text: str, a: int, b: int, done: int) -> tuple[int, int]:
+    """[a, b) grown over the run of address characters and spelt-out separators around it; to the left not beyond `done`."""
+    for _ in range(3):  # what a separator has beside its word
+        a -= a > done and (text[a - 1].isspace() or text[a - 1] in "([")
+        b += b < len(text) and (text[b].isspace() or text[b] in ")]")
+    while a > done:
+        at = a
+        while a > done and LOCAL_END.match(text[a - 1]):
+            a -= 1
+        if m := SEPARATOR_END.search(text, max(done, a - 8), a):
+            a = m.start()
+        if a == at:
+            break
+    return a, RUN.match(text, b).end()
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """What the tagger reads: stretches around triggers, merged where they overlap."""
+    """What the tagger reads: stretches around triggers, whole addresses at least, merged where they overlap."""
     out: list[list[int]] = []
+    done = 0
     for m in TRIGGER.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
+        a, b = m.span()
+        if not DIGIT.match(text[a]):
+            if b <= done:  # within an address that is read
+                continue
+            a, b = _address(text, a, b, done)
+            done = b
+        a, b = max(0, a - MARGIN), min(len(text), b + MARGIN)
+        while out and a <= out[-1][1]:
+            x, y = out.pop()
+            a, b = min(a, x), max(b, y)
+        out.append([a, b])
     return [(a, b) for a, b in out]
 
 
