@@ -23,7 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(line_dedup.dedup_lines(docs))
+    rest = Scratch(spark, "runs").write(line_dedup.drop_repeated_runs(docs), "rest")
+    return _counted(line_dedup.dedup_lines(rest))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

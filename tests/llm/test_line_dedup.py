@@ -66,3 +66,20 @@ def test_odd_rows_and_clashing_hashes(spark, monkeypatch):
 def test_repeated_rows_are_one_document(spark):
     docs = spark.createDataFrame([(1, "a\nb"), (1, "a\nb"), (2, "a\nb")], "doc_id long, text string")
     assert sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs).collect()) == [(1, "a\nb"), (1, "a\nb"), (2, "")]
+
+
+def test_short_shared_runs(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"word{k}" for k in range(60))
+    runs = [[f"run {n} line {k} of {n}" for k in range(n)] for n in (2, 3, 4, 5)] + [[long]]
+    rows = [(i, "\n".join(x for n, run in enumerate(runs) for x in (f"own {i} {n} a", f"own {i} {n} b", *run)) + f"\nend {i}\nonce {i}\n\nshared line") for i in range(6)]
+    rows += [(6, None), (7, ""), (8, "shared line"), (None, "odd 1\n\nodd 2"), (None, "odd 1\n\nodd 2"), (9, "odd 1\nodd 2\nodd 3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.drop_repeated_lines(spark, docs, None).collect()
+    got = {r.doc_id: r.text for r in out}
+    assert len(out) == len(rows) and got[0] == rows[0][1]
+    for i in range(1, 6):
+        own = "\n".join(x for n in range(5) for x in (f"own {i} {n} a", f"own {i} {n} b"))
+        assert got[i] == f"{own}\nend {i}\nonce {i}\n\nshared line"
+    assert got[6] is None and got[7] == "" and got[8] == "shared line" and got[None] == "odd 1\n\nodd 2" and got[9] == "odd 3"

@@ -20,6 +20,8 @@ from vellum.llm.common import Scratch
 
 #: Chunk hashes shared by different contents are looked up by broadcast up to so many.
 BROADCAST_HASHES = 100_000
+#: Words from which a single line counts as a passage in `drop_repeated_runs`.
+LONG_LINE = 50
 
 _LINE_HASH = "cast(conv(substring(md5(l), 1, 15), 16, 10) as bigint)"
 _ROTATED = "shiftleft(coalesce(get(lh, i - 1), 0L) & 576460752303423487L, 1) | shiftrightunsigned(coalesce(get(lh, i - 1), 0L), 59)"
@@ -89,6 +91,40 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     return cut.select(*columns)
 
 
+def _units(docs: DataFrame) -> DataFrame:
+    """(_id, _th, pos, last, h): two lines in a row, blank ones between them left out, and single long lines; h is a digest of 128 bits."""
+    lined = docs.withColumn("_lines", F.expr(r"split(text, '\n', -1)"))
+    told = lined.withColumn("_at", F.expr(r"filter(sequence(0, size(_lines) - 1), i -> trim(get(_lines, i)) <> '')"))
+    pairs = r"""if(size(_at) < 2, array(), transform(sequence(0, size(_at) - 2), j -> named_struct('pos', get(_at, j), 'last', get(_at, j + 1),
+        'h', unhex(md5(concat(get(_lines, get(_at, j)), '\n', get(_lines, get(_at, j + 1))))))))"""
+    words = r"size(split(trim(get(_lines, i)), '\\s+'))"
+    longs = f"transform(filter(_at, i -> length(get(_lines, i)) >= {2 * LONG_LINE - 1} and {words} >= {LONG_LINE}), i -> named_struct('pos', i, 'last', i, 'h', unhex(md5(get(_lines, i)))))"
+    rows = told.where("text is not null").select("_id", "_th", F.explode_outer(F.expr(f"concat({pairs}, {longs})")).alias("u"))
+    return rows.where("u is not null").select("_id", "_th", "u.pos", "u.last", "u.h")
+
+
+def drop_repeated_runs(docs: DataFrame) -> DataFrame:
+    """`docs` without the lines that chunks miss: runs of two lines or more, and single lines of LONG_LINE words, that occurred before.
+
+    Every two lines in a row that occur more than once stay at their first occurrence (in the order of
+    `dedup_lines`) and go from all others, whatever stands beside them. The first occurrence of a line never
+    goes, as no pair that holds it can have occurred before. Other rows and columns are as in `dedup_lines`.
+    """
+    scratch = Scratch(docs.sparkSession, "runs")
+    place = F.struct("_id", "_th", "pos")
+    units = _units(docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text"))
+    repeated = scratch.write(units.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"), "repeated")
+    later = units.join(repeated, "h").where(~place.eqNullSafe(F.col("first")))
+    removals = later.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set(F.struct("pos", "last")).alias("spans"))
+    removals = removals.select("_rid", "_rth", F.expr("array_distinct(flatten(transform(spans, s -> sequence(s.pos, s.last))))").alias("removed"))
+    whole = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    joined = whole.join(removals, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
+    cut = joined.withColumn("_lines", F.expr(r"split(_row.text, '\n', -1)"))
+    kept = "transform(array_except(sequence(0, size(_lines) - 1), removed), i -> get(_lines, i))"
+    text = F.expr(rf"if(removed is null, _row.text, array_join({kept}, '\n'))")
+    return cut.select(*[text.alias(n) if n == "text" else F.col(f"_row.`{n}`").alias(n) for n in docs.columns])
+
+
 ORACLE = """
 WITH l AS (
     SELECT doc_id, i, line, len(ls) AS n, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h
