@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from vellum.llm import pieces
@@ -34,6 +35,32 @@ def test_samples_follow_the_weights():
             assert abs(got[way] / n - p) < 5 * (p * (1 - p) / n) ** 0.5 + 1e-3, (text, way)
 
 
+def test_filters_agree_whatever_is_held(monkeypatch):
+    lat = pieces.Lattices(pieces.default_path(), 1.0)
+    texts = ["then", " ableness", "  日xé", "a▁b😀", "0123456789012345"]
+    many, *rest = lat._filter(sorted(texts, key=len, reverse=True))
+    alone = [lat._filter_long(x) for x in sorted(texts, key=len, reverse=True)]
+    assert many.tolist() == [n for m, *_ in alone for n in m.tolist()]
+    for k, held in enumerate(rest):
+        assert held.tolist() == [v for x in alone for v in x[k + 1].tolist()]
+    rng = random.Random(3)
+    letters = "etaoinshrdlu"
+    rows = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 14))) for _ in range(400)) for _ in range(30)]
+    seeds = list(range(30))
+    first = [x.tolist() for x in pieces.sample(pieces.Lattices(pieces.default_path(), 1.0), rows, seeds)]
+    full = pieces.Lattices(pieces.default_path(), 1.0)
+    full.add({f"{a}{b}{i}" for i in range(400_000) for a in "x" for b in "qz"})
+    assert full.nodes > 5_000_000
+    monkeypatch.setattr(pieces, "MEMO", 10**9)
+    assert [x.tolist() for x in pieces.sample(full, rows, seeds)] == first
+    monkeypatch.setattr(pieces, "MEMO", 10_000)
+    once = pieces.Lattices(pieces.default_path(), 1.0)
+    assert [pieces.sample(once, [r], [k])[0].tolist() for r, k in zip(reversed(rows), reversed(seeds), strict=True)] == first[::-1]
+    pieces.sample(once, ["y" * (pieces.MEMO + 1)], [1])
+    pieces.sample(once, ["b"], [1])
+    assert once.nodes < 10  # what is held is bounded in characters
+
+
 def test_documents_are_lossless_and_reproducible(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     first = {r.doc_id: r for r in pieces.segment(docs, with_ids=True).collect()}

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +28,14 @@ from pyspark.sql import functions as F
 
 from vellum.llm.common import tidy
 
-#: Stretches that a worker remembers before it starts anew.
-MEMO = 400_000
+#: Characters of stretches that a worker remembers before it starts anew.
+MEMO = 3_000_000
 #: Characters of text whose stretches are sampled together.
-GROUP = 4_000_000
-#: Stretches beyond so many characters are filtered on their own; others together, so many characters at once.
-LONG = 256
-DENSE = 30_000
+GROUP = 2_000_000
+#: Stretches beyond so many characters (of ASCII, of any) are filtered on their own; others together, so many characters at once.
+LONG, SHORT = 32, 16
+DENSE = 60_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_NONE = np.iinfo(np.int32).min
 STRETCH = re.compile(r"\n| *[^ \n]+| +")
 _U64 = np.uint64
 
@@ -47,8 +47,9 @@ def default_path() -> str:
 class Lattices:
     """Filtered lattices of stretches, kept in flat arrays that sampling searches.
 
-    An edge into position i of a stretch based at b has the key b + i + (cumulated share - 1), so that keys
-    rise through all stretches, and a draw u at node b + i picks the first key above b + i - 1 + u.
+    Each position of a stretch is a node. The edges into a node lie side by side, longest piece first, with
+    their cumulated shares of the node's weight, the last of which is one: a draw u picks the first edge
+    whose share is above u. Shares depend on the stretch alone, not on what else is held.
     """
 
     def __init__(self, path: str, power: float):
@@ -74,135 +75,215 @@ class Lattices:
                 self.bytes.append(b"")
         self.low = (len(rank) + 10.0) ** -power  # of each byte of a character without a piece
         self.longest = max(map(len, self.weight))
-        self.tables = {n: self._table(n) for n in range(1, self.longest + 1)}
+        self.spelling = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
+        self.spelt = np.array([len(x) for x in self.bytes], dtype=np.int64)
+        self.spelt_at = np.cumsum(self.spelt) - self.spelt
+        self._plant()
         self.clear()
 
-    def _table(self, n: int) -> tuple[np.ndarray, ...]:
-        """(hashes, rising; code points; weights; ids) of the pieces of n characters."""
-        of = [(t, *w) for t, w in self.weight.items() if len(t) == n]
-        codes = _codes("".join(t for t, *_ in of)).reshape(-1, n)
-        hashes = np.zeros(len(of), dtype=_U64)
-        for k in range(n):
-            hashes = hashes * _BASE + codes[:, k].astype(_U64)
-        order = np.argsort(hashes)
-        return hashes[order], codes[order], np.array([w for _, w, _ in of])[order], np.array([i for *_, i in of], dtype=np.int32)[order]
+    def _plant(self) -> None:
+        """The trie of the pieces: a state per prefix, and a hash table from (state, character) to the next state."""
+        chars = sorted(set("".join(self.weight)))
+        self.char = np.zeros(0x110000, dtype=np.int32)  # of each code point; 0: in no piece
+        self.char[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.kinds = len(chars) + 1
+        number = {c: i for i, c in enumerate(chars, 1)}
+        states, edges = {"": 0}, {}
+        for text in self.weight:
+            for n in range(1, len(text) + 1):
+                if text[:n] not in states:
+                    edges[states[text[: n - 1]] * self.kinds + number[text[n - 1]]] = states[text[:n]] = len(states)
+        self.piece_of, self.weight_of = np.full(len(states), -1, dtype=np.int32), np.zeros(len(states))
+        for text, (w, i) in self.weight.items():
+            self.piece_of[states[text]], self.weight_of[states[text]] = i, w
+        keys, to = (np.array(list(x), dtype=np.int64) for x in (edges.keys(), edges.values()))
+        self.inner = np.zeros(len(states), dtype=bool)
+        self.inner[keys // self.kinds] = True
+        bits = len(keys).bit_length() + 2
+        self.shift, self.cells = _U64(64 - bits), 1 << bits
+        self.cell_key, self.cell_to = np.full(self.cells + 64, -1, dtype=np.int64), np.full(self.cells + 64, -1, dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.cell_key[slot] < 0)
+            _, own = np.unique(slot[free], return_index=True)
+            put = free[own]
+            self.cell_key[slot[put]], self.cell_to[slot[put]] = keys[put], to[put]
+            rest = np.ones(len(keys), dtype=bool)
+            rest[put] = False
+            keys, to, slot = keys[rest], to[rest], slot[rest] + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(_U64) * _BASE) >> self.shift).astype(np.int64)
+
+    def _next(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The state after each state's character, -1 for none."""
+        keys = state * np.int64(self.kinds) + char
+        slot = self._slot(keys)
+        there = self.cell_key[slot]
+        out = np.where(there == keys, self.cell_to[slot], -1)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            slot[open_] += 1
+            there = self.cell_key[slot[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.cell_to[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
 
     def clear(self) -> None:
         self.ids: dict[str, int] = {}
-        self.base, self.length, self.nodes = [], [], 0
-        self.pending: list[str] = []
-        self.done = [np.empty(0, np.float64), np.empty(0, np.int32), np.empty(0, np.int32)]
-        self.first = np.empty(0, np.int64)  # of each node: the first edge into it
-
-    def add(self, stretch: str) -> int:
-        k = self.ids[stretch] = len(self.base)
-        self.base.append(self.nodes)
-        self.length.append(len(stretch))
-        self.nodes += len(stretch) + 1
-        self.pending.append(stretch)
-        return k
+        self.nodes = self.edges = 0
+        self.base, self.length = _Grown(np.int64), _Grown(np.int64)
+        self.share, self.prev, self.piece = _Grown(np.float64), _Grown(np.int32), _Grown(np.int32)
+        self.first = _Grown(np.int64)  # of each node: the first edge into it
 
     def _unknown(self, c: str) -> tuple[float, int]:
         """Weight and id of a character without a piece: its byte's, or minus one minus its code point for several."""
         data = c.encode("utf-8", "surrogatepass")
         return self.low ** len(data), self.byte_id[data[0]] if len(data) == 1 else -1 - ord(c)
 
-    def _filter_long(self, stretch: str, base: int) -> tuple[np.ndarray, ...]:
-        """(keys, previous positions, pieces) of one stretch, position by position."""
+    def _filter_long(self, stretch: str) -> tuple[np.ndarray, ...]:
+        """(edges into each node, shares, previous positions, pieces) of one stretch, position by position."""
         n, weight = len(stretch), self.weight
         alpha = [1.0] + [0.0] * n
-        keys, prev, piece = [], [], []
+        many, share, prev, piece = [0], [], [], []
         for i in range(1, n + 1):
-            total, edges = 0.0, []
+            total, before = 0.0, len(share)
             for j in range(max(0, i - self.longest), i):
                 if (w := weight.get(stretch[j:i])) is not None:
                     total += alpha[j] * w[0]
-                    edges.append((total, j, w[1]))
-            if not edges or edges[-1][1] != i - 1:
+                    share.append(total)
+                    prev.append(j)
+                    piece.append(w[1])
+            if len(prev) == before or prev[-1] != i - 1:
                 w, p = self._unknown(stretch[i - 1])
                 total += alpha[i - 1] * w
-                edges.append((total, i - 1, p))
-            keys += [base + i - 1 + t / total for t, *_ in edges[:-1]] + [float(base + i)]
-            prev += [j for _, j, _ in edges]
-            piece += [p for *_, p in edges]
+                share.append(total)
+                prev.append(i - 1)
+                piece.append(p)
+            share[before:] = [x / total for x in share[before:-1]] + [1.0]
+            many.append(len(share) - before)
             alpha[i] = total
             if total < 1e-150:  # only ratios within reach of a piece matter
                 for j in range(max(0, i - self.longest), i + 1):
                     alpha[j] *= 1e150
-        return np.array(keys, np.float64), np.array(prev, np.int32), np.array(piece, np.int32)
+        return np.array(many, np.int64), np.array(share), np.array(prev, np.int32), np.array(piece, np.int32)
 
-    def _filter(self, stretches: list[str], base: int) -> tuple[np.ndarray, ...]:
-        """The same for many short stretches together, a position of all at a time."""
-        reach = self.longest
+    def _filter(self, stretches: list[str]) -> tuple[np.ndarray, ...]:
+        """The same for many short stretches of falling length together, a position and a length of all at a time.
+
+        Weights flow from each position to those that a piece reaches from it; what a position holds after an
+        edge has come in is that edge's cumulated share, as edges come in longest piece first.
+        """
         sizes = np.array([len(x) for x in stretches], dtype=np.int64)
-        codes = _codes("".join(stretches))
-        bottom = np.cumsum(sizes + 1) - sizes - 1  # node of position 0
-        depth = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1  # position after each character
-        node = np.repeat(bottom, sizes) + depth
-        total = int((sizes + 1).sum())
-        share, piece = np.zeros((total, reach)), np.full((total, reach), _NONE, dtype=np.int32)
-        rolled = np.zeros(len(codes), dtype=_U64)  # hash of the n characters up to each one
-        power = _U64(1)
-        for n in range(1, min(reach, int(sizes.max(initial=0))) + 1):
-            shifted = np.zeros(len(codes), dtype=_U64)
-            shifted[n - 1 :] = codes[: len(codes) - n + 1]
-            rolled = rolled + shifted * power
-            power = _U64(int(power) * int(_BASE) % 2**64)
-            hashes, spelt, weights, ids = self.tables[n]
-            if not len(hashes):
-                continue
-            ends = np.flatnonzero(depth >= n)
-            at = np.minimum(np.searchsorted(hashes, rolled[ends]), len(hashes) - 1)
-            hit = hashes[at] == rolled[ends]
-            ends, at = ends[hit], at[hit]
-            same = (codes[ends[:, None] + np.arange(1 - n, 1)] == spelt[at]).all(axis=1)
-            ends, at = ends[same], at[same]
-            share[node[ends], reach - n] = weights[at]
-            piece[node[ends], reach - n] = ids[at]
-        for e in np.flatnonzero(piece[node, reach - 1] == _NONE):
-            share[node[e], reach - 1], piece[node[e], reach - 1] = self._unknown(chr(codes[e]))
-        alpha = np.zeros(total)
-        alpha[bottom] = 1.0
-        back = np.arange(-reach, 0)
-        order = np.argsort(-sizes, kind="stable")
-        sorted_bottom, alive = bottom[order], np.searchsorted(-sizes[order], -np.arange(1, int(sizes.max(initial=0)) + 1), side="right")
-        for i, many in enumerate(alive.tolist(), 1):
-            low = sorted_bottom[:many]
-            here = low + i
-            before = np.maximum(here[:, None] + back, low[:, None])
-            ways = np.cumsum(alpha[before] * share[here], axis=1)
-            whole = ways[:, -1]
-            share[here] = ways / whole[:, None]
-            alpha[here] = whole
-            if (tiny := np.flatnonzero(whole < 1e-150)).size:
-                alpha[before[tiny]] *= 1e150
-                alpha[here[tiny]] *= 1e150
-        where, column = np.nonzero(piece != _NONE)
-        keys = base + where - 1 + share[where, column]
-        last = np.append(where[1:] != where[:-1], True)[: len(where)]
-        keys[last] = base + where[last]
-        at_depth = np.zeros(total, dtype=np.int64)
-        at_depth[node] = depth
-        return keys, (at_depth[where] - (reach - column)).astype(np.int32), piece[where, column]
-
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        first = len(self.base) - len(self.pending)
-        made, group, held = [self.done], [], 0
-        for k, x in enumerate([*self.pending, None]):
-            if group and (x is None or len(x) > LONG or held > DENSE):
-                made.append(self._filter(group, self.base[first + k - len(group)]))
-                group, held = [], 0
-            if x is not None and len(x) > LONG:
-                made.append(self._filter_long(x, self.base[first + k]))
-            elif x is not None:
-                group.append(x)
-                held += len(x)
-        self.pending = []
-        new = np.concatenate([k for k, *_ in made[1:]] or [np.empty(0)])
-        nodes = np.arange(len(self.first), self.nodes)
-        self.first = np.concatenate([self.first, len(self.done[0]) + np.searchsorted(new, nodes - 1.0, side="right")])
-        self.done = [np.concatenate(x) for x in zip(*made, strict=True)]
-        return (*self.done, self.first, np.array(self.base, np.int64), np.array(self.length, np.int64))
+        wide, high = len(stretches), len(stretches[0])
+        rows, columns = _places(sizes)
+        code = np.zeros((high, wide), dtype=np.uint32)
+        code[rows, columns] = _codes("".join(stretches))
+        alive = np.searchsorted(-sizes, -np.arange(1, high + 1), side="right").tolist()  # stretches longer than each position
+        char = self.char[code]
+        begin = self._next(np.zeros(wide * high, dtype=np.int64), char.ravel()).reshape(high, wide)
+        single = np.where(begin >= 0, self.piece_of[begin], -1)
+        weight = np.where(single >= 0, self.weight_of[begin], 0.0)
+        bare = np.flatnonzero(single.ravel() < 0)
+        if len(bare):
+            kinds, which = np.unique(code.ravel()[bare], return_inverse=True)
+            of = [self._unknown(chr(c)) for c in kinds.tolist()]
+            single.ravel()[bare] = np.array([p for _, p in of], dtype=np.int32)[which]
+            weight.ravel()[bare] = np.array([w for w, _ in of])[which]
+        alpha, seen = np.zeros((high + 1, wide)), np.zeros((high + 1, wide), dtype=np.int32)
+        alpha[0] = 1.0
+        made: list[tuple[np.ndarray, ...]] = []
+        begin[begin < 0] = 0  # the root has children: told apart by `going`
+        going = self.inner[begin] & (begin > 0)
+        every = np.arange(wide)
+        for p in range(high):
+            many = alive[p]
+            here = alpha[p]
+
+            def carry(to: int, who: np.ndarray, w: np.ndarray, piece: np.ndarray, p=p, here=here) -> None:
+                row, count = alpha[to], seen[to]
+                row[who] += here[who] * w
+                made.append((to * wide + who, count[who], row[who], np.full(len(who), p, dtype=np.int32), piece))
+                count[who] += 1
+
+            carry(p + 1, every[:many], weight[p, :many], single[p, :many])
+            who = np.flatnonzero(going[p, :many])
+            state = begin[p, who]
+            for n in range(2, min(self.longest, high - p) + 1):
+                left = int(np.searchsorted(who, alive[p + n - 1]))
+                who, state = who[:left], state[:left]
+                if not left:
+                    break
+                state = self._next(state, char[p + n - 1, who])
+                on = np.flatnonzero(state >= 0)
+                who, state = who[on], state[on]
+                piece = self.piece_of[state]
+                whole = np.flatnonzero(piece >= 0)
+                if len(whole):
+                    carry(p + n, who[whole], self.weight_of[state[whole]], piece[whole])
+                on = np.flatnonzero(self.inner[state])
+                who, state = who[on], state[on]
+        at, nth, share, prev, piece = (np.concatenate(x) for x in zip(*made, strict=True))
+        share = share / alpha.ravel()[at]
+        many = np.zeros(int((sizes + 1).sum()), dtype=np.int64)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        many[first[columns] + rows + 1] = seen[rows + 1, columns]
+        node = first[at % wide] + at // wide
+        spot = (np.cumsum(many) - many)[node] + nth
+        out = np.empty(len(at)), np.empty(len(at), dtype=np.int32), np.empty(len(at), dtype=np.int32)
+        for held, x in zip(out, (share, prev, piece), strict=True):
+            held[spot] = x
+        return many, *out
+
+    def add(self, stretches: Iterable[str]) -> None:
+        """Filters stretches that aren't held yet."""
+        falling = sorted(stretches, key=len, reverse=True)
+        # so few characters have a weight above the least number even as bytes; others are kept in range one by one
+        alone = [x for x in falling if len(x) > SHORT and not (len(x) <= LONG and x.isascii())]
+        short = falling if not alone else [x for x in falling if len(x) <= SHORT or len(x) <= LONG and x.isascii()]
+        sizes = np.fromiter(map(len, chain(alone, short)), np.int64, len(falling))
+        self.ids.update(zip(chain(alone, short), range(self.base.n, self.base.n + len(falling))))
+        self.base.add(self.nodes + np.cumsum(sizes + 1) - sizes - 1)
+        self.length.add(sizes)
+        for x in alone:
+            self._hold(*self._filter_long(x))
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes[len(alone) :]) // DENSE)) + 1
+        for x, y in pairwise([0, *cuts.tolist(), len(short)]):
+            if x < y:
+                self._hold(*self._filter(short[x:y]))
+
+    def _hold(self, many: np.ndarray, share: np.ndarray, prev: np.ndarray, piece: np.ndarray) -> None:
+        self.first.add(self.edges + np.cumsum(many) - many)
+        self.share.add(share)
+        self.prev.add(prev)
+        self.piece.add(piece)
+        self.nodes += len(many)
+        self.edges += len(share)
+
+
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.n = np.empty(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        if self.n + len(more) > len(self.held):
+            grown = np.empty((self.n + len(more)) * 3 // 2, self.held.dtype)
+            grown[: self.n] = self.held[: self.n]
+            self.held = grown
+        self.held[self.n : self.n + len(more)] = more
+        self.n += len(more)
+
+    def now(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
+def _places(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(position, stretch) of each character of stretches of such sizes, written one after the other."""
+    columns = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(columns)) - np.repeat(np.cumsum(sizes) - sizes, sizes), columns
 
 
 def _codes(text: str) -> np.ndarray:
@@ -223,32 +304,34 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def sample(model: Lattices, texts: list[str], seeds: list[int]) -> list[np.ndarray]:
     """Piece ids of one sampled segmentation per text; a character without a piece is its bytes' ids."""
-    if len(model.base) > MEMO:
+    if model.nodes > MEMO:
         model.clear()
     owned = [STRETCH.findall(t) for t in texts]
-    known, add = model.ids, model.add
-    which = np.array([k if (k := known.get(s)) is not None else add(s) for part in owned for s in part], dtype=np.int64)
-    counts = np.array([len(x) for x in owned], dtype=np.int64)
-    keys, prev, piece, entry, base, length = model.arrays()
+    parts = list(chain.from_iterable(owned))
+    if new := set(parts).difference(model.ids):
+        model.add(new)
+    which = np.fromiter(map(model.ids.__getitem__, parts), np.int64, len(parts))
+    counts = np.fromiter(map(len, owned), np.int64, len(owned))
+    share, prev, piece, entry, base, length = (x.now() for x in (model.share, model.prev, model.piece, model.first, model.base, model.length))
     first = np.cumsum(counts) - counts
     nth = (np.arange(len(which)) - np.repeat(first, counts)).astype(np.uint64)
     state = _mix(np.repeat(np.array(seeds, dtype=np.uint64), counts) + nth * _U64(0x9E3779B97F4A7C15))
-    at, bottom = length[which] if len(which) else which, base[which] if len(which) else which
+    at, bottom = length[which], base[which]
     open_, steps = np.arange(len(which)), []
     taken = np.zeros(len(which), dtype=np.int64)
     step = 0
     while len(open_):
-        u = (_mix(state[open_] + _U64((step + 1) * 0xD1342543DE82EF95 % 2**64)) >> _U64(11)).astype(np.float64) * 2.0**-53
-        node = bottom[open_] + at[open_]
-        edge, x = entry[node], node - 1 + u
-        behind = np.flatnonzero(keys[edge] <= x)
+        u = (_mix(state + _U64((step + 1) * 0xD1342543DE82EF95 % 2**64)) >> _U64(11)).astype(np.float64) * 2.0**-53
+        edge = entry[bottom + at]
+        behind = np.flatnonzero(share[edge] <= u)
         while len(behind):
             edge[behind] += 1
-            behind = behind[keys[edge[behind]] <= x[behind]]
+            behind = behind[share[edge[behind]] <= u[behind]]
         steps.append((open_, piece[edge]))
         taken[open_] += 1
-        at[open_] = prev[edge]
-        open_ = open_[at[open_] > 0]
+        at = prev[edge]
+        on = np.flatnonzero(at > 0)
+        open_, at, bottom, state = open_[on], at[on], bottom[on], state[on]
         step += 1
     start = np.cumsum(taken) - taken
     flat = np.empty(int(taken.sum()), dtype=np.int32)
@@ -267,8 +350,15 @@ def _spelt(model: Lattices, ids: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.int32)
 
 
+def spell(model: Lattices, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes that the ids stand for, the end of each id among them)."""
+    many = model.spelt[ids]
+    ends = np.cumsum(many)
+    return model.spelling[np.repeat(model.spelt_at[ids] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
 def decode(model: Lattices, ids: np.ndarray) -> str:
-    return b"".join(map(model.bytes.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
+    return spell(model, ids)[0].tobytes().decode("utf-8", "surrogatepass")
 
 
 def segment(docs: DataFrame, model: str | None = None, power: float = 1.0, seed: int = 0, with_ids: bool = False) -> DataFrame:
@@ -282,7 +372,6 @@ def segment(docs: DataFrame, model: str | None = None, power: float = 1.0, seed:
     path = model or default_path()
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattices(path, power)
         is_byte = np.zeros(len(lat.bytes), dtype=bool)
