@@ -60,3 +60,42 @@ def test_odd_rows(spark):
         assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
         assert toxicity.keep_clean(docs, labels).columns == docs.columns
     assert toxicity.score(docs.limit(0), labels).count() == 0
+
+
+def test_more_toxic_text_never_scores_lower(spark):
+    rng = random.Random(9)
+    for n in (300, 900, 1800):
+        rows = corpus(spark, n)
+        docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+        labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+        model = toxicity.train_model(docs, labels)
+        assert min(model.curve[1:]) >= 0 and max(model.curve[1:]) > 0
+        score = lambda t, model=model: model.score(model.read(t))
+        passages = [r[1] for r in rows if r[3]][:20]
+        clean = [r[1] for r in rows if not r[3]][:20]
+        for p in passages:
+            repeated = [score(" ".join([p] * k)) for k in (1, 2, 5, 50, 500)]
+            assert repeated == sorted(repeated) and repeated[-1] >= 0.5
+            text, before = rng.choice(clean), 0.0
+            for _ in range(12):
+                text = f"{text} {rng.choice(passages + clean)}"
+                assert score(text) >= before
+                before = score(text)
+        assert all(score(c) < 0.5 for c in clean)
+
+
+def test_very_long_toxic_texts_go(spark):
+    rows = corpus(spark, 1500)
+    long = " ".join(w for r in rows if r[3] for w in r[1].split())
+    text = " ".join((long.split() * 20)[:20_000])
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(9001, text), (9002, " ".join(x[1] for x in rows if not x[3])), (9003, "clean " * 20_000 + text)], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    left = {r.doc_id for r in toxicity.keep_clean(docs, labels).where("doc_id > 9000").collect()}
+    assert left == {9002}
+
+
+def test_ties_between_labels(spark):
+    docs = spark.createDataFrame([(i, "same words here") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = toxicity.score(docs, labels).collect()
+    assert len({r.score for r in got}) == 1 and all(r.predicted == int(r.score >= 0.5) for r in got)

@@ -2,15 +2,21 @@
 
 Training takes a bounded sample of labelled rows, near copies of one text counted once. Each token, and each
 token's prefix of four or five letters (which covers inflected forms not seen before), gets a log-odds ratio
-between toxic and other documents under an informative Dirichlet prior, the sample's own frequencies; those
-that a z-test finds significantly toxic are kept, and all other tokens share one slightly negative score.
+between toxic and other documents under an informative Dirichlet prior, the sample's own frequencies. Those
+held by more toxic than other documents of the sample (a rule that keeps chance finds among the many common
+tokens out) and significantly toxic by a z-test are kept; all other tokens share one slightly negative score.
 
 A text is scanned once, in linear time, for all maximal scoring segments (the disjoint segments whose sums
 no extension or shortening improves). Under the clean documents' distribution of token scores the best of
 such sums follow an extreme-value law; its two parameters turn a segment's sum into the number of equally
-good segments that chance would find in a clean text of that length. Segments beyond chance are the toxic
-passages. A logistic curve, fitted on sample rows that took no part in the log-odds, maps the document's
-sum of calibrated segments to a probability.
+good segments that chance would find in a clean text as long as the longest of the sample. Segments beyond
+chance are the toxic passages.
+
+The score is a logistic curve, fitted on sample rows that took no part in the log-odds, over two numbers: the
+calibrated value of the best segment, and the log of the toxic weight that the significant segments hold.
+Both weights are held at zero or more. A text's segments lie within those of any text that goes on from it,
+whose sums and weights are as large at least, and calibration doesn't depend on a text's own length: so
+repeating a passage, or appending whatever text, never lowers a score.
 """
 
 from __future__ import annotations
@@ -79,59 +85,70 @@ def maximal_segments(scores: list[tuple[int, int, float]], rest: float) -> list[
 
 @dataclass
 class Model:
-    """weights: feature -> log-odds; rest: score of all other tokens; lam, k: extreme-value parameters."""
+    """weights: feature -> log-odds; rest: score of all other tokens; lam, k: extreme-value parameters; space: tokens of the text they are stated for."""
 
     weights: dict[str, float] = field(default_factory=dict)
     rest: float = -0.01
     lam: float = 1.0
     k: float = 0.1
+    space: int = 1
     curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     def __post_init__(self):
         self.memo = _Memo(self.weights)
 
     def __getstate__(self):
-        return {n: getattr(self, n) for n in ("weights", "rest", "lam", "k", "curve")}
+        return {n: getattr(self, n) for n in ("weights", "rest", "lam", "k", "space", "curve")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.memo = _Memo(self.weights)
 
-    def segments(self, text: str | None) -> tuple[list[tuple[int, int, float]], int]:
-        """Maximal segments in token positions, and the number of tokens."""
+    def bits(self, total: float) -> float:
+        """Minus the log of the number of segments this good that chance finds in a clean text."""
+        return self.lam * total - math.log(max(self.k * max(self.space, 1), 1e-9))
+
+    def read(self, text: str | None) -> Reading:
         words = WORD.findall((text or "").lower())
         if len(self.memo) > MEMO:
             self.memo.clear()
         values = list(map(self.memo.__getitem__, words))
-        hits = [(i, i + 1, v) for i, v in enumerate(values) if v] if any(values) else []
-        return maximal_segments(hits, self.rest), len(words)
-
-    def bits(self, total: float, tokens: int) -> float:
-        """Minus the log of the number of segments this good that chance finds in a clean text of that length."""
-        return self.lam * total - math.log(max(self.k * max(tokens, 1), 1e-9))
-
-    def evidence(self, text: str | None) -> tuple[float, float]:
-        """(log of 1 + sum of segments, best calibrated segment, clipped)."""
-        found, tokens = self.segments(text)
-        if not found:
-            return 0.0, 0.0
-        best = self.bits(max(s for *_, s in found), tokens)
-        return math.log1p(self.lam * sum(s for *_, s in found)), min(max(best, -5.0), 20.0) / 5
-
-    def score(self, text: str | None) -> float:
-        x, y = self.evidence(text)
+        if not any(values):
+            return Reading([], [], 0.0, 0.0, len(words))
+        hits = [(i, i + 1, v) for i, v in enumerate(values) if v]
+        found = maximal_segments(hits, self.rest)
+        good = [x for x in found if self.bits(x[2]) >= -math.log(SIGNIFICANT)]
+        weight = math.fsum(v for a, b, _ in good for v in values[a : b + 1])
+        return Reading(found, good, max(s for *_, s in found), weight, len(words))
+
+    def evidence(self, reading: Reading) -> tuple[float, float]:
+        """(value of the best segment, log of one and the weight of the significant ones), neither below 0."""
+        b = self.bits(reading.best)
+        return (max(b, 0.0) + math.log1p(math.exp(-abs(b))) if reading.found else 0.0), math.log1p(self.lam * reading.weight)
+
+    def score(self, reading: Reading) -> float:
+        x, y = self.evidence(reading)
         a, b, c = self.curve
         return 1 / (1 + math.exp(-min(max(a + b * x + c * y, -30.0), 30.0)))
 
-    def passages(self, text: str | None) -> list[tuple[int, int, float]]:
+    def passages(self, text: str | None, reading: Reading) -> list[tuple[int, int, float]]:
         """(start, end, bits) in characters of the significant passages."""
-        found, tokens = self.segments(text)
-        good = [(a, b, self.bits(s, tokens)) for a, b, s in found if self.bits(s, tokens) >= -math.log(SIGNIFICANT)]
-        if not good:
+        if not reading.good:
             return []
         lowered = text.lower()
         spans = [m.span() for m in WORD.finditer(text if len(lowered) == len(text) else lowered)]
-        return [(spans[a][0], spans[min(b, len(spans) - 1)][1], s) for a, b, s in good if a < len(spans)]
+        return [(spans[a][0], spans[min(b, len(spans) - 1)][1], self.bits(s)) for a, b, s in reading.good if a < len(spans)]
+
+
+@dataclass
+class Reading:
+    """What a scan finds: all maximal segments in token positions, the significant ones, the best sum, the weight of toxic tokens in the latter."""
+
+    found: list[tuple[int, int, float]]
+    good: list[tuple[int, int, float]]
+    best: float
+    weight: float
+    tokens: int
 
 
 class _Memo(dict):
@@ -166,7 +183,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, scratch: Scratch, limit: i
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), F.col("doc_id") == F.col("lid"))
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sigs = pa.array([signature(t.as_py()) for t in b["text"]], pa.int64())
@@ -181,7 +197,6 @@ def _counts(train: DataFrame) -> dict[str, tuple[int, int]]:
     """Feature -> (toxic documents, other documents) that hold it, of the significant ones; "" has the totals."""
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
         for b in batches:
@@ -205,19 +220,25 @@ def log_odds(c1: int, c0: int, n1: int, n0: int) -> tuple[float, float]:
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton steps."""
-    design = np.hstack([np.ones((len(x), 1)), x])
-    w = np.zeros(design.shape[1])
-    ridge = np.diag([1e-3] + [1e-2] * x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (y - p) - ridge @ w
-        hessian = design.T @ (design * (p * (1 - p))[:, None]) + ridge
-        step = np.linalg.solve(hessian, gradient)
-        w += step
-        if np.abs(step).max() < 1e-8:
-            break
-    return tuple(float(v) for v in w)
+    """Ridge logistic regression by Newton steps; a feature whose weight would be negative is left out."""
+    used = list(range(x.shape[1]))
+    while True:
+        design = np.hstack([np.ones((len(x), 1)), x[:, used]])
+        w = np.zeros(design.shape[1])
+        ridge = np.diag([1e-3] + [1e-2] * len(used))
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+            gradient = design.T @ (y - p) - ridge @ w
+            hessian = design.T @ (design * (p * (1 - p))[:, None]) + ridge
+            step = np.linalg.solve(hessian, gradient)
+            w += step * min(1.0, 8 / max(np.abs(step).max(), 1e-12))
+            if np.abs(step).max() < 1e-8:
+                break
+        if not used or w[1:].min() >= 0:
+            out = np.zeros(1 + x.shape[1])
+            out[[0, *(1 + i for i in used)]] = w
+            return tuple(float(v) for v in out)
+        del used[int(w[1:].argmin())]
 
 
 def train_model(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> Model:
@@ -245,9 +266,8 @@ def _evidence(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
         for b in batches:
             out: list[list[float]] = [[], [], [], []]
             for text in b["text"].to_pylist():
-                found, tokens = model.segments(text)
-                x, y = model.evidence(text)
-                for column, value in zip(out, (x, y, float(tokens), max((s for *_, s in found), default=0.0)), strict=True):
+                reading = model.read(text)
+                for column, value in zip(out, (*model.evidence(reading), float(reading.tokens), reading.best), strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in out), b["toxic"], b["doc_id"]], names=["x", "y", "tokens", "best", "toxic", "doc_id"])
 
@@ -261,7 +281,6 @@ def _calibrated(model: Model, train: DataFrame) -> Model:
     weights = model.weights
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, tokens = (Counter(), Counter()), [0, 0]
         memo = _Memo(weights)
@@ -299,6 +318,7 @@ def _calibrated(model: Model, train: DataFrame) -> Model:
     clean, bar = toxic == 0, min(v for v, _ in law)
     beyond = ((best >= bar) & clean).sum() + 0.5
     model.k = float(beyond / max(n[clean].sum(), 1) * math.exp(min(model.lam * bar, 50)))
+    model.space = int(max(n[clean].max(initial=1), 1))
     return model
 
 
@@ -309,18 +329,19 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> DataFra
     """Per row of `docs` (doc_id, text): doc_id, held_out, score, predicted, passages.
 
     `labels` has doc_id and toxic; rows with a null in either are no labels, and if none is left every score
-    is one half. Null and empty texts score as texts without toxic tokens. Rows that repeat are repeated; a
+    is one half. Null and empty texts score as texts without toxic tokens. Appending to a text never lowers its
+    score, however long it gets. Rows that repeat are repeated; a
     null doc_id is not held out; an empty table gives no rows; other columns are ignored.
     """
     model = train_model(docs, labels, limit)
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].to_pylist()
-            scores = [model.score(t) for t in texts]
-            spans = [[{"start": s, "end": e, "bits": x} for s, e, x in model.passages(t)] for t in texts]
+            readings = [model.read(t) for t in texts]
+            scores = [model.score(r) for r in readings]
+            spans = [[{"start": s, "end": e, "bits": x} for s, e, x in model.passages(t, r)] for t, r in zip(texts, readings, strict=True)]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("bits", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["held_out"], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(spans, kind)],
@@ -337,9 +358,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> Da
     model = train_model(docs, labels, limit)
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([model.score(t) < 0.5 for t in b["text"].to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([model.score(model.read(t)) < 0.5 for t in b["text"].to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))
