@@ -43,8 +43,40 @@ def test_large_breadth_is_exact_with_copies_and_odd_rows(spark):
     rows += [(1000 + i, [1.0, 2.0, 0.0, 1.0]) for i in range(300)]
     rows += [(2000, None), (2010, [0.0] * 4), (2020, [1.0, None, 2.0, 3.0]), (2030, [float("nan")] * 4), (2040, [float("inf"), 0.0, 0.0, 1.0]), (None, [1.0] * 4), (0, rows[0][1])]
     table = spark.createDataFrame([(*r, 1.0) for r in rows], "vec_id long, embedding array<float>, score double")
-    got = found(forest.search(table, k=10, every=10, leaf=16, sample=200, breadth=100.0))
+    got = found(forest.search(table, k=10, every=10, sample=200, breadth=1000.0))
     assert got == brute(rows, 10, 10)
     assert forest.search(table.limit(0)).count() == 0
     few = found(forest.search(table.where("vec_id in (10, 11)"), every=10))
     assert [i for i, _ in few[10]] == [11]
+
+
+def test_share_compared_and_recall_on_many_leaves():
+    rng = np.random.default_rng(5)
+    middles = rng.standard_normal((40, 24)) * 4
+    x = middles[rng.integers(0, 40, 20000)] + rng.standard_normal((20000, 24))  # clusters: trees must split them
+    made = forest.grow(x, len(x), forest.TREES)
+    assert made.leaves_a_tree > 1000
+    leaves, hits, share, queries = made.leaves(x), 0, [], range(0, 20000, 400)
+    for i in queries:
+        seen = np.isin(leaves, made.probes(x[i], forest.BREADTH * len(x) ** 0.5)).any(axis=1)
+        d = ((x - x[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        hits += seen[np.argsort(d)[:10]].sum()
+        share.append(seen.mean())
+    assert hits >= 0.9 * 10 * len(queries) and np.mean(share) < 0.2
+    assert np.bincount(leaves.ravel()).max() < 0.05 * len(x)
+
+
+def test_crowded_leaves_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(a) for a in rng.standard_normal(6)]) for i in range(600)] + [(1000 + i, [5.0 + 1e-4 * i, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(300)]
+    monkeypatch.setattr(forest, "CROWD", 20)
+    got = found(forest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), breadth=1000.0))
+    want = brute(rows, 10, 100)
+    assert {q: [i for i, _ in a] for q, a in got.items()} == {q: [i for i, _ in a] for q, a in want.items()}
+
+
+def test_repeated_ids_with_other_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 3.0]), (1, [1.0, 1.0]), (2, [0.0, 2.5]), (2, [9.0, 9.0]), (3, [-5.0, 0.0])]
+    got = found(forest.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
+    assert [i for i, _ in got[0]] == [2, 1, 3] and np.allclose([d for _, d in got[0]], [0.5, 1.0, 34**0.5])
