@@ -68,11 +68,37 @@ def _lstm_back(dout: np.ndarray, x: np.ndarray, w: np.ndarray, r: np.ndarray, sa
 
 
 def emissions(p: Params, ids: np.ndarray) -> np.ndarray:
-    """Tag scores (T, N, tags) of character ids (T, N)."""
-    x = p["E"][ids]
-    ahead, _ = _lstm(x, p["Wf"], p["Rf"], p["bf"], False)
-    back, _ = _lstm(x[::-1], p["Wb"], p["Rb"], p["bb"], False)
-    return np.concatenate([ahead, back[::-1]], axis=2) @ p["U"] + p["c"]
+    """Tag scores (T, tags, N) of character ids (T, N).
+
+    Features lie before sequences here, so that gates are contiguous; what a character adds to the gates is
+    looked up, and the gates' sigmoids are taken as half a tanh, all in one call.
+    """
+    steps, n = ids.shape
+    hidden = p["Rf"].shape[0]
+    half = np.repeat(np.array([0.5, 1.0], p["E"].dtype), [3 * hidden, hidden])[:, None]
+    out = np.empty((steps, len(p["c"]), n), p["E"].dtype)
+    out[:] = p["c"][:, None]
+    z, more = np.empty((4 * hidden, n), out.dtype), np.empty((4 * hidden, n), out.dtype)
+    for d, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
+        table = np.ascontiguousarray((p["E"] @ p[f"W{d}"] + p[f"b{d}"]).T * half)
+        again = np.ascontiguousarray(p[f"R{d}"].T * half)
+        top = np.ascontiguousarray((p["U"][:hidden] if d == "f" else p["U"][hidden:]).T)
+        h, c = np.zeros((hidden, n), out.dtype), np.zeros((hidden, n), out.dtype)
+        for t in order:
+            np.take(table, ids[t], axis=1, out=z, mode="clip")
+            np.matmul(again, h, out=more)
+            z += more
+            np.tanh(z, out=z)
+            gates = z[: 3 * hidden]
+            gates *= 0.5
+            gates += 0.5
+            c *= gates[hidden : 2 * hidden]
+            gates[:hidden] *= z[3 * hidden :]
+            c += gates[:hidden]
+            np.tanh(c, out=h)
+            h *= gates[2 * hidden :]
+            out[t] += top @ h
+    return out
 
 
 def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
@@ -135,16 +161,19 @@ def train(p: Params, ids: np.ndarray, tags: np.ndarray, rounds: int, batch: int,
     return p
 
 
-def viterbi(e: np.ndarray, a: np.ndarray, s: np.ndarray) -> np.ndarray:
-    """Best tags of one sequence of emissions (T, tags)."""
-    best, came = s + e[0], []
+def viterbi(e: np.ndarray, sizes: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Best tags (T, N) of sequences of emissions (T, N, tags), of which the first `sizes` count; tag 0 stands before and after."""
+    best = a[0] + e[0]
+    came = np.zeros(e.shape, dtype=np.int8)
     for t in range(1, len(e)):
-        moves = best[:, None] + a
-        came.append(moves.argmax(axis=0))
-        best = moves.max(axis=0) + e[t]
-    tag = int(best.argmax())
-    out = [tag]
-    for step in reversed(came):
-        tag = int(step[tag])
-        out.append(tag)
-    return np.array(out[::-1])
+        moves = best[:, :, None] + a
+        came[t] = moves.argmax(axis=1)
+        on = t < sizes
+        best = np.where(on[:, None], moves.max(axis=1) + e[t], best)
+    tag = (best + a[:, 0]).argmax(axis=1)
+    out, every = np.zeros(e.shape[:2], dtype=np.int8), np.arange(e.shape[1])
+    for t in range(len(e) - 1, -1, -1):
+        on = t < sizes
+        out[t] = np.where(on, tag, 0)
+        tag = np.where(on, came[t][every, tag], tag) if t else tag
+    return out

@@ -38,7 +38,7 @@ TREES = 16
 #: Vectors that centres and sharpness are fitted on at most: those with the smallest hashes. Bounds the forest that tasks get.
 SAMPLE = 50_000
 #: Leaves of a tree, and vectors that a query's leaves hold together (over all trees, counted with repeats), in square roots of the table.
-SPREAD = 24.0
+SPREAD = 16.0
 BREADTH = 32.0
 #: Directions of a node at most, and sample vectors that a node needs for a centre of its own.
 DIRECTIONS = 64
@@ -46,6 +46,8 @@ OWN = 32
 #: Vectors of a leaf that one task compares; a leaf expected to hold more is dealt over several.
 CROWD = 8192
 SALTS = 64
+#: Queries that a task looks up leaves for.
+QUERIES = 64
 #: Queries whose answers a task holds before it hands them on.
 HELD = 100_000
 
@@ -268,6 +270,8 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
     enough = max(breadth * math.sqrt(total), 2.0 * k * trees)
     asking = rows.where(f"vec_id % {every} = 0 and size(v) = {dim}").select(F.col("vec_id").alias("query_id"), "v")
     asking = scratch.write(asking.withColumn("key", F.md5(F.array_join(F.col("v").cast("array<string>"), ",").cast("binary"))), "asking")
+    queries = asking.dropDuplicates(["key"]).select("key", "v")
+    queries = queries.repartition(max(1, queries.count() // QUERIES))  # few rows, but long work for each
     kind = vectors.schema["embedding"].dataType
     narrow = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)  # as doubles they'd be twice as long on the way
     held = pa.float32() if narrow else pa.float64()
@@ -334,7 +338,7 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
         yield best.rows()
 
     schema = f"leaf long, salt long, kind int, key string, v array<{'float' if narrow else 'double'}>, ids array<long>"
-    both = classes.select("key", "v", "ids").mapInArrow(index, schema).unionByName(asking.dropDuplicates(["key"]).select("key", "v").mapInArrow(ask, schema))
+    both = classes.select("key", "v", "ids").mapInArrow(index, schema).unionByName(queries.mapInArrow(ask, schema))
     found = both.repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "kind").mapInArrow(meet, "key string, vec_id long, score double").groupBy("key", "vec_id").agg(F.min("score").alias("score"))
     ranked = found.withColumn("n", F.expr("row_number() over (partition by key order by score, vec_id)")).where(f"n <= {k + 1}").drop("n")
     mine = asking.select("query_id", "key").distinct().join(ranked, "key").where("query_id <> vec_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

@@ -1,21 +1,25 @@
 """Personal data: exact patterns, and a character-level BiLSTM-CRF for what is written otherwise.
 
-The patterns give the base spans. Around everything that may hold personal data (an at sign, a run of
-digits and separators, a spelt-out dot or at sign) a region is read by the tagger: overlapping windows of fixed
-length are scored together, each character's scores are averaged over the windows that cover it, weighted
-towards their middles, and one Viterbi pass over the whole region decides, so that windows can't disagree.
-Decoded spans that satisfy their kind's own rules and touch no match of a pattern are added.
-
-The tagger is trained here, in a few seconds, from labelled spans that a seeded generator writes into
-invented text, with dates, versions, amounts and keys among them as counter-examples.
+The patterns give the base spans. The tagger reads every text from its first to its last character: overlapping
+windows of fixed length are scored together, each character's scores are averaged over the windows that cover
+it, weighted towards their middles, and one Viterbi pass over the whole stretch decides, so that windows can't
+disagree. Stretches end where the tagger has been sure for long that there is nothing; there the path without
+spans is the best one. The tagger decides what is a span and of which kind; what it decodes is only checked
+lightly (an address names its at sign and a dot, numbers have as many digits as their kind and a card its check
+digit) and is left out where it touches a match of a pattern, dropped ones included.
+
+The weights lie beside this module, with the record of their training: `train_tagger` fits them in numpy on
+labelled spans, those that the patterns find in documents and invented ones written into the documents' prose,
+with dates, versions, amounts and keys as counter-examples. Held-out documents take no part.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, reduce
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +33,15 @@ from vellum.llm.common import tidy
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
-WINDOW = 96
-STRIDE = 48
-MARGIN = 32
+WEIGHTS = Path(__file__).with_name("tagger.npz")
+WINDOW = 256
+STRIDE = 208
 #: Windows scored at once.
-BATCH = 512
+COLUMNS = 1024
+#: Characters on both sides of anything doubtful that are decoded with it.
+SURE = 48
+#: Windows are put together where a single one's doubt reaches this: less than the 0 at which a span can pay.
+WARY = -2.0
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -42,11 +50,6 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TRIGGER = re.compile(r"@|[0-9](?:[\x20()\[\]./-]{0,3}[0-9]){6,}|[0-9]{1,3}(?:[\x20()\[\]]{0,2}\.[\x20()\[\]]{0,2}[0-9]{1,3}){3}|\bdot\b|[(\[]at[)\]]|\sat\s\s?[A-Za-z0-9-]+\s?\.\s?[A-Za-z0-9-]")
-
-_JOINED = r"\s?(?:@|[(\[](?:at|dot)[)\]]|\s(?:at|dot)\s)\s?|\s?\.\s?"
-SEPARATOR_END = re.compile(rf"(?:{_JOINED})\Z")
-RUN = re.compile(rf"(?:[A-Za-z0-9._%+-]+|{_JOINED})*+")
 
 
 def luhn(digits: str) -> bool:
@@ -105,7 +108,7 @@ def told(spans: list[Span]) -> str:
 TAGS = ("O", *(f"{x}-{k}" for k in KINDS for x in "BI"))
 SHOWN = "abcdefghijklmnopqrstuvwxyz@.+-()[]_%,:;/#$&*!?=\"' \n"
 NUMBER, OTHER, PAD = len(SHOWN), len(SHOWN) + 1, len(SHOWN) + 2
-_TABLE = np.full(128, OTHER, dtype=np.int64)
+_TABLE = np.full(128, OTHER, dtype=np.int16)
 for _i, _c in enumerate(SHOWN):
     _TABLE[ord(_c)] = _i
     _TABLE[ord(_c.upper())] = _i
@@ -114,7 +117,7 @@ _TABLE[ord("0") : ord("9") + 1] = NUMBER
 
 def encode(text: str) -> np.ndarray:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return np.where(codes < 128, _TABLE[np.minimum(codes, 127)], OTHER)
+    return np.where(codes < 128, _TABLE[np.minimum(codes, 127)], np.int16(OTHER))
 
 
 class Writer:
@@ -160,120 +163,158 @@ class Writer:
             return kind, sep.join(raw[i : i + 4] for i in range(0, 16, 4))
         return kind, self.pick(f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}", f"+{d(2)} {d(3)} {d(3)} {d(3)}", f"({d(3)}) {d(3)}-{d(4)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"{d(3)} {d(3)} {d(4)}", f"00{d(2)} {d(2)} {d(4)} {d(4)}", f"({d(3)}){d(3)}-{d(4)}")
 
-    def example(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        text, tags = "", []
-        lead = int(self.rng.integers(0, 40))
-        while len(text) < length + lead:
-            if self.rng.random() < 0.16:
-                kind, part = self.private()
-                at = TAGS.index(f"B-{kind}")
-                marks = [at] + [at + 1] * (len(part) - 1)
-            else:
-                part = self.plain()
-                marks = [0] * len(part)
-            gap = self.pick(" ", " ", " ", " ", "\n", "###", ", ")
-            text += part + gap
-            tags += marks + [0] * len(gap)
-        return encode(text[lead : lead + length]), np.array(tags[lead : lead + length])
-
-
-@lru_cache(maxsize=2)
-def tagger(seed: int = 11, examples: int = 1500, rounds: int = 320, hidden: int = 24) -> dict[str, np.ndarray]:
-    writer = Writer(seed)
-    ids, tags = (np.stack(x, axis=1) for x in zip(*(writer.example(WINDOW) for _ in range(examples)), strict=True))
-    p = bilstm.init(PAD + 1, 12, hidden, len(TAGS), seed)
-    return bilstm.train(p, ids, tags, rounds, 48, 0.02, seed)
-
-
-def _address(text: str, a: int, b: int, done: int) -> tuple[int, int]:
-    """[a, b) grown over the run of address characters and spelt-out separators around it; to the left not beyond `done`."""
-    for _ in range(3):  # what a separator has beside its word
-        a -= a > done and (text[a - 1].isspace() or text[a - 1] in "([")
-        b += b < len(text) and (text[b].isspace() or text[b] in ")]")
-    while a > done:
-        at = a
-        while a > done and LOCAL_END.match(text[a - 1]):
-            a -= 1
-        if m := SEPARATOR_END.search(text, max(done, a - 8), a):
-            a = m.start()
-        if a == at:
-            break
-    return a, RUN.match(text, b).end()
-
-
-def regions(text: str) -> list[tuple[int, int]]:
-    """What the tagger reads: stretches around triggers, whole addresses at least, merged where they overlap."""
+
+@lru_cache(maxsize=1)
+def tagger() -> dict[str, np.ndarray]:
+    with np.load(WEIGHTS) as held:
+        return {k: held[k] for k in held.files if k != "record"}
+
+
+def windows(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the overlapping windows that cover a text of n characters, evenly spread."""
+    if n <= WINDOW:
+        return [(0, n)]
+    many = -(-(n - WINDOW) // STRIDE)
+    return [(i * (n - WINDOW) // many, WINDOW) for i in range(many + 1)]
+
+
+_WEIGHT = (1 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(np.float32)[:, None]
+
+
+def _gain(e: np.ndarray, model: dict[str, np.ndarray]) -> np.ndarray:
+    """What the best run of tags that ends at each position gains on no span, at most, beyond what beginning and ending it costs.
+
+    e has positions first and tags second. Where nothing is above 0 the path without spans is the best one.
+    """
+    a, none = model["A"], model["A"][0, 0]
+    inner = a[1:, 1:].max() - none
+    cost = 2 * none - a[0, 1:].max() - a[1:, 0].max() + inner
+    best = reduce(np.maximum, (e[:, k] for k in range(1, e.shape[1])))
+    total = np.cumsum(best - e[:, 0] + inner, axis=0)
+    before = np.minimum.accumulate(np.concatenate([np.zeros_like(total[:1]), total[:-1]]), axis=0)
+    return total - before - cost
+
+
+def doubtful(gain: np.ndarray, cost: float) -> list[tuple[int, int]]:
+    """Stretches of positions where a run of tags can pay, from where it may begin, widened and merged."""
     out: list[list[int]] = []
-    done = 0
-    for m in TRIGGER.finditer(text):
-        a, b = m.span()
-        if not DIGIT.match(text[a]):
-            if b <= done:  # within an address that is read
-                continue
-            a, b = _address(text, a, b, done)
-            done = b
-        a, b = max(0, a - MARGIN), min(len(text), b + MARGIN)
-        while out and a <= out[-1][1]:
-            x, y = out.pop()
-            a, b = min(a, x), max(b, y)
-        out.append([a, b])
+    for end in np.flatnonzero(gain > 0).tolist():
+        if out and end < out[-1][1]:
+            continue
+        begin = end
+        while begin > 0 and gain[begin - 1] > -cost:
+            begin -= 1
+        after = np.flatnonzero(gain[end:] <= -cost)
+        a, b = max(0, begin - SURE), min(len(gain), end + (int(after[0]) if len(after) else len(gain) - end) + SURE)
+        if out and a <= out[-1][1]:
+            out[-1][1] = b
+        else:
+            out.append([a, b])
     return [(a, b) for a, b in out]
 
 
-def windows(a: int, b: int) -> list[int]:
-    """Starts of the overlapping windows that cover [a, b)."""
-    if b - a <= WINDOW:
-        return [a]
-    return [*range(a, b - WINDOW, STRIDE), b - WINDOW]
-
+def _scored(codes: list[np.ndarray], model: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(text, tag scores of its characters) of the texts with anything doubtful."""
+    order = sorted((k for k, x in enumerate(codes) if len(x)), key=lambda k: (len(codes[k]), k))
+    todo: list[tuple[int, int, int]] = []
 
-_WEIGHT = (1 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(np.float32)
+    def run(part: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """(text, start, length, scores) of windows; all of a text's, or none where nothing is doubtful in these."""
+        wide = -(-len(part) // 64) * 64  # whole blocks, so that a window is computed alike in any company
+        ids = np.full((max(n for *_, n in part), wide), PAD, dtype=np.int64)
+        for c, (k, start, n) in enumerate(part):
+            ids[:n, c] = codes[k][start : start + n]
+        e = bilstm.emissions(model, ids)
+        some = {part[c][0] for c in np.flatnonzero((_gain(e, model)[:, : len(part)] > WARY).any(axis=0))}
+        e = np.ascontiguousarray(e.transpose(2, 0, 1))
+        for c, (k, start, n) in enumerate(part):
+            if k in some:
+                yield k, start, n, e[c, :n]
+
+    def whole(parts: Iterable[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k, start, n, e in parts:
+            if k not in sums:
+                sums[k] = np.zeros((len(codes[k]), len(TAGS)), np.float32), np.zeros((len(codes[k]), 1), np.float32)
+            sums[k][0][start : start + n] += e * _WEIGHT[:n]
+            sums[k][1][start : start + n] += _WEIGHT[:n]
+        for k, (total, weight) in sums.items():
+            if not weight.all():  # a long text's windows elsewhere were sure
+                total[weight[:, 0] == 0, 0] = 100.0
+                weight[weight == 0] = 1
+            yield k, total / weight
+
+    for k in order:
+        mine = [(k, a, n) for a, n in windows(len(codes[k]))]
+        if todo and len(todo) + len(mine) > COLUMNS:
+            yield from whole(run(todo))
+            todo = []
+        if len(mine) > COLUMNS:
+            yield from whole(x for i in range(0, len(mine), COLUMNS) for x in run(mine[i : i + COLUMNS]))
+        else:
+            todo += mine
+    if todo:
+        yield from whole(run(todo))
 
 
 def tag_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[list[Span]]:
-    """Spans that the tagger decodes in each text, before any rule."""
+    """Spans that the tagger decodes in each text, before any check."""
     found: list[list[Span]] = [[] for _ in texts]
-    jobs = [(k, a, b, encode(text[a:b])) for k, text in enumerate(texts) for a, b in regions(text)]
-    sums = [np.zeros((b - a, len(TAGS)), np.float32) for _, a, b, _ in jobs]
-    cover = [np.zeros(b - a, np.float32) for _, a, b, _ in jobs]
-    todo = [(j, s - a) for j, (_, a, b, _) in enumerate(jobs) for s in windows(a, b)]
-    for at in range(0, len(todo), BATCH):
-        part = todo[at : at + BATCH]
-        ids = np.full((WINDOW, len(part)), PAD, dtype=np.int64)
-        for c, (j, s) in enumerate(part):
-            piece = jobs[j][3][s : s + WINDOW]
-            ids[: len(piece), c] = piece
-        e = bilstm.emissions(model, ids)
-        for c, (j, s) in enumerate(part):
-            n = min(WINDOW, len(cover[j]) - s)
-            sums[j][s : s + n] += e[:n, c] * _WEIGHT[:n, None]
-            cover[j][s : s + n] += _WEIGHT[:n]
-    for (k, a, _, _), total, weight in zip(jobs, sums, cover, strict=True):
-        tags = bilstm.viterbi(total / weight[:, None], model["A"], model["s"])
-        start, kind = -1, 0
-        for i, t in enumerate([*tags.tolist(), 0]):
-            if start >= 0 and t != kind + 1:
-                found[k].append((TAGS[kind][2:], a + start, a + i))
-                start = -1
-            if t and t % 2:
-                start, kind = i, t
+    jobs = []
+    cost = 2 * model["A"][0, 0] - model["A"][0, 1:].max() - model["A"][1:, 0].max() + model["A"][1:, 1:].max() - model["A"][0, 0]
+    for k, e in _scored([encode(t) for t in texts], model):
+        jobs += [(k, a, e[a:b]) for a, b in doubtful(_gain(e, model), float(cost))]
+    jobs.sort(key=lambda j: len(j[2]))
+    at = 0
+    while at < len(jobs):
+        end = at + 1
+        while end < len(jobs) and (end + 1 - at) * len(jobs[end][2]) <= 100_000:
+            end += 1
+        part, at = jobs[at:end], end
+        sizes = np.array([len(x) for *_, x in part])
+        e = np.zeros((int(sizes.max()), len(part), len(TAGS)), np.float32)
+        for c, (*_, x) in enumerate(part):
+            e[: len(x), c] = x
+        tags = bilstm.viterbi(e, sizes, model["A"])
+        for c in np.flatnonzero(tags.any(axis=0)):
+            k, first, _ = part[c]
+            start, kind = -1, 0
+            for i, t in enumerate([*tags[: sizes[c], c].tolist(), 0]):
+                if start >= 0 and t != kind + 1:
+                    found[k].append((TAGS[kind][2:], first + start, first + i))
+                    start = -1
+                if t and t % 2:
+                    start, kind = i, t
     return found
 
 
-_SPELT = re.compile(r"[A-Za-z0-9._%+-]+\s?(?:@|[(\[]at[)\]]|\sat\s)\s?[A-Za-z0-9-]+(?:\s?(?:\.|[(\[]dot[)\]]|\sdot\s)\s?[A-Za-z0-9-]+)+")
+_AT, _DOT = re.compile(r"@|\bat\b", re.I), re.compile(r"\.|\bdot\b", re.I)
 
 
-def admissible(kind: str, part: str) -> bool:
-    """The rule that an added span of a kind must satisfy."""
-    digits = re.sub(r"[^0-9]", "", part)
+def plausible(kind: str, part: str) -> bool:
+    """The light check of what the tagger has decoded."""
+    numbers = re.findall(r"[0-9]+", part)
+    digits = "".join(numbers)
     if kind == "email":
-        return bool(_SPELT.fullmatch(part))
+        at = _AT.search(part, 1)
+        return bool(at) and bool(_DOT.search(part, at.end() + 1)) and part[0].isalnum() and part[-1].isalnum()
+    if re.search(r"[^\W\d_]", _DOT.sub("", part)) or "\n" in part:
+        return False
     if kind == "ip":
-        numbers = re.findall(r"[0-9]+", part)
-        return len(numbers) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in numbers) and not re.search(r"[A-Za-z]", part)
-    if kind == "card":
-        return 13 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[A-Za-z]", part)
-    return 9 <= len(digits) <= 15 and bool(re.fullmatch(r"[0-9(][0-9(). -]*[0-9]", part)) and bool(re.search(r"[0-9)][). -]+[0-9(]", part)) and re.findall(r"[0-9]+", part)[-1].__len__() >= 3
+        return len(numbers) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in numbers)
+    return 12 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
+
+
+def trimmed(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
+    """[a, b) without what isn't a letter or digit at its ends, but for an opening bracket before digits; an address begins with one word."""
+    if kind == "email" and (at := _AT.search(text, a + 1, b)):
+        name = text[a : at.start()].rstrip(" \t([{<")
+        a += max(map(name.rfind, " \t\n")) + 1
+    while a < b and not (text[a].isalnum() or text[a] in "(+" and a + 1 < b and text[a + 1].isdigit()):
+        a += 1
+    while a < b and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
 
 
 def all_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list[Span], list[Span]]]:
@@ -284,7 +325,8 @@ def all_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list
         taken = [(a, b) for _, a, b in [*base, *dropped]]
         added = []
         for kind, a, b in tagged:
-            if admissible(kind, text[a:b]) and not any(a < y and x < b for x, y in taken):
+            a, b = trimmed(text, kind, a, b)
+            if a < b and plausible(kind, text[a:b]) and not any(a < y and x < b for x, y in taken):
                 added.append((kind, a, b))
                 taken.append((a, b))
         out.append((base, ordered([*base, *added])))
@@ -305,7 +347,6 @@ def find(docs: DataFrame) -> DataFrame:
     model = tagger()
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             spans = all_spans([t or "" for t in b["text"].to_pylist()], model)
@@ -334,7 +375,6 @@ def mask(docs: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b["text"].to_pylist()
