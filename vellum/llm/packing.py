@@ -6,7 +6,8 @@ of the corpus. On it the driver builds bins: the longest piece left opens a bin,
 dynamic programme over the lengths left finds the fullest combination that fits beside it; the combination
 is removed, as many times as it is available, since it stays the fullest as long as it can be made.
 The resulting patterns say where the r-th piece of each length goes. Pieces are ranked within (length, salt)
-groups, so that a common length is ranked by many tasks.
+groups, with as many salts as a length has pieces enough for, so that a common length is ranked by many tasks.
+Pieces of the whole capacity fill a sequence each and need no rank.
 """
 
 from __future__ import annotations
@@ -24,7 +25,9 @@ from vellum.llm.common import Scratch, tidy
 
 CAPACITY = 1024
 END_ID = 2
-SALTS = 64
+#: Pieces that one task ranks, and groups of them at most in all.
+RANKED = 100_000
+GROUPS = 65_536
 #: Tokens of slack that a bin may keep, tried in turn.
 SPARES = (0, 1, 2, 4, 8, 12, 16, 24, 32)
 
@@ -42,7 +45,6 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
     path = tokenizer or tokens.default_path()
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(path)
         for batch in batches:
@@ -98,6 +100,8 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int
     Exact fits use up short pieces that later bins need, so a few amounts of slack that a bin may keep are
     tried too, and the plan with the fewest bins is taken; none can have fewer than the sum of lengths asks.
     """
+    if not counts:
+        return []
     least, best = -(-sum(x * n for x, n in counts.items()) // capacity), None
     for spare in SPARES:
         made = _patterns(counts, capacity, spare)
@@ -138,34 +142,39 @@ def _slots(made: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
-def place(items: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def place(items: DataFrame, capacity: int = CAPACITY, ranked_at_once: int = RANKED) -> DataFrame:
     """`items` (a written table with doc_id, piece, length, ...) with sequence_id and offset."""
-    salted = items.withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id, piece), {salts}) as int)"))
-    # at most capacity x salts rows
+    short = items.where(F.col("length") < capacity)
+    counts = {r.length: r.n for r in short.groupBy("length").agg(F.count("*").alias("n")).collect()}  # fewer than `capacity` rows
+    each = max(ranked_at_once, -(-sum(counts.values()) // GROUPS))
+    salts = [-(-counts.get(length, 0) // each) or 1 for length in range(capacity)]
+    salted = short.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(F.lit(salts), F.col("length").cast("int"))).cast("int"))
+    # at most `capacity` + GROUPS rows
     sizes = salted.groupBy("length", "salt").count().orderBy("length", "salt").collect()
-    counts: dict[int, int] = {}
-    before = np.zeros((capacity + 1) * salts, dtype=np.int64)
+    first = np.cumsum([0, *salts])[:-1]
+    before, seen = np.zeros(sum(salts), dtype=np.int64), dict.fromkeys(counts, 0)
     for length, salt, n in sizes:
-        before[length * salts + salt] = counts.get(length, 0)
-        counts[length] = counts.get(length, 0) + n
-    slots = _slots(patterns(counts, capacity))
+        before[first[length] + salt] = seen[length]
+        seen[length] += n
+    made = patterns(counts, capacity)
+    slots = _slots(made)
     ranked = salted.withColumn("nth", F.expr("row_number() over (partition by length, salt order by doc_id, piece, ids_crc32)"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema) + ", sequence_id long, offset long"
     kept = items.columns
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = slots[:, 0] << 48 | slots[:, 1]
         for batch in batches:
             length = batch["length"].to_numpy()
-            rank = before[length * salts + batch["salt"].to_numpy()] + batch["nth"].to_numpy() - 1
+            rank = before[first[length] + batch["salt"].to_numpy()] + batch["nth"].to_numpy() - 1
             row = slots[np.searchsorted(keys, length << 48 | rank, side="right") - 1] if len(rank) else slots[:0]
             nth = rank - row[:, 1]
             sequence, offset = row[:, 2] + nth // row[:, 3], row[:, 4] + nth % row[:, 3] * length
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(sequence), pa.array(offset)], names=[*kept, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, schema)
+    whole = items.where(F.col("length") >= capacity).select(*kept, (F.monotonically_increasing_id() + sum(k for k, _ in made)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return ranked.mapInArrow(run, schema).unionByName(whole)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
