@@ -2,6 +2,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 from vellum.llm import exact_dedup
+from vellum.llm.common import Scratch
 
 
 def slow(rows):
@@ -36,3 +37,15 @@ def test_blocks_levels_and_shared_digests(spark):
     for digest in (F.xxhash64, lambda c: F.lit(1).cast("long"), lambda c: F.length(c).cast("long")):
         assert run(docs, block_bytes=4, digest=digest) == slow(rows)
     assert run(docs.limit(0)) == []
+
+
+def test_names_follow_contents(spark):
+    texts = ["b" * 5, "a", "abcdabcd", "", "zz", "abcdzzzz", "é", "a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    named = []
+    for parts in (1, 5, 11):
+        rows = exact_dedup.identities(docs.repartition(parts), Scratch(spark, "names"), block_bytes=4).collect()
+        named.append({r.doc_id: (r.level, r.name) for r in rows})
+    assert named[0] == named[1] == named[2]
+    short = sorted((texts[i].encode(), n) for i, (level, n) in named[0].items() if level == 0)
+    assert [n for _, n in short] == sorted(n for _, n in short) and named[0][1] == named[0][7]

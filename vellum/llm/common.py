@@ -22,9 +22,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder, from spark.checkpoint.dir; where unset (local tests), a folder of our own."""
+    """The cluster's shared folder, from spark.checkpoint.dir; where unset, a folder of our own if there is no cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         base = tempfile.mkdtemp(prefix="vellum-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -48,6 +50,10 @@ def tidy(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return run
 
 
+#: Shares of a table beyond 1 in so many count as heavy.
+HEAVY = 1024
+
+
 class Scratch:
     """Tables written once to the shared folder, so that lineage ends there and a lost executor costs nothing.
 
@@ -76,6 +82,17 @@ class Scratch:
             pass
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """`rows` with the columns of their group: (keys, size, ...) of `groups`, one row each.
+
+    Groups with more than a share of 1 in HEAVY of all rows are fewer than HEAVY, so they are broadcast and their
+    rows aren't moved; the rest are joined by shuffling.
+    """
+    heavy = groups.where(F.col(size) > total / HEAVY)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) <= total / HEAVY), keys)
+    return rows.join(F.broadcast(heavy), keys).unionByName(rest)
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of an undirected graph given as edges (u, v) of longs.
 

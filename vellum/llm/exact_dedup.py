@@ -1,13 +1,15 @@
 """Exact deduplication by deterministic block naming.
 
 A text is cut into fixed-size byte blocks. All distinct blocks are sorted and numbered, so that each
-gets an integer name; then adjacent names are paired and the distinct pairs sorted and numbered in the
-same way, round after round, until each document is one name. Names stand for content that was compared
-byte by byte: the 64-bit digest of a block only chooses where it is sorted, and blocks that share a
-digest get names of their own. Two documents get the same (round, name) exactly when their bytes are equal.
-
-Content is shuffled once, after each task has merged its own equal blocks; later rounds move integers.
-Groups of copies shrink to one row a task before the shuffle, so a hot group is no heavier than others.
+gets an integer name, its place in the order of contents; then adjacent names are paired and the distinct pairs
+sorted and numbered in the same way, round after round, until each document is one name. Names depend on the
+set of texts alone, not on partitions. They stand for content that was compared byte by byte: the 64-bit digest
+of a block only chooses where equal ones meet, and blocks that share a digest get names of their own. Two
+documents get the same (round, name) exactly when their bytes are equal.
+
+Content is shuffled after each task has merged its own equal blocks, and once more, by ranges, to be sorted;
+later rounds move integers. Groups of copies shrink to one row a task before the shuffle, so a hot group is no
+heavier than others, and large groups are broadcast to their rows.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import Scratch
+from vellum.llm.common import Scratch, join_groups
 
 BLOCK_BYTES = 4096
 #: Digests shared by different blocks are looked up by broadcast up to so many, by a shuffled join beyond.
@@ -42,12 +44,20 @@ def _blocks(docs: DataFrame, block_bytes: int, digest: Callable[[Column], Column
     return rows.withColumn("h", digest(F.col("blk"))).withColumn("sha", F.expr("if(pos = 0, sha, null)"))
 
 
+def _numbered(rows: DataFrame, order: list[str], kept: list[str], scratch: Scratch, label: str) -> DataFrame:
+    """(kept, name): each of the distinct `rows` with its place, from 0, in the order of the given columns."""
+    sorted_ = rows.orderBy(*order).select(*kept, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("nth"))
+    placed = scratch.write(sorted_, label)
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))  # one row a partition
+    first = sizes.select("part", F.coalesce(F.expr("sum(n) over (order by part rows between unbounded preceding and 1 preceding)"), F.lit(0)).alias("first"))
+    return placed.join(F.broadcast(first), "part").select(*kept, (F.col("first") + F.col("nth")).alias("name"))
+
+
 def _name_blocks(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(h, key, name) for each distinct block; key holds the bytes where several blocks share h, else nothing."""
-    sets = rows.groupBy("h").agg(F.sort_array(F.collect_set("blk")).alias("blks"))
-    flat = sets.select("h", F.size("blks").alias("k"), F.posexplode("blks").alias("r", "blk"))
-    named = flat.sortWithinPartitions("h", "r").withColumn("name", F.monotonically_increasing_id())
-    return scratch.write(named.select("h", F.expr("if(k > 1, concat(X'01', blk), X'')").alias("key"), "name"), "names0")
+    sets = rows.groupBy("h").agg(F.collect_set("blk").alias("blks"))
+    flat = sets.select("h", F.size("blks").alias("k"), F.explode("blks").alias("blk"))
+    return _numbered(flat.withColumn("key", F.expr("if(k > 1, concat(X'01', blk), X'')")), ["blk"], ["h", "key"], scratch, "names0")
 
 
 def _first_round(docs: DataFrame, scratch: Scratch, block_bytes: int, digest: Callable[[Column], Column]) -> DataFrame:
@@ -82,7 +92,7 @@ def identities(docs: DataFrame, scratch: Scratch, block_bytes: int = BLOCK_BYTES
                 F.expr("coalesce(max(if(pos % 2 = 1, name, null)), -1)").alias("b"),
             )
         )
-        names = scratch.write(pairs.select("a", "b").distinct().sortWithinPartitions("a", "b").withColumn("name", F.monotonically_increasing_id()), f"names{level}")
+        names = _numbered(pairs.select("a", "b").distinct(), ["a", "b"], ["a", "b"], scratch, f"names{level}")
         now = scratch.write(pairs.join(names, ["a", "b"]).select("rid", "doc_id", "sha", "n", F.col("pos").cast("int").alias("pos"), "name"), f"round{level}")
         scratch.drop(f"names{level}")
         done = done.unionByName(now.where("n = 1").withColumn("level", F.lit(level)))
@@ -99,7 +109,7 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, digest: Callabl
     scratch = Scratch(docs.sparkSession, "exact")
     ids = identities(docs, scratch, block_bytes, digest)
     groups = ids.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("top"), F.count("*").alias("group_size"))
-    return ids.join(groups, ["level", "name"]).select(
+    return join_groups(ids, scratch.write(groups, "groups"), ["level", "name"], "group_size", ids.count()).select(
         "doc_id",
         F.col("top.doc_id").alias("keep_id"),
         "group_size",
