@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from vellum.llm import sharding
 
 
@@ -61,3 +62,25 @@ def test_files_are_rewritten(spark, tmp_path):
     out = spark.read.parquet(f"{tmp_path}/new")
     sizes = [r.s for r in out.selectExpr("shard", "length(text) + 1 as n").groupBy("shard").sum("n").toDF("shard", "s").collect()]
     assert out.count() == 1000 and max(sizes) - min(sizes) < 300 and report["kept"] == []
+
+
+def test_kept_shards_and_columns_of_any_name(spark, tmp_path):
+    # shards 2 and 3 are as large as they should be, 0 gives to 1
+    rows = [(i, "x" * 9, i, "own", s) for s, n in enumerate((60, 40, 50, 50)) for i in range(1000 * s, 1000 * s + n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h long, _block string, shard int").withColumn("_old", F.col("doc_id") * 2)
+    docs.write.partitionBy("shard").parquet(f"{tmp_path}/old")
+    report = sharding.reshard_files(spark, f"{tmp_path}/old", f"{tmp_path}/new", shards=4)
+    out = spark.read.parquet(f"{tmp_path}/new")
+    assert report["kept"] == [2, 3] and report["moved_bytes"] == 100
+    assert sorted(map(tuple, out.select("doc_id", "text", "_h", "_block", "_old").collect())) == sorted((i, t, h, b, 2 * i) for i, t, h, b, _ in rows)
+    assert [r[1] for r in out.groupBy("shard").count().orderBy("shard").collect()] == [50] * 4
+
+
+def test_documents_as_files(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs.withColumn("shard", (F.col("doc_id") % 7).cast("int")).write.partitionBy("shard").parquet(f"{tmp_path}/old")
+    report = sharding.reshard_files(spark, f"{tmp_path}/old", f"{tmp_path}/new")
+    out = spark.read.parquet(f"{tmp_path}/new")
+    assert sorted(map(tuple, out.select(docs.columns).collect())) == sorted(map(tuple, docs.collect()))
+    sizes = [r.s for r in out.groupBy("shard").agg(F.sum(F.octet_length("text") + 1).alias("s")).collect()]
+    assert len(sizes) == 16 and max(sizes) - min(sizes) < 0.02 * sum(sizes) and report["moved_bytes"] < 0.65 * sum(sizes)

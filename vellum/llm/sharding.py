@@ -6,7 +6,8 @@ problem from old shard sizes to new capacities: a byte that stays costs nothing,
 Blocks are then chosen to carry each flow, largest first as they fit. Groups stay whole, except a group
 that alone outgrows a shard: its rows are dealt over blocks of their own, or sizes couldn't be equal.
 
-Slots are numbered within blocks by many tasks, and each block's first slot comes from the same table.
+Slots are numbered within blocks by many tasks, those of blocks with many rows within salted parts of them, and
+each part's first slot comes from the same table.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm.common import Scratch
+from vellum.llm.common import HEAVY, Scratch
 
 SHARDS = 16
 BLOCKS = 4096
@@ -155,21 +156,37 @@ def _split_giants(keyed: DataFrame, total: int, shards: int, blocks: int) -> Dat
     return keyed.withColumn("_block", F.when(F.col("_h").isin(giants), own).otherwise(F.col("_block")).cast("int"))
 
 
+def _salted(keyed: DataFrame, rows: int) -> DataFrame:
+    """`keyed` with _salt: blocks with more than a share of 1 in HEAVY of all rows, fewer than HEAVY, are dealt over several."""
+    most = max(1, rows // HEAVY)
+    heavy = keyed.groupBy("_old", "_block").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    parts = heavy.select("_old", "_block", F.ceil(F.col("n") / most).alias("_parts"))
+    return keyed.join(F.broadcast(parts), ["_old", "_block"], "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(11)), "_parts"), F.lit(0)).cast("int")).drop("_parts")
+
+
 def plan(keyed: DataFrame, shards: int, capacities: list[int] | None = None) -> tuple[DataFrame, dict]:
-    """(_old, _block, _shard, _first) per block, and what moves: {"moved_bytes": ..., "affected": [...]}."""
-    # at most (blocks + parts of giants) rows a shard
-    rows = keyed.groupBy("_old", "_block").agg(F.sum("_size").alias("s"), F.count("*").alias("n")).orderBy("_old", "_block").collect()
-    blocks = [Block(r._old, r._block, r.s, r.n) for r in rows]
+    """(_old, _block, _salt, _shard, _first) per part of a block, and what moves: {"moved_bytes": ..., "affected": [...]}."""
+    # at most (blocks + parts of giants) rows a shard, and 2 x HEAVY for salted blocks
+    rows = keyed.groupBy("_old", "_block", "_salt").agg(F.sum("_size").alias("s"), F.count("*").alias("n")).orderBy("_old", "_block", "_salt").collect()
+    blocks: list[Block] = []
+    for r in rows:
+        if blocks and (blocks[-1].shard, blocks[-1].block) == (r._old, r._block):
+            blocks[-1].size += r.s
+            blocks[-1].rows += r.n
+        else:
+            blocks.append(Block(r._old, r._block, r.s, r.n))
     total = sum(b.size for b in blocks)
     to = assign(blocks, capacities or capacities_of(total, shards)) if blocks else []
+    home = {(b.shard, b.block): j for b, j in zip(blocks, to, strict=True)}
     first, out = [0] * shards, []
-    for b, j in zip(blocks, to, strict=True):
-        out.append((b.shard, b.block, j, first[j]))
-        first[j] += b.rows
+    for r in rows:
+        j = home[r._old, r._block]
+        out.append((r._old, r._block, r._salt, j, first[j]))
+        first[j] += r.n
     moved = [(b, j) for b, j in zip(blocks, to, strict=True) if b.shard != j]
     report = {"moved_bytes": sum(b.size for b, _ in moved), "affected": sorted({x for b, j in moved for x in (b.shard, j)})}
     spark = keyed.sparkSession
-    return spark.createDataFrame(out, "_old int, _block int, _shard int, _first long"), report
+    return spark.createDataFrame(out, "_old int, _block int, _salt int, _shard int, _first long"), report
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, blocks: int = BLOCKS) -> DataFrame:
@@ -185,10 +202,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, bloc
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
     slim = scratch.write(keyed.select("doc_id", "_h", "_old", "_block", "_size", crc), "rows")
     total = slim.agg(F.sum("_size")).first()[0] or 0
-    slim = _split_giants(slim, total, shards, blocks)
+    slim = _salted(_split_giants(slim, total, shards, blocks), slim.count())
     table, _ = plan(slim, shards)
-    nth = F.expr("row_number() over (partition by _old, _block order by doc_id, _h)") - 1
-    placed = slim.withColumn("_nth", nth).join(F.broadcast(table), ["_old", "_block"])  # the table is bounded, see plan
+    nth = F.expr("row_number() over (partition by _old, _block, _salt order by doc_id, _h)") - 1
+    placed = slim.withColumn("_nth", nth).join(F.broadcast(table), ["_old", "_block", "_salt"])  # the table is bounded, see plan
     return placed.select(
         "doc_id",
         F.col("_size").alias("size"),
@@ -201,15 +218,21 @@ def shard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, bloc
 
 
 def reshard_files(spark: SparkSession, source: str, target: str, shards: int = SHARDS, blocks: int = BLOCKS) -> dict:
-    """Rewrites the affected shards of `source` (folders shard=0, shard=1, ...) into `target`; returns the report.
+    """Writes `source` (folders shard=0, shard=1, ... of doc_id, text and any other columns) to `target` with equal shards; returns the report.
 
-    Shards that neither give nor take are left alone, and listed under "kept".
+    Only shards that give or take rows have their rows placed anew. Those that neither give nor take, listed
+    under "kept", are copied as they are, so that `target` is whole. `target` is another folder than `source`.
+    Columns pass through, whatever their names; a null text has size 1; an empty source gives an empty target.
     """
     docs = spark.read.parquet(source)
-    keyed = _keyed(docs, F.col("shard"), shards, blocks)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    keyed = _keyed(docs.select(row, F.col("doc_id"), F.col("text"), F.col("shard").alias("_given")), F.col("_given"), shards, blocks)
     total = keyed.agg(F.sum("_size")).first()[0] or 0
-    keyed = _split_giants(keyed, total, shards, blocks)
+    keyed = _split_giants(keyed, total, shards, blocks).withColumn("_salt", F.lit(0))
     table, report = plan(keyed, shards)
-    moved = keyed.where(F.col("shard").isin(report["affected"])).join(F.broadcast(table), ["_old", "_block"])
-    moved.withColumn("shard", F.col("_shard")).select(docs.columns).write.mode("overwrite").partitionBy("shard").parquet(target)
-    return report | {"kept": [s for s in range(shards) if s not in report["affected"]]}
+    kept = [s for s in range(shards) if s not in report["affected"]]
+    columns = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c != "shard"]
+    moved = keyed.where(F.col("_given").isin(report["affected"])).join(F.broadcast(table), ["_old", "_block", "_salt"])
+    moved.select(*columns, F.col("_shard").alias("shard")).write.mode("overwrite").partitionBy("shard").parquet(target)
+    docs.where(F.col("shard").isin(kept)).select(*[F.col(f"`{c}`") for c in docs.columns]).write.mode("append").partitionBy("shard").parquet(target)
+    return report | {"kept": kept}
