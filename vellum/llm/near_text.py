@@ -97,7 +97,6 @@ def _dealt(classes: DataFrame, n: int, least: float) -> DataFrame:
     places = [np.sort(rng.choice(64, bits, replace=False)).astype(np.uint64) for _ in range(samples)]
 
     @tidy
-
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch["a"].to_numpy().view(np.uint64)
@@ -130,7 +129,6 @@ def candidates(classes: DataFrame, n: int, least: float) -> DataFrame:
     bits, _, radius = layout(n, least)
 
     @tidy
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gid, th, a, b in _whole_groups(batches):
             yield from _met(gid, th, a, b, bits, radius)
@@ -200,7 +198,6 @@ def missed(classes: DataFrame, texts: DataFrame, n: int, least: float, k: int) -
     radius = layout(n, least)[2]
 
     @tidy
-
     def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gid, th, a, b, root in _whole_groups(batches):
             some = np.zeros(len(gid), dtype=bool)
@@ -211,14 +208,12 @@ def missed(classes: DataFrame, texts: DataFrame, n: int, least: float, k: int) -
             yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (gid, th, a, b, root)], names=["gid", "th", "a", "b", "root"])
 
     @tidy
-
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.unique(np.array([xxhash.xxh64_intdigest(x) for x in shingles(t.as_py(), k)], dtype=np.uint64)).tobytes() for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["th"], pa.array(sets, pa.binary())], names=["th", "hashes"])
 
     @tidy
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for gid, th, a, b, root, hashes in _whole_groups(batches):
             label = root.copy()
@@ -247,7 +242,6 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFr
     """The pairs whose texts (`texts`: th, text) have that similarity."""
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [similarity(shingles(s.as_py(), k), shingles(t.as_py(), k)) >= least for s, t in zip(batch["s"], batch["t"], strict=True)]
@@ -259,11 +253,10 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFr
 
 
 def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
-    """(th, root, keep): the hash of each distinct text, of its group, and the doc_id that stays for the group."""
-    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    """(th, sig, root, keep, keep_th): hash and digest of each distinct text, its group, and the doc_id and the hash of what stays of the group."""
+    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"th": F.xxhash64("text"), "sig": F.md5(F.col("text").cast("binary"))})
 
     @tidy
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: dict[int, tuple[int, int]] = {}
@@ -271,10 +264,12 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
                 if h not in made:
                     made[h] = two_fingerprints(t.as_py(), k)
             both = np.array([made[h] for h in batch["th"].to_pylist()], dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc_id", "th", "a", "b"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], batch["sig"], pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["doc_id", "th", "sig", "a", "b"])
 
-    prints = hashed.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, a long, b long")
-    classes = scratch.write(prints.groupBy("th").agg(F.min("doc_id").alias("least"), F.min("a").alias("a"), F.min("b").alias("b")), "classes")
+    prints = hashed.select("doc_id", "th", "sig", "text").mapInArrow(run, "doc_id long, th long, sig string, a long, b long")
+    # a class is the text of the least digest where several share a hash; the others take no part, see drop_near_copies
+    own = prints.groupBy("th", "sig").agg(F.min("doc_id").alias("least"), F.min("a").alias("a"), F.min("b").alias("b"))
+    classes = scratch.write(own.groupBy("th").agg(F.min_by(F.struct("sig", "least", "a", "b"), "sig").alias("x")).select("th", "x.*"), "classes")
     n = classes.count()
     pairs = scratch.write(candidates(classes.select("th", "a", "b"), n, least), "pairs")
     texts = hashed.select("th", "text").join(pairs.select(F.explode(F.array("u", "v")).alias("th")).distinct(), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
@@ -285,20 +280,22 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
     more = scratch.write(missed(met, texts, n, least, k), "more")
     if not more.isEmpty():
         roots = components(links.unionByName(verified(more, texts, least, k)), scratch)
-    rooted = classes.join(roots, classes.th == roots.node, "left").select("th", "least", F.coalesce("root", "th").alias("root"))
+    rooted = classes.join(roots, classes.th == roots.node, "left").select("th", "sig", "least", F.coalesce("root", "th").alias("root"))
     keep = rooted.groupBy("root").agg(F.min("least").alias("keep"), F.min(F.struct(F.col("least").isNull(), "least", "th")).alias("top"))
-    return rooted.join(keep, "root").select("th", "root", "keep", F.col("top.th").alias("keep_th"))
+    return rooted.join(keep, "root").select("th", "sig", "root", "keep", F.col("top.th").alias("keep_th"))
 
 
 def drop_near_copies(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
     """`docs` with one document of each group of near copies: that of the smallest doc_id.
 
     Groups are the components of pairs of similar texts; texts with the same words in the same order are
-    similar, null and empty ones and those of white space too. Rows that repeat both doc_id and text are one
+    similar, null and empty ones and those of white space too. Texts are the same by 64 and 128 bits of two
+    digests; of different texts that share the first, all but one stay without being compared. Rows that repeat both doc_id and text are one
     document and stay together; so do rows without a doc_id whose text stays. Other columns pass through.
     """
     scratch = Scratch(docs.sparkSession, "near")
-    kept = groups(docs, scratch, least, k).where("th = keep_th").select(F.col("th").alias("_kth"), F.col("keep").alias("_kid"))
-    marked = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
-    stays = marked.join(kept, (F.col("_th") == F.col("_kth")) & F.col("_id").eqNullSafe(F.col("_kid")), "left_semi")
-    return stays.select("_row.*")
+    gone = groups(docs, scratch, least, k).select(F.col("th").alias("_kth"), F.col("sig").alias("_ksig"), F.when(F.col("th") == F.col("keep_th"), F.struct(F.col("keep").alias("id"))).alias("_kid"))
+    text = F.coalesce("text", F.lit(""))
+    marked = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"), F.md5(text.cast("binary")).alias("_sig"))
+    goes = (F.col("_th") == F.col("_kth")) & (F.col("_sig") == F.col("_ksig")) & (F.col("_kid").isNull() | ~F.col("_id").eqNullSafe(F.col("_kid.id")))
+    return marked.join(scratch.write(gone, "gone"), goes, "left_anti").select("_row.*")
