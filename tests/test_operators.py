@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 from vellum.functions import chunks, classify, html, prompts, quality, talks
-from vellum.operators import evaluation, ingest, telemetry
+from vellum.operators import curation, evaluation, ingest, telemetry, vectors
 from vellum.plans import reformatting  # noqa: F401
 from vellum.sources import config, files
 
@@ -171,3 +171,49 @@ def test_recognition_faults(spark):
     assert one(spark, quality.ocr_rate(c("t")), t="clean words only here") == 0
     assert one(spark, quality.ocr_rate(c("t")), t="wo7ds and ABC now") == 0.5
     assert one(spark, quality.quality_score(c("t")), t="wo7ds and ABC now") < one(spark, quality.quality_score(c("t")), t="Words and more now.")
+
+
+def test_no_rows_are_lost(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, ""), (4, "c b a"), (5, None)], "doc_id long, content string")
+    got = {r.doc_id: (r.class_id, r.n_links, r.nearest_id) for r in curation.near_duplicates(docs).collect()}
+    assert got == {1: (1, 1, None), 4: (1, 1, 1), 2: (2, 2, None), 3: (2, 2, 2), 5: (2, 2, 2)}
+    rows = spark.createDataFrame([(1, None), (2, None), (3, "x"), (None, "x"), (4, "x")], "doc_id long, author string")
+    split = evaluation.split(rows, ratio=0.5)
+    assert split.columns == ["doc_id", "author", "split"] and split.count() == 5
+    assert {(r.author, r.train_count + r.val_count) for r in evaluation.split_balance(split).collect()} == {(None, 2), ("x", 3)}
+    assert evaluation.split_summary(split).first().total_documents == 5
+
+
+def test_repeated_ids_in_style(spark):
+    refs = spark.createDataFrame([("x", "the cat sat. the dog ran."), ("y", "one two three.")], "author string, text string")
+    texts = spark.createDataFrame([(1, "x", "the cat sat."), (1, "x", "the cat sat."), (1, "y", "four five."), (2, None, "lost"), (3, "z", None)], "id long, author string, text string")
+    got = evaluation.evaluate(texts, refs).collect()
+    assert sorted((r.id, str(r.author)) for r in got) == [(1, "x"), (1, "x"), (1, "y"), (2, "None"), (3, "z")]
+    same = [r for r in got if r.author == "x"]
+    assert same[0] == same[1] and 0 < same[0].overall_similarity <= 1
+    assert all(r.vocab_overlap == 0 for r in got if r.author in (None, "z"))
+
+
+def test_nearest_with_ties_and_odd_vectors(spark):
+    rows = [(i, [1.0, 0.5]) for i in range(90, 80, -1)] + [(1, None), (2, [0.0, 0.0]), (3, [None, 1.0]), (4, [float("nan"), 1.0]), (5, [1.0]), (6, [-1.0, -0.5]), (None, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for block, part in ((20_000, 200_000), (1, 2)):
+        got = vectors.nearest(table, table.where("vec_id in (90, 1, 2, 5, 6)"), 3, block, part).orderBy("query_id", "rank").collect()
+        assert [(r.query_id, r.vec_id) for r in got] == [(6, 81), (6, 82), (6, 83), (90, 81), (90, 82), (90, 83)]
+        assert {r.similarity for r in got} == {1.0, -1.0}
+    assert vectors.nearest(table.limit(0), table).count() == 0 and vectors.nearest(table, table.limit(0)).count() == 0
+
+
+def test_links_to_talks(spark):
+    base = "https://www.churchofjesuschrist.org"
+    hrefs = ["/study/general-conference/2024/10/", "/study/general-conference/2024/10/slug?lang=eng", "/study/general-conference/2024/10/slug?lang=eng", "/study/liahona/2024/10/slug", "study/general-conference/2024/10/a/b", "/study/general-conference/2024/10?lang=eng", "/study/general-conference/2024/10/slug?lang=spa"]
+    pages = spark.createDataFrame([(1, base + "/study/general-conference/2024/10?lang=eng", "".join(f'<a href="{h}">x</a>' for h in hrefs)), (2, base, None)], "page_id long, url string, html string")
+    assert [r.url for r in ingest.talk_links(pages).orderBy("pos").collect()] == [base + hrefs[1], base + hrefs[6]]
+    assert [r.url for r in ingest.talk_links(pages, "liahona").collect()] == [base + hrefs[3]]
+    assert [r.url for r in ingest.anchored_links(pages).collect()] == [base + hrefs[1]]
+
+
+def test_notes_end_as_they_should(spark):
+    cases = {"Notes\nx\n\n": "Notes\nx\n", "": "", None: "", "x": "Notes\nx", "  Notes \n\n\n a \n\n\n b": "Notes\n\na\n\nb"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", talks.format_notes(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == cases

@@ -318,9 +318,11 @@ def valid_metadata(title: Column, author: Column, date: Column, year: Column | N
 
 
 def format_notes(text: Column) -> Column:
+    """Notes under their heading, lines stripped, blank ones single; nothing for none."""
     headed = F.when(F.startswith(strip(text), F.lit("Notes")), text).otherwise(F.concat(F.lit("Notes\n"), text))
     bare = F.array_join(F.transform(lines(headed), strip), "\n")
-    return F.regexp_replace(F.regexp_replace(bare, r"^\n+", ""), r"\n{3,}", "\n\n")
+    single = F.regexp_replace(F.regexp_replace(bare, r"^\n+", ""), r"\n{3,}", "\n\n")
+    return F.when(F.coalesce(text, F.lit("")) == "", "").otherwise(F.regexp_replace(single, r"\n+\z", "\n"))
 
 
 def render(title: Column, author: Column, body_: Column, date: Column, author_title: Column, notes_: Column) -> Column:

@@ -17,8 +17,9 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     Texts with the same set of words form a class, named by its smallest doc_id. Classes that share a band of
     minimum hashes are compared exactly; n_links counts the other documents with that similarity, of the same
     class too, and nearest_id is the smallest of them. Copies are counted, not expanded into pairs.
+    A null text has no words, as an empty one; texts without words are one class and link to no other.
     """
-    sets = docs.select("doc_id", F.sort_array(F.array_distinct(F.filter(F.split("content", r"\s+"), lambda w: w != ""))).alias("words"))
+    sets = docs.select("doc_id", F.sort_array(F.array_distinct(F.filter(F.split(F.coalesce("content", F.lit("")), r"\s+"), lambda w: w != ""))).alias("words"))
     members = sets.select("doc_id", "words").withColumn("h", F.xxhash64("words"))
     classes = members.groupBy("h", "words").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("size"))
     some = classes.where(F.size("words") > 0)

@@ -72,8 +72,15 @@ def ngram_similarity(texts: DataFrame, refs: DataFrame, features: int = MAX_FEAT
 
 
 def style(texts: DataFrame, refs: DataFrame) -> DataFrame:
-    """`texts` (id, author, text) against `refs` (author, text): the five similarities and their weighted sum."""
-    out = texts.join(vocab_overlap(texts, refs), "id").join(feature_scores(texts, refs), "id", "left").join(ngram_similarity(texts, refs), "id")
+    """`texts` (id, author, text) against `refs` (author, text): the five similarities and their weighted sum.
+
+    Rows that repeat an id are scored each on its own, equal rows once; a null text counts as empty, and what has
+    no author, or one without a corpus, has similarity 0.
+    """
+    named = texts.withColumn("_key", F.md5(F.to_json(F.struct("id", "author", "text"))))
+    once = named.select(c("_key").alias("id"), "author", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id"])
+    scored = vocab_overlap(once, refs).join(feature_scores(once, refs), "id", "left").join(ngram_similarity(once, refs), "id")
+    out = named.join(scored.withColumnRenamed("id", "_key"), "_key").drop("_key")
     safe = {k: F.coalesce(F.nanvl(c(k), F.lit(0.0)), F.lit(0.0)) for k in STYLE}
     return out.withColumns(safe).withColumn("overall_similarity", sum((c(k) * w for k, w in list(STYLE.items())[1:]), c("vocab_overlap") * 0.25))
 
@@ -111,15 +118,16 @@ def author_report(outputs: DataFrame) -> DataFrame:
 def split(docs: DataFrame, key: str = "doc_id", ratio: float = 0.15, seed: int = 42) -> DataFrame:
     """`docs` with split: the ceil(n * ratio) rows of an author with the smallest hashes validate; an only row trains.
 
-    Ranks are counted within (author, first byte of the hash), so an author of any share is dealt over tasks.
+    Rows without an author are a group of their own, rows without a key rank first in theirs. Ranks are counted within (author, first byte of the hash), so an author of any share is dealt over tasks.
     """
     hashed = docs.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), c(key).cast("string")))).withColumn("_b", F.substring("_h", 1, 2))
     sizes = hashed.groupBy("author", "_b").agg(F.count("*").alias("_n"))
     w = W.partitionBy("author")
     before = sizes.select("author", "_b", (F.sum("_n").over(w.orderBy("_b")) - c("_n")).alias("_before"), F.sum("_n").over(w).alias("_all"))
-    ranked = hashed.join(before, ["author", "_b"]).withColumn("_rank", c("_before") + F.row_number().over(W.partitionBy("author", "_b").orderBy("_h", key)))
+    same = c("author").eqNullSafe(c("_author")) & c("_b").eqNullSafe(c("_c"))
+    ranked = hashed.join(before.withColumnsRenamed({"author": "_author", "_b": "_c"}), same).withColumn("_rank", c("_before") + F.row_number().over(W.partitionBy("author", "_b").orderBy("_h", key)))
     held = (c("_all") > 1) & (c("_rank") <= F.ceil(c("_all") * ratio))
-    return ranked.withColumn("split", F.when(held, "validation").otherwise("train")).drop("_h", "_b", "_before", "_all", "_rank")
+    return ranked.withColumn("split", F.when(held, "validation").otherwise("train")).drop("_h", "_b", "_before", "_all", "_rank", "_author", "_c")
 
 
 def plain_split(docs: DataFrame, key: str = "doc_id", ratio: float = 0.1, seed: int = 42) -> DataFrame:

@@ -26,13 +26,35 @@ def seeds(spark: SparkSession, first: int, last: int, content_type: str = "gener
     return out if upto is None else out.where(F.make_date("year", "month", F.lit(1)) <= upto)
 
 
-def links(pages: DataFrame, contains: str = "/study/", least_slashes: int = 5) -> DataFrame:
+def links(pages: DataFrame, contains: str = "/study/", least_slashes: int = 5, least_parts: int = 1) -> DataFrame:
     """(page_id, pos, url) of the links of `pages` (page_id, url, html) that pass, made absolute, the page itself out."""
+    parts = F.size(F.split(F.regexp_replace("href", "^/+|/+$", ""), "/"))
     found = pages.select("page_id", c("url").alias("_page"), html.site(c("url")).alias("_site"), F.posexplode_outer(html.hrefs(c("html"))).alias("pos", "href"))
-    kept = found.where(F.contains("href", F.lit(contains)) & (html.slashes(c("href")) >= least_slashes))
+    kept = found.where(F.contains("href", F.lit(contains)) & (html.slashes(c("href")) >= least_slashes) & (parts >= least_parts))
     return kept.withColumn("url", html.absolute(c("href"), c("_site"))).where("url is not null and url <> _page").select("page_id", "pos", "url")
 
 
+def talk_links(pages: DataFrame, content_type: str = "general-conference") -> DataFrame:
+    """(page_id, pos, url): the first occurrences of links to texts of a type.
+
+    A link needs the type's path, five slashes and, without slashes at its ends, five parts, so that links to the
+    index of a month, which name no text, stay out.
+    """
+    deep = pages.withColumn("html", F.coalesce("html", F.lit("")))
+    kept = links(deep, f"/study/{content_type}/", 5, 5)
+    return first_links(kept)
+
+
+#: fixed value: links that the notebook takes, between the year and the language
+_ANCHORED = r"^/study/general-conference/\d{4}/\d{2}/.+\?lang=eng$"
+
+
+def anchored_links(pages: DataFrame) -> DataFrame:
+    """(page_id, url): the distinct site-relative links of a page to talks in English, made absolute on BASE."""
+    found = pages.select("page_id", F.explode(html.hrefs(c("html"))).alias("href")).where(c("href").rlike(_ANCHORED))
+    return found.select("page_id", F.concat(F.lit(BASE), "href").alias("url")).distinct()
+
+
 def first_links(found: DataFrame) -> DataFrame:
     """The first occurrence of each link of a page, in page order."""
     return found.withColumn("_n", F.row_number().over(W.partitionBy("page_id", "url").orderBy("pos"))).where("_n = 1").drop("_n")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 c = F.col
-#: Queries compared in one pass over the table; their number bounds what tasks get.
+#: Queries, and rows of the table, that meet in one task.
 QUERY_BLOCK = 20_000
+TABLE_PART = 200_000
 
 
 def unit(v: Column) -> Column:
@@ -34,34 +36,71 @@ def mean_similarity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return both.groupBy("left_key", "right_key").agg(F.round(F.sum(c("m_left_key") * c("m_right_key")), 6).alias("mean_similarity"))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """(query_id, rank, vec_id, similarity): the k most similar rows but the query's own, ties to the smaller id."""
-    asked = queries.select("vec_id", "embedding")
-    out = None
-    n = asked.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    for b in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").toPandas()  # a block of queries
-        if not len(part):
-            continue
-        ids = part["vec_id"].to_numpy()
-        q = np.stack(part["embedding"].map(np.asarray)).astype(np.float64)
-        q /= np.linalg.norm(q, axis=1, keepdims=True)
-
-        def search(frames: Iterator[pd.DataFrame], ids=ids, q=q) -> Iterator[pd.DataFrame]:
-            for f in frames:
-                if not len(f):
+def _usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v) of the rows with an id and a finite vector that isn't zero."""
+    v = vectors.select(c("vec_id").cast("long").alias("vec_id"), c("embedding").cast("array<double>").alias("v"))
+    return v.where("vec_id is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)")
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = QUERY_BLOCK, part: int = TABLE_PART) -> DataFrame:
+    """(query_id, rank, vec_id, similarity): the k most similar rows but the query's own, ties to the smaller id.
+
+    Blocks of queries meet parts of the table in tasks, each of which hands on k rows a query; nothing is
+    collected. Similarities that agree to 12 places are ties. Vectors null, zero or with null or non-finite
+    components take no part; vectors of different lengths aren't compared; an id that repeats among the queries
+    asks once for each vector and counts at its nearest.
+    """
+    rows, asked = _usable(vectors), _usable(queries)
+    n, m = rows.count(), asked.count()
+    blocks, parts = max(1, -(-m // block)), max(1, -(-n // part))
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    own = lambda many: F.pmod(F.xxhash64("vec_id"), F.lit(many)).cast("int")
+    left = asked.select(own(blocks).alias("block"), every(parts).alias("part"), F.size("v").alias("dim"), F.lit(0).alias("kind"), "vec_id", "v")
+    right = rows.select(every(blocks).alias("block"), own(parts).alias("part"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "vec_id", "v")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+        best: tuple[np.ndarray, ...] | None = None
+
+        def answers() -> pa.RecordBatch:
+            ids, sims = best
+            keep = np.isfinite(sims)
+            who = np.broadcast_to(here[0][:, None], ids.shape)
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (who, ids, sims)], names=["query_id", "vec_id", "similarity"])
+
+        now = None
+        for b in batches:
+            keys = np.stack([b[x].to_numpy() for x in ("block", "part", "dim", "kind")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for a, z in pairwise(cuts):
+                if a == z:
+                    continue
+                key, kind = tuple(keys[a, :3].tolist()), keys[a, 3]
+                if key != now:
+                    if best is not None:
+                        yield answers()
+                    now, held, here, best = key, [], None, None
+                piece = b.slice(a, z - a)
+                ids = piece["vec_id"].to_numpy()
+                x = piece["v"].flatten().to_numpy().reshape(len(ids), -1)
+                x = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+                if kind == 0:
+                    held.append((ids, x))
                     continue
-                x = np.stack(f["embedding"].map(np.asarray)).astype(np.float64)
-                own = f["vec_id"].to_numpy()
-                s = q @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T
-                s[ids[:, None] == own[None, :]] = -np.inf
-                take = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                yield pd.DataFrame({"query_id": np.repeat(ids, take.shape[1]), "vec_id": own[take].ravel(), "similarity": np.take_along_axis(s, take, 1).ravel()})
-
-        found = vectors.select("vec_id", "embedding").mapInPandas(search, "query_id long, vec_id long, similarity double").where("similarity > double('-infinity')")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, similarity double")
-    ranked = out.withColumn("rank", F.expr("cast(row_number() over (partition by query_id order by similarity desc, vec_id) as int)"))
+                if not held:
+                    continue
+                if here is None:
+                    here = tuple(np.concatenate(y) for y in zip(*held, strict=True))
+                    best = np.zeros((len(here[0]), 0), np.int64), np.zeros((len(here[0]), 0))
+                sims = np.round(here[1] @ x.T, 12)
+                sims[here[0][:, None] == ids[None, :]] = -np.inf
+                both = np.concatenate([best[0], np.broadcast_to(ids, sims.shape)], axis=1), np.concatenate([best[1], sims], axis=1)
+                take = np.lexsort((both[0], -both[1]), axis=1)[:, : 2 * k]
+                best = np.take_along_axis(both[0], take, 1), np.take_along_axis(both[1], take, 1)
+        if best is not None:
+            yield answers()
+
+    met = left.unionByName(right).repartition("block", "part", "dim").sortWithinPartitions("block", "part", "dim", "kind", "vec_id")
+    found = met.mapInArrow(search, "query_id long, vec_id long, similarity double").groupBy("query_id", "vec_id").agg(F.max("similarity").alias("similarity"))
+    ranked = found.withColumn("rank", F.expr("cast(row_number() over (partition by query_id order by similarity desc, vec_id) as int)"))
     return ranked.where(c("rank") <= k).select("query_id", "rank", "vec_id", F.round("similarity", 6).alias("similarity"))

@@ -19,6 +19,14 @@ def _links(s, d):
     return ingest.links(_pages(s, d), "/", 1)
 
 
+# links to talks in place of the pages' own, and links to an index, with and without a slash at the end
+_INDEX = '<a href="/study/general-conference/2024/10/">x</a><a href="/study/general-conference/2024/10?lang=eng">x</a><a href="/study/general-conference/2024/10/slug?lang=eng">x</a><a href="https://a.org/study/general-conference/2024/10/">x</a>'
+
+
+def _talk_pages(s, d):
+    return _pages(s, d).withColumn("html", F.concat(F.replace("html", F.lit('href="/'), F.lit('href="/study/general-conference/2024/04/')), F.lit(_INDEX)))
+
+
 def _dated(s, d):
     return ingest.first_links(_links(s, d)).withColumns({"year": (c("page_id") % 5 + 2000).cast("int"), "month": F.when(c("page_id") % 2 == 0, 4).otherwise(10)})
 
@@ -27,7 +35,8 @@ QUERIES = {
     "seed_urls": lambda s, d: ingest.seeds(s, 1971, 2024),
     "seed_urls_monthly": lambda s, d: ingest.seeds(s, 2008, 2024, "liahona", F.lit("2024-06-01").cast("date")),
     "extract_links": _links,
-    "extract_links_strict": lambda s, d: ingest.links(_pages(s, d).withColumn("html", F.replace("html", F.lit('href="/'), F.lit('href="/study/general-conference/2024/04/')))),
+    "extract_links_strict": lambda s, d: ingest.talk_links(_talk_pages(s, d)),
+    "extract_links_anchored": lambda s, d: ingest.anchored_links(_talk_pages(s, d)),
     "dedupe_links": lambda s, d: ingest.first_links(_links(s, d)),
     "distinct_links": lambda s, d: _links(s, d).groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_set("url")), "\n").alias("urls")),
     "link_counts": lambda s, d: ingest.counts(_dated(s, d)),
@@ -50,6 +59,7 @@ def _linked(pages: str, contains: str, least: int) -> str:
         WHERE contains(href, '{contains}') AND length(href) - length(replace(href, '/', '')) >= {least} AND url IS NOT NULL AND url <> page"""
 
 
+_TALK_PAGES = f"""(SELECT page_id, url, replace(html, 'href="/', 'href="/study/general-conference/2024/04/') || '{_INDEX}' AS html FROM pages)"""
 _LINKS = _linked("pages", "/", 1)
 _FIRST = f"SELECT page_id, min(pos) AS pos, url FROM ({_LINKS}) GROUP BY page_id, url"
 _DATED = f"SELECT *, (page_id % 5 + 2000)::INT AS year, CASE WHEN page_id % 2 = 0 THEN 4 ELSE 10 END AS month FROM ({_FIRST})"
@@ -62,7 +72,10 @@ ORACLES = {
     "seed_urls": f"SELECT year::INT AS year, month, {_URL.format('general-conference')} AS url FROM (SELECT unnest(range(1971, 2025)) AS year), (SELECT unnest([4, 10]) AS month)",
     "seed_urls_monthly": f"SELECT year::INT AS year, month::INT AS month, {_URL.format('liahona')} AS url FROM (SELECT unnest(range(2008, 2025)) AS year), (SELECT unnest(range(1, 13)) AS month) WHERE month NOT IN (4, 10) AND make_date(year, month, 1) <= DATE '2024-06-01'",
     "extract_links": _LINKS,
-    "extract_links_strict": _linked("""(SELECT page_id, url, replace(html, 'href="/', 'href="/study/general-conference/2024/04/') AS html FROM pages)""", "/study/", 5),
+    # anchors by their quoted attribute, as the reference finds them: path, five slashes, five parts of the bare path, first of its page
+    "extract_links_strict": f"""SELECT page_id, min(pos)::INT AS pos, url FROM (SELECT page_id, pos, page, href, CASE WHEN href[1] = '/' THEN site || href WHEN href[1:4] = 'http' THEN href END AS url FROM (SELECT page_id, url AS page, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS site, unnest({_HREF}) AS href, unnest(range(len({_HREF}))) AS pos FROM {_TALK_PAGES}))
+        WHERE href LIKE '%/study/general-conference/%' AND len(string_split(href, '/')) > 5 AND len(string_split(trim(href, '/'), '/')) >= 5 AND url <> page GROUP BY page_id, url""",
+    "extract_links_anchored": f"""SELECT DISTINCT page_id, 'https://www.churchofjesuschrist.org' || href AS url FROM (SELECT page_id, unnest({_HREF}) AS href FROM {_TALK_PAGES}) WHERE regexp_matches(href, '^/study/general-conference/[0-9]{{4}}/[0-9]{{2}}/.+[?]lang=eng$')""",
     "dedupe_links": _FIRST,
     "distinct_links": f"SELECT page_id, string_agg(url, chr(10) ORDER BY url) AS urls FROM ({_FIRST}) GROUP BY page_id",
     "link_counts": f"SELECT year, month, count(*) AS n FROM ({_DATED}) GROUP BY ROLLUP (year, month)",

@@ -58,7 +58,7 @@ QUERIES = {
     "body_extract": _one(talks.body, "body"),
     "notes_extract": _one(talks.notes, "notes"),
     "notes_split": lambda s, d: talk_view(s, d).select("doc_id", talks.split_notes(c("content")).alias("x")).select("doc_id", "x.*"),
-    "notes_format": lambda s, d: talk_view(s, d).select("doc_id", talks.format_notes(talks.notes(c("content"))).alias("notes")),
+    "notes_format": lambda s, d: talk_view(s, d).select("doc_id", talks.format_notes(F.when(c("doc_id") % 3 == 0, F.concat(talks.notes(c("content")), F.lit("\n  \n"))).otherwise(talks.notes(c("content")))).alias("notes")),
     "reference_format": _one(talks.references),
     "format_standard": lambda s, d: talk_view(s, d).select("doc_id", "content", talks.analyzed(c("content")).alias("x")).select("doc_id", talks.clean_format(talks.render(c("x.title"), c("x.author"), c("content"), c("x.date"), c("x.author_title"), F.lit(None).cast("string"))).alias("formatted")),
     "output_validate": lambda s, d: reformat.reformat(talk_view(s, d), YEAR).where("success").select("doc_id", talks.valid_output(c("formatted"), c("content_type")).alias("valid")),
@@ -87,6 +87,7 @@ def _chain(x: str, table) -> str:
 
 
 _NOTES = "coalesce(" + ", ".join(rf"CASE WHEN {_S(f'regexp_extract(content, {_RX(chr(40) + f"?is){chr(92)}n{n}?{chr(92)}s*{chr(92)}n(.*)$")}, 1)')} <> '' THEN 'Notes' || chr(10) || {_S(f'regexp_extract(content, {_RX(chr(40) + f"?is){chr(92)}n{n}?{chr(92)}s*{chr(92)}n(.*)$")}, 1)')} END" for n in ("Notes", "References", "Footnotes")) + ")"
+_ODD_NOTES = f"CASE doc_id % 3 WHEN 0 THEN {_NOTES} || chr(10) || '  ' || chr(10) ELSE {_NOTES} END"
 _TITLE = f"{_S(f'''list_filter({_L}, lambda x: NOT regexp_matches(lower(x), 'authenticating|contents|session|april|october') AND NOT regexp_matches({_S('x')}, 'By |Elder |President |Bishop |Sister |Of the Quorum|Of the First|Of the Seventy') AND length({_S('x')}) > 3 AND NOT regexp_matches({_S('x')}, '^[0-9]+$'))[1]''')}"
 _LASTOF = lambda e: f"list_filter(list_transform({_HEAD}, lambda x: {e}), lambda x: x <> '')[-1]"
 _ANALYZED = f"""SELECT doc_id, content, {_S(f"list_filter({_L}, lambda x: {_S('x')} <> '' AND NOT regexp_matches(x, 'Authenticating|Contents|Session'))[1]")} AS title, {_LASTOF(f"regexp_extract(x, {_RX(talks.AUTHORS[1])}, 0)")} AS author,
@@ -109,8 +110,12 @@ ORACLES = {
     "encoding_fix": f"SELECT doc_id, {_chain('content', talks.ENCODING)} AS content FROM ({TALKS})",
     "encoding_fix_scraper": f"SELECT doc_id, {_chain('content', talks.SCRAPER_ENCODING)} AS content FROM ({TALKS})",
     "encoding_issue_counts": f"SELECT doc_id, {_ISSUE}::INT AS issues FROM ({TALKS})",
-    "encoding_issue_positions": f"""WITH t AS (SELECT doc_id, content, unnest(range(length(content))) AS i FROM ({TALKS})), p AS (SELECT * FROM (VALUES {', '.join(f"('{p}', {_RX(f)}, {x}::DOUBLE)" for p, f, x in talks.ISSUES)}) AS v(original, suggested_fix, confidence))
-        SELECT doc_id, i::INT AS position, original, suggested_fix, confidence FROM t JOIN p ON substr(content, i + 1, length(original)) = original""",
+    # parts between the occurrences of a pattern: the n-th begins behind the lengths of those before it
+    "encoding_issue_positions": " UNION ALL ".join(
+        f"""SELECT doc_id, (sum(n) OVER (PARTITION BY doc_id ORDER BY i) + (i - 1) * {len(p)})::INT AS position, '{p}' AS original, {_RX(f)} AS suggested_fix, {x}::DOUBLE AS confidence
+        FROM (SELECT doc_id, unnest(list_transform(ps[:-2], lambda y: length(y))) AS n, unnest(range(1, len(ps))) AS i FROM (SELECT doc_id, string_split(content, '{p}') AS ps FROM ({TALKS}) WHERE contains(content, '{p}')))"""
+        for p, f, x in talks.ISSUES
+    ),
     "timestamp_strip": rf"SELECT doc_id, CASE WHEN x = '' THEN l ELSE x END AS title FROM (SELECT doc_id, {_L}[1] AS l, {_S(f'''regexp_replace({_L}[1], '^[0-9]{{1,2}}:[0-9]{{2}}', '')''')} AS x FROM ({TALKS}))",
     "normalize_ws": rf"""SELECT doc_id, regexp_replace(array_to_string(list_transform(string_split(regexp_replace(content, '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), chr(10)), lambda x: rtrim(x)), chr(10)), '^\n+|\s+$', '', 'g') AS content FROM ({TALKS})""",
     "artifact_clean": rf"""SELECT doc_id, regexp_replace(regexp_replace(array_to_string(list_transform(ls, lambda x, i: CASE WHEN i BETWEEN 3 AND 10 AND len(ls) > 2 AND {_S('x')} = {_S('ls[1]')} THEN '' ELSE x END), chr(10)), '[â]{{2,}}', '"', 'g'), '\.{{4,}}', '...', 'g') AS content
@@ -129,7 +134,9 @@ ORACLES = {
     "title_detect": f"SELECT doc_id, {_TITLE} AS title FROM ({TALKS})",
     "body_extract": _BODY,
     "notes_extract": f"SELECT doc_id, {_NOTES} AS notes FROM ({TALKS})",
-    "notes_format": rf"SELECT doc_id, regexp_replace(regexp_replace(array_to_string(list_transform(string_split(notes, chr(10)), lambda x: {_S('x')}), chr(10)), '^\n+', ''), '\n{{3,}}', chr(10) || chr(10), 'g') AS notes FROM (SELECT doc_id, {_NOTES} AS notes FROM ({TALKS}))",
+    # a line is kept if it isn't blank, or if the one before it isn't and some line before that was kept
+    "notes_format": f"""SELECT doc_id, CASE WHEN coalesce(notes, '') = '' THEN '' ELSE array_to_string(list_transform(list_filter(list_transform(ls, lambda x, i: {{'x': x, 'p': CASE WHEN i > 1 THEN ls[i - 1] ELSE '' END}}), lambda z: z.x <> '' OR z.p <> ''), lambda z: z.x), chr(10)) END AS notes
+        FROM (SELECT doc_id, notes, list_transform(string_split(notes, chr(10)), lambda x: {_S('x')}) AS ls FROM (SELECT doc_id, {_ODD_NOTES} AS notes FROM ({TALKS})))""",
     "reference_format": r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(content, '(\d+)\s+([A-Za-z]+)\s+(\d+):(\d+)', '\1 \2 \3:\4', 'g'), '(D&C)\s+(\d+):(\d+)', '\1 \2:\3', 'g'), '(\d+)\s+([A-Za-z]+)\.\s+(\d+):(\d+)', '\1 \2. \3:\4', 'g') AS content FROM (" + TALKS + ")",
     "format_standard": rf"""SELECT doc_id, {_S(rf"regexp_replace(regexp_replace(regexp_replace(f, '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), '(?m)^BODY:\s*\n\s*', 'BODY:' || chr(10), 'g'), '\nNotes\s*\n\s*\n', chr(10) || 'Notes' || chr(10), 'g')")} AS formatted FROM (SELECT doc_id, coalesce('DATE: ' || date || chr(10), '') || 'TITLE: ' || coalesce(title, 'Unknown Title') || chr(10) || 'AUTHOR: ' || coalesce(author, 'Unknown Author') || coalesce(chr(10) || 'AUTHOR TITLE: ' || author_title, '') || chr(10) || 'BODY:' || chr(10) || content AS f FROM ({_ANALYZED}))""",
     "reformat_eligible": rf"SELECT doc_id, path FROM ({TALKS}) WHERE NOT regexp_matches(path, 'session\.txt$|sessionlangeng\.txt$') AND replace(path, '.txt', '_formatted.txt') NOT IN (SELECT replace(path, '.txt', '_formatted.txt') FROM ({TALKS}) WHERE doc_id % 5 = 0)",

@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 #: Columns of a document; missing ones are the empty string.
 DOCUMENT = ("content", "author", "title", "date", "source")
 
+#: What the reader gives one task at most, by its defaults.
+SMALL = 128 << 20
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """`df` over all cores: a table whose files give fewer tasks than there are cores is dealt out first.
+    """`df`, a table as read, over all cores: one so small that the reader gives it to few tasks is dealt out first.
 
-    Larger tables, which have tasks enough, aren't shuffled.
+    Only tables of less than SMALL bytes in fewer files than cores are shuffled, whatever the cluster.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not 0 < len(files) < cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size < SMALL else df
 
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
