@@ -81,6 +81,50 @@ def fill(template: Column, values: dict[str, Column]) -> Column:
     return reduce(lambda t, k: F.replace(t, F.lit("{" + k + "}"), F.coalesce(values[k], F.lit(f"[{k}]"))), sorted(values, key=VARIABLES.index), template)
 
 
+def fill_open(template: Column, values: dict[str, Column]) -> Column:
+    """Fills a template of any keys; one that isn't given becomes [key], and with more the template stays, with a note on the first."""
+    keys = F.array_distinct(F.regexp_extract_all(template, F.lit(r"\{(\w+)\}"), F.lit(1)))
+    missing = F.filter(keys, lambda k: ~k.isin(*values)) if values else keys
+    first = F.get(missing, F.lit(0))
+    filled = reduce(lambda t, k: F.replace(t, F.lit("{" + k + "}"), F.coalesce(values[k], F.lit(f"[{k}]"))), values, template)
+    one = F.replace(filled, F.concat(F.lit("{"), first, F.lit("}")), F.concat(F.lit("["), first, F.lit("]")))
+    noted = F.concat(template, F.lit("\n\n[Missing template variable: '"), first, F.lit("']"))
+    return F.when(F.size(missing) == 0, filled).when(F.size(missing) == 1, one).otherwise(noted)
+
+
+def training_prompts(docs: DataFrame, template_name: str | None = None) -> DataFrame:
+    """(doc_id, prompt) of `docs` (doc_id, author, title, date, content): the engine's prompt for each chunk, by a named template or the best."""
+    return generate(docs, template_name=template_name).select("doc_id", "prompt")
+
+
+def instruction(author: Column, title: Column, date: Column, chunk: Column) -> Column:
+    """The literal instruction and response of one chunk."""
+    # fixed value
+    text = 'Instruction:\nWrite in the literary style of %s, based on a document titled "%s" written on %s.\n\nResponse:\n%s\n'
+    return F.format_string(text, author, title, date, chunk)
+
+
+# fixed values: leaders that reflections may be asked of
+LEADERS = ("Elder Jeffrey R. Holland", "President Russell M. Nelson", "Elder David A. Bednar")
+
+
+def reflections(spark: SparkSession, leader: str, topics: str | list[str]) -> DataFrame:
+    """(Topic, prompt) for a text on each topic in the style of a leader; other leaders are refused."""
+    if leader not in LEADERS:
+        raise ValueError(f"Leader '{leader}' not available. Choose from: {list(LEADERS)}")
+    names = [topics] if isinstance(topics, str) else list(dict.fromkeys(topics))
+    rows = spark.createDataFrame([(t,) for t in names], "Topic string")
+    # fixed value
+    return rows.withColumn("prompt", F.format_string(f"Write a brief reflection on %s in the style of {leader}. Conclude with a single, clear message..", "Topic"))
+
+
+def padded(ids: Column, size: int = 512, pad: int = 0) -> Column:
+    """(input_ids, attention_mask, labels): ids cut or padded on the right to `size`; labels are the ids, padding too."""
+    kept = F.slice(F.concat(ids, F.array_repeat(F.lit(pad).cast("int"), size)), 1, size)
+    mask = F.slice(F.concat(F.transform(ids, lambda _: F.lit(1)), F.array_repeat(F.lit(0), size)), 1, size)
+    return F.struct(kept.alias("input_ids"), mask.alias("attention_mask"), kept.alias("labels"))
+
+
 def partial(text: Column) -> Column:
     return F.when(F.length(text) > PARTIAL, F.concat(F.substring(text, 1, PARTIAL), F.lit("..."))).otherwise(text)
 

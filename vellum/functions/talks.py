@@ -307,6 +307,51 @@ def infer(author: Column, author_title: Column) -> Column:
     return F.struct(a.alias("author"), t.alias("author_title"))
 
 
+# fixed values: of the scraper's conference cleaner: marks of a listed title, listed titles, what follows a speaker, openings, the date
+LISTED_MARKS = ["Let Him Do It with Simplicity", "Christian Courage", "The Price of", "Go Ye Therefore", "You Know Enough", "Come What May"]
+LISTED_TITLES = ["Let Him Do It with Simplicity", "Christian Courage: The Price of Discipleship", "Go Ye Therefore", "You Know Enough", "Come What May, and Love It"]
+OFFICES = ["Of the Quorum", "President", "Bishop", "Relief Society"]
+OPENINGS = ["we have gathered", "my dear", "brothers and sisters", "recently", "today i", "this morning", "i am grateful", "it is good"]
+CONFERENCE_DATE = "October 2008"
+
+
+def conference_text(text: Column) -> Column:
+    """The text of a conference page: title, speaker, office, date and what follows the talk's opening.
+
+    Texts that don't name a conference at their start stay as they are, those without an opening only have their
+    encoding mended. Lines that are blank, begin with an arrow or hold the player's 16:36 are left out.
+    """
+    has = lambda x, parts: F.array_max(F.array(*[F.contains(x, F.lit(p)) for p in parts]))
+
+    def of(t: Column) -> Column:
+        return let(lines(t), lambda ls: drawn(t, ls))
+
+    def drawn(t: Column, ls: Column) -> Column:
+        hit = lambda cond, what: first(F.filter(F.transform(ls, lambda x, i: F.when(cond(strip(x)), F.struct(i.alias("i"), what(strip(x)).alias("t")))), lambda h: h["t"].isNotNull()))
+        listed = hit(lambda x: has(x, LISTED_MARKS) & (F.length(x) > 15), lambda x: F.coalesce(*[F.when(F.contains(x, F.lit(p)), p) for p in LISTED_TITLES]))
+        headed = hit(lambda x: (F.length(x) > 20) & F.contains(x, F.lit(":")) & ~F.lower(x).rlike("contents|session|authenticating"), lambda x: x)
+        none = F.struct(F.lit(0).alias("i"), F.lit("Unknown Talk").alias("t"))
+
+        def body(title: Column) -> Column:
+            by = hit(lambda x: x.rlike("^By (Elder|President|Sister)"), lambda x: x)
+            office = first(F.filter(F.transform(F.slice(ls, F.coalesce(by["i"], F.lit(0)) + 2, F.lit(4)), strip), lambda x: has(x, OFFICES)))
+            opening = hit(lambda x: (F.length(x) > 50) & F.lower(x).rlike("|".join(OPENINGS)), lambda x: x)["i"]
+            later = first(F.filter(F.transform(ls, lambda x, i: F.when((i >= title["i"] + 5) & (F.length(strip(x)) > 80), i)), lambda i: i.isNotNull()))
+            start = F.coalesce(opening, later)
+            kept = F.filter(F.transform(F.slice(ls, F.coalesce(start, F.lit(0)) + 1, F.size(ls)), strip), lambda x: (x != "") & ~F.startswith(x, F.lit("→")) & ~F.contains(x, F.lit("16:36")))
+            head = F.array_compact(F.array(title["t"], by["t"], F.when(by.isNotNull(), office), F.lit(CONFERENCE_DATE), F.lit("")))
+            return F.when(start.isNull(), t).otherwise(F.array_join(F.concat(head, kept), "\n"))
+
+        return let(F.coalesce(listed, headed, none), body)
+
+    return F.when(F.contains(F.substring(text, 1, 500), F.lit("Conference")), let(fix_scraper_encoding(text), of)).otherwise(text)
+
+
+def metadata(text: Column, path: Column) -> Column:
+    """(title, author, author_title, date) of a text, by the extractor's rules."""
+    return let(speaker(text), lambda s: F.struct(talk_title(text).alias("title"), s["author"].alias("author"), s["author_title"].alias("author_title"), parse_date(text, path).alias("date")))
+
+
 def valid_metadata(title: Column, author: Column, date: Column, year: Column | None = None) -> Column:
     y = F.regexp_extract(date, r"^(April|October) (\d{4})", 2)
     last = (F.year(F.current_date()) if year is None else year) + 1

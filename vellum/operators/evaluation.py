@@ -130,6 +130,17 @@ def split(docs: DataFrame, key: str = "doc_id", ratio: float = 0.15, seed: int =
     return ranked.withColumn("split", F.when(held, "validation").otherwise("train")).drop("_h", "_b", "_before", "_all", "_rank", "_author", "_c")
 
 
+def prepare(examples: DataFrame, key: str = "doc_id", ratio: float = 0.15, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(examples with split, corpora, analysis) of `examples` (key, response, metadata.author).
+
+    Corpora hold a row for each author with the number of its responses and their characters; responses stay rows
+    of the first table, as an author's may be too many for one row. Analysis is the balance of the split by author.
+    """
+    rows = split(examples.withColumn("author", c("metadata.author")), key, ratio, seed)
+    corpora = rows.groupBy("author").agg(F.count("*").alias("responses"), F.sum(F.length("response")).alias("characters"))
+    return rows, corpora, split_balance(rows)
+
+
 def plain_split(docs: DataFrame, key: str = "doc_id", ratio: float = 0.1, seed: int = 42) -> DataFrame:
     """`docs` with split by hash alone; sizes are near the ratio."""
     share = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), c(key).cast("string"))), 1, 8), 16, 10).cast("long") / 2**32

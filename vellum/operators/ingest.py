@@ -65,6 +65,12 @@ def counts(found: DataFrame) -> DataFrame:
     return found.rollup("year", "month").agg(F.count("*").alias("n"))
 
 
+def scraped(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(`pages` (url, text) with a text, one row of counts: pages, saved, failed); a blank text fails."""
+    fine = F.trim(F.coalesce("text", F.lit(""))) != ""
+    return pages.where(fine), pages.agg(F.count("*").alias("pages"), F.count_if(fine).alias("saved"), F.count_if(~fine).alias("failed"))
+
+
 def remaining(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     """Candidates (url, ...) whose file is not among `existing` (file_name): names are compared as they are stored."""
     named = candidates.withColumn("file_name", html.file_name(html.slug(c("url"))))

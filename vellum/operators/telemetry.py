@@ -60,6 +60,23 @@ def perplexity(log: DataFrame, weight: Column) -> DataFrame:
     return log.groupBy("run").agg(F.round(F.exp(F.sum(c("loss") * weight) / F.sum(weight)), 6).alias("perplexity"))
 
 
+def perplexity_of_labels(rows: DataFrame, ignored: int = -100) -> DataFrame:
+    """Per run of `rows` (run, label, loss): the exponential of the mean loss over labels that aren't ignored, and that mean."""
+    mean = F.avg(F.when(c("label") != ignored, c("loss")))
+    return rows.groupBy("run").agg(F.round(F.exp(mean), 6).alias("perplexity"), F.round(mean, 6).alias("eval_loss"))
+
+
+def memory_ratio(cpu_percent: Column, gpus: Column) -> Column:
+    """The larger of the processor's share and the fullest device's, of (allocated, total) structs; missing devices don't count."""
+    return F.greatest(cpu_percent / 100, F.array_max(F.transform(gpus, lambda g: F.try_divide(g["allocated"].cast("double"), g["total"].cast("double")))))
+
+
+def final_metrics(log: DataFrame) -> DataFrame:
+    """The last row of each run, all its columns."""
+    last = log.groupBy("run").agg(F.max_by(F.struct(*[x for x in log.columns if x != "run"]), "ord").alias("_x"))
+    return last.select("run", "_x.*")
+
+
 def operation_times(log: DataFrame) -> DataFrame:
     """Per operation: mean, population deviation, least, greatest, total, count."""
     return log.groupBy("operation").agg(
@@ -130,8 +147,14 @@ def rate_wait(log: DataFrame, delay: float = 1.0) -> DataFrame:
     return log.select("run", "ord", F.round(F.coalesce(F.greatest(F.lit(0.0), delay - (t - F.lag(t).over(_by()))), F.lit(0.0)), 3).alias("wait"))
 
 
-def backoff(attempt: Column, cap: float = 60.0) -> Column:
-    return F.least(F.pow(F.lit(2.0), attempt), F.lit(cap))
+def backoff(attempt: Column, cap: float = 60.0, base: float = 1.0) -> Column:
+    return F.least(base * F.pow(F.lit(2.0), attempt), F.lit(cap))
+
+
+def jittered(wait: Column, key: Column, low: float = 0.1, high: float = 0.5) -> Column:
+    """A wait and 10 to 50 % of it more; the share is a hash of the key, so a retry waits alike in every run."""
+    share = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long") / 2**32
+    return wait * (1 + low + (high - low) * share)
 
 
 def retries(status: Column, attempt: Column, most: int = 10) -> Column:

@@ -34,6 +34,12 @@ def pipeline_report(docs: DataFrame, made: DataFrame) -> DataFrame:
     return n.join(m, F.lit(True)).select("input_documents", "examples", F.round(ratio, 6).alias("expansion_ratio"), F.round("p", 6).alias("avg_prompt_length"), F.round("r", 6).alias("avg_response_length"), "content_type_coverage", "template_diversity")
 
 
+def histograms(made: DataFrame) -> DataFrame:
+    """Examples by content type and by template: (dimension, value, n)."""
+    named = made.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(f"metadata.{k}").alias("value")) for d, k in (("content_type", "content_type"), ("template", "template_used"))])).alias("x"))
+    return named.groupBy("x.dimension", "x.value").agg(F.count("*").alias("n"))
+
+
 def effectiveness(docs: DataFrame) -> DataFrame:
     """Histograms of type, template, level and speaker in one pass: (dimension, value, n)."""
     made = prompts.generate(docs).select("content_type", "template_name", F.col("template_level").alias("difficulty"), "author")

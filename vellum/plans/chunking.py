@@ -17,8 +17,14 @@ def _chunks(spark, d, strategy) -> DataFrame:
     return chunks.chunk(corpus(spark, d), strategy, BUDGET, delimiter="\n").select("doc_id", "chunk_id", "total_chunks", "token_count", "content")
 
 
+def _letters(text):
+    return F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]", ""))
+
+
 QUERIES = {
     "chunk_sentences": lambda s, d: _chunks(s, d, "sentences"),
+    # tokens counted by letters and digits rather than words
+    "chunk_letters": lambda s, d: chunks.chunk(corpus(s, d), "sentences", 600, tokens=_letters).select("doc_id", "chunk_id", "total_chunks", "token_count", "content"),
     "chunk_paragraphs": lambda s, d: _chunks(s, d, "paragraph_aware"),
     "chunk_overlap": lambda s, d: _chunks(s, d, "overlap"),
     "chunk_fixed_chars": lambda s, d: corpus(s, d).select("doc_id", F.posexplode_outer(chunks.fixed(F.col("content"), 2000)).alias("pos", "piece")),
@@ -34,7 +40,10 @@ _SENTENCES = f"WITH docs AS ({CORPUS}),{duck.packed('docs', 'doc_id', duck.sente
 _PARAGRAPHS = f"WITH {duck.paragraph_chunks(BUDGET)}"
 _ENDS = "right(content, 1) IN ('.', '!', '?')"
 
+_N = r"length(regexp_replace({}, '[^\p{{L}}\p{{N}}]', '', 'g'))".format
+
 ORACLES = {
+    "chunk_letters": f"WITH docs AS ({CORPUS}),{duck.packed('docs', 'doc_id', duck.sentences('content'), 600, duck.lit(' '), 'chunks', _N('x'))} SELECT doc_id, chunk_id, total_chunks, {_N('content')}::INT AS token_count, content FROM ({_ROWS})",
     "chunk_sentences": f"{_SENTENCES} {_COUNTED} ({_ROWS})",
     "chunk_paragraphs": f"{_PARAGRAPHS} {_COUNTED} ({_ROWS})",
     "chunk_overlap": f"""{_PARAGRAPHS}, r AS ({_ROWS}), o AS (SELECT doc_id, chunk_id, total_chunks, content, lag(content) OVER (PARTITION BY doc_id ORDER BY chunk_id) AS prev FROM r)

@@ -32,9 +32,9 @@ def regex_count(x: str, pattern: str) -> str:
     return f"len(regexp_extract_all({x}, {lit(pattern)}))"
 
 
-def packed(source: str, keys: str, parts: str, budget: int, separator: str, name: str) -> str:
+def packed(source: str, keys: str, parts: str, budget: int, separator: str, name: str, count: str = "") -> str:
     """CTEs that pack the list `parts` of `source` greedily; the last is `name` (keys, chunks)."""
-    n = f"len({words('x')})"
+    n = count or f"len({words('x')})"
     return f"""
 {name}_p AS (SELECT {keys}, {parts} AS parts FROM {source}),
 {name}_n AS (SELECT {keys}, parts, list_transform(parts, lambda x: {n}) AS ns FROM {name}_p),

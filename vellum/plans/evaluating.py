@@ -46,6 +46,7 @@ QUERIES = {
     "eval_report": lambda s, d: evaluation.report(evaluation.evaluate(*_pair(s, d))),
     "eval_author_report": lambda s, d: evaluation.author_report(evaluation.evaluate(*_pair(s, d))),
     "stratified_split": _split,
+    "prepared_sets": lambda s, d: (lambda made: made[1].join(made[2], "author"))(evaluation.prepare(corpus(s, d).select("doc_id", c("content").alias("response"), F.struct(c("source").alias("author")).alias("metadata")))),
     "plain_split": lambda s, d: evaluation.plain_split(corpus(s, d).select("doc_id")),
     "split_quality": lambda s, d: evaluation.split_balance(_split(s, d)),
     "split_summary": lambda s, d: evaluation.split_summary(_split(s, d)),
@@ -102,6 +103,7 @@ ORACLES = {
     "eval_report": f"{_EVAL} SELECT {', '.join(f'round(avg({k}), 6) AS avg_{k}' for k in ('overall_similarity', 'overall_quality', 'consistency_score', 'overall_score'))}, {', '.join(f'round(stddev_pop({k}), 6) AS std_{k}' for k in ('overall_similarity', 'overall_quality', 'consistency_score'))}, round(min(overall_score), 6) AS min_score, round(max(overall_score), 6) AS max_score, round(max(overall_score) - min(overall_score), 6) AS score_span, count(*) AS total_evaluations, count(*) FILTER (WHERE overall_score >= 0.8) AS excellent, count(*) FILTER (WHERE overall_score >= 0.6 AND overall_score < 0.8) AS good, count(*) FILTER (WHERE overall_score >= 0.4 AND overall_score < 0.6) AS acceptable, count(*) FILTER (WHERE overall_score < 0.4) AS poor FROM ev",
     "eval_author_report": f"{_EVAL} SELECT author, round(avg(overall_score), 6) AS avg_score, round(stddev_pop(overall_score), 6) AS score_std, count(*) AS sample_count FROM ev GROUP BY author",
     "stratified_split": _SPLIT,
+    "prepared_sets": f"SELECT b.*, responses, characters FROM ({_BALANCE}) b JOIN (SELECT source AS author, count(*) AS responses, sum(length(text))::BIGINT AS characters FROM documents GROUP BY source) USING (author)",
     "plain_split": "SELECT doc_id, CASE WHEN ('0x' || substr(md5('42|' || doc_id), 1, 8))::BIGINT / 4294967296 < 0.1 THEN 'validation' ELSE 'train' END AS split FROM documents",
     "split_quality": _BALANCE,
     "split_summary": f"SELECT sum(train_count + val_count)::BIGINT AS total_documents, sum(train_count)::BIGINT AS train_documents, sum(val_count)::BIGINT AS validation_documents, round(sum(val_count) / sum(train_count + val_count), 6) AS actual_ratio, count(*) AS total_authors, count(*) FILTER (WHERE train_count > 0) AS authors_in_train, count(*) FILTER (WHERE val_count > 0) AS authors_in_validation, count(*) FILTER (WHERE train_count > 0 AND val_count > 0) AS authors_in_both FROM ({_BALANCE})",

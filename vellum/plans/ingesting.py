@@ -39,6 +39,7 @@ QUERIES = {
     "extract_links_anchored": lambda s, d: ingest.anchored_links(_talk_pages(s, d)),
     "dedupe_links": lambda s, d: ingest.first_links(_links(s, d)),
     "distinct_links": lambda s, d: _links(s, d).groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_set("url")), "\n").alias("urls")),
+    "scrape_counts": lambda s, d: ingest.scraped(_pages(s, d).select("url", F.when(c("page_id") % 4 > 0, html.without_tags(html.article(c("html")))).alias("text")))[1],
     "link_counts": lambda s, d: ingest.counts(_dated(s, d)),
     # the links of every third page have been fetched before
     "resume_antijoin": lambda s, d: ingest.remaining(_links(s, d), _links(s, d).where("page_id % 3 = 0").select(html.file_name(html.slug(c("url"))).alias("file_name")).distinct()),
@@ -78,6 +79,9 @@ ORACLES = {
     "extract_links_anchored": f"""SELECT DISTINCT page_id, 'https://www.churchofjesuschrist.org' || href AS url FROM (SELECT page_id, unnest({_HREF}) AS href FROM {_TALK_PAGES}) WHERE regexp_matches(href, '^/study/general-conference/[0-9]{{4}}/[0-9]{{2}}/.+[?]lang=eng$')""",
     "dedupe_links": _FIRST,
     "distinct_links": f"SELECT page_id, string_agg(url, chr(10) ORDER BY url) AS urls FROM ({_FIRST}) GROUP BY page_id",
+    "scrape_counts": "SELECT count(*) AS pages, count(*) FILTER (WHERE page_id % 4 > 0) AS saved, count(*) FILTER (WHERE page_id % 4 = 0) AS failed FROM pages",
+    # entities of the pages, with and without their semicolon, the ampersand last
+    "html_to_text": rf"""SELECT page_id, text FROM (SELECT page_id, replace(replace(replace({_TEXT('html', chr(39) * 2)}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"') AS t, regexp_replace(t, '&amp;?', '&', 'g') AS text FROM pages) WHERE trim(text) <> ''""",
     "link_counts": f"SELECT year, month, count(*) AS n FROM ({_DATED}) GROUP BY ROLLUP (year, month)",
     "resume_antijoin": f"SELECT {_FILE} AS file_name, page_id, pos, url FROM ({_LINKS}) WHERE coalesce({_FILE}, '') NOT IN (SELECT coalesce({_FILE}, '-') FROM ({_LINKS}) WHERE page_id % 3 = 0)",
     "counted_talks": f"SELECT s.year::INT AS year, s.month, coalesce(n, 0) AS n FROM (SELECT year, month FROM (SELECT unnest(range(2000, 2005)) AS year), (SELECT unnest([4, 10]) AS month)) s LEFT JOIN (SELECT year, month, count(*) AS n FROM ({_DATED}) GROUP BY ALL) c ON s.year = c.year AND s.month = c.month",

@@ -71,3 +71,17 @@ ORACLES = {
     "backoff": f"SELECT event_id, least(pow(2.0, ord % 9), 60.0) AS wait, CASE WHEN failed THEN CASE WHEN ord % 12 >= 10 THEN 'give_up' ELSE 'retry' END WHEN operation = 'view' THEN 'raise' ELSE 'done' END AS then FROM ({_LOG})".replace("AS then", 'AS "then"'),
     "duration_format": f"SELECT event_id, CASE WHEN x < 60 THEN x || '.0s' WHEN x < 3600 THEN (x // 60) || 'm ' || (x % 60) || 's' ELSE (x // 3600) || 'h ' || (x % 3600 // 60) || 'm' END AS took FROM (SELECT event_id, floor(loss * 40)::INT AS x FROM ({_LOG}))",
 }
+
+_GPUS = lambda: F.array(F.struct(c("loss").alias("allocated"), F.lit(200.0).alias("total")), F.struct((c("loss") / 2).alias("allocated"), F.lit(80.0).alias("total")))
+QUERIES |= {
+    "perplexity_labels": lambda s, d: t.perplexity_of_labels(log(s, d).select("run", F.when(c("event_id") % 4 == 0, -100).otherwise(c("event_id") % 50).alias("label"), (c("loss") / 100).alias("loss"))),
+    "memory_ratio": lambda s, d: log(s, d).select("event_id", F.round(t.memory_ratio(c("loss") / 3, F.when(c("event_id") % 3 > 0, _GPUS())), 9).alias("ratio")),
+    "final_metrics": lambda s, d: t.final_metrics(log(s, d).select("run", "ord", "event_id", "loss", "operation")),
+    "backoff_jitter": lambda s, d: log(s, d).select("event_id", F.round(t.jittered(t.backoff(c("ord") % 9, base=0.5), c("event_id")), 6).alias("wait")),
+}
+ORACLES |= {
+    "perplexity_labels": f"SELECT run, round(exp(avg(loss / 100)), 6) AS perplexity, round(avg(loss / 100), 6) AS eval_loss FROM ({_LOG}) WHERE event_id % 4 <> 0 GROUP BY run UNION ALL SELECT run, NULL, NULL FROM ({_LOG}) GROUP BY run HAVING bool_and(event_id % 4 = 0)",
+    "memory_ratio": f"SELECT event_id, round(CASE WHEN event_id % 3 > 0 THEN greatest(loss / 300, loss / 200, loss / 160) ELSE loss / 300 END, 9) AS ratio FROM ({_LOG})",
+    "final_metrics": f"SELECT run, ord::INT AS ord, event_id, loss, operation FROM ({_LOG}) QUALIFY row_number() OVER (PARTITION BY run ORDER BY ord DESC) = 1",
+    "backoff_jitter": f"SELECT event_id, round(least(0.5 * pow(2.0, ord % 9), 60.0) * (1.1 + 0.4 * (('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296)), 6) AS wait FROM ({_LOG})",
+}

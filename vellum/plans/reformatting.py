@@ -25,6 +25,10 @@ _CASES = """CASE doc_id % 8
 _PATHS = """CASE doc_id % 6 WHEN 0 THEN 'general-conference/1995-04/talk' WHEN 1 THEN 'liahona/2008-10/article' WHEN 2 THEN 'general-conference/2001-10/saturday-morning-session' WHEN 3 THEN 'misc/1999/october-talk' WHEN 4 THEN 'misc/contents' ELSE 'plain' END || CAST(doc_id AS VARCHAR(20)) || '.txt'"""
 TALKS = f"SELECT doc_id, {_PATHS} AS path, {_CASES} AS content FROM (SELECT doc_id, text, chr(10) AS nl FROM documents)"
 
+# talks as pages of a conference show them; every seventh doesn't name one
+_CONFERENCE = """CASE WHEN doc_id % 7 > 0 THEN 'October 2008 General Conference' ELSE 'Magazine' END || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'Menu: Go Ye Therefore to All' WHEN 1 THEN 'A longer heading: with a colon' WHEN 2 THEN 'The Price of Nothing at All' ELSE '' END || chr(10)
+    || content || chr(10) || '→ next' || chr(10) || '  see 16:36 there' || chr(10) || CASE WHEN doc_id % 3 = 0 THEN 'My dear friends, it has been long since we have met like this today' ELSE 'short end' END"""
+
 
 def talk_view(s, d) -> DataFrame:
     # a view of the documents with the headers above
@@ -64,6 +68,11 @@ QUERIES = {
     "output_validate": lambda s, d: reformat.reformat(talk_view(s, d), YEAR).where("success").select("doc_id", talks.valid_output(c("formatted"), c("content_type")).alias("valid")),
     "reformat_e2e": lambda s, d: reformat.reformat(talk_view(s, d), YEAR).select("doc_id", "path", "content_type", "success", "message", F.array_join("warnings", "; ").alias("warnings"), "formatted", "output_path"),
     "reformat_stats": lambda s, d: reformat.stats(reformat.reformat(talk_view(s, d), YEAR)),
+    "reformat_failures": lambda s, d: reformat.failures(reformat.reformat(talk_view(s, d), YEAR)),
+    "reformat_backup": lambda s, d: reformat.backups(talk_view(s, d).withColumn("content", F.when(c("doc_id") % 7 > 0, c("content")))),
+    "reformat_dry_run": lambda s, d: reformat.dry_run(talk_view(s, d).select("doc_id", "path"), talk_view(s, d).where("doc_id % 5 = 0").select(F.regexp_replace("path", r"\.txt$", "_formatted.txt").alias("path"))),
+    "metadata_all": lambda s, d: talk_view(s, d).select("doc_id", talks.metadata(c("content"), c("path")).alias("x")).select("doc_id", "x.*"),
+    "conference_clean": lambda s, d: talk_view(s, d).select("doc_id", F.expr(_CONFERENCE.replace("VARCHAR", "STRING")).alias("content")).select("doc_id", talks.conference_text(c("content")).alias("content")),
     # every fifth talk has been formatted before
     "reformat_eligible": lambda s, d: reformat.eligible(talk_view(s, d).select("doc_id", "path"), talk_view(s, d).where("doc_id % 5 = 0").select(F.regexp_replace("path", r"\.txt$", "_formatted.txt").alias("path"))),
 }
@@ -157,3 +166,97 @@ ORACLES |= {
     "metadata_extract": f"SELECT doc_id, {_TITLE} AS title, author, author_title FROM ({_SPEAKER})",
     "metadata_infer": rf"SELECT doc_id, {_S(r'''regexp_replace(regexp_replace(author, '\s+(Elder|President|Bishop|Sister)\s+', ' ', 'g'), '\s+', ' ', 'g')''')} AS author, {_INFERRED} AS author_title FROM ({_SPEAKER})",
 }
+
+
+# ---- whole texts: cleaning in order, and reformatting as a join of its parts, each over the cleaned talks
+
+
+def _over(name: str, view: str) -> str:
+    return ORACLES[name].replace(f"({TALKS})", f"({view})")
+
+
+def _without_contents(x: str) -> str:
+    # a pattern that looks ahead takes what it sees and puts it back; repeated, as what it takes may begin the next match
+    for p in talks.TOC_REMOVED:
+        if "(?=" in p:
+            again = f"(?ms){p.replace('(?=', '(')}"
+            for _ in range(3):
+                x = f"regexp_replace({x}, {_RX(again)}, '\\1', 'g')"
+        else:
+            x = f"regexp_replace({x}, {_RX('(?ms)' + p)}, '', 'g')"
+    return x
+
+
+_SIGNS = "regexp_matches(lower({}), 'contents|session|authenticating')".format
+_BYLINE = r"(regexp_matches({0}, '^By (Elder|President|Bishop|Sister) ') OR regexp_matches({0}, '^(Elder|President|Bishop|Sister)\s+[A-Z]'))".format
+
+
+def _toc(view: str) -> str:
+    begin = f"""CASE WHEN {_S('x')} = '' OR {_SIGNS(_S('x'))} THEN -1 WHEN length({_S('x')}) > 10 AND NOT ends_with({_S('x')}, ':') AND coalesce({_BYLINE(_S('ls[i + 1]'))}, false) THEN i - 1
+        WHEN {_BYLINE(_S('x'))} THEN CASE WHEN i > 1 AND {_S('ls[i - 1]')} <> '' THEN i - 2 ELSE i - 1 END ELSE -1 END"""
+    return f"""SELECT doc_id, path, {_S(f"CASE WHEN stamped OR len(list_filter(ls[1:10], lambda x: {_SIGNS('x')})) = 0 THEN r ELSE array_to_string(ls[coalesce(list_filter(list_transform(ls, lambda x, i: {begin}), lambda i: i >= 0)[1], 0) + 1:], chr(10)) END")} AS content
+        FROM (SELECT doc_id, path, r, stamped, string_split(r, chr(10)) AS ls FROM (SELECT doc_id, path, regexp_matches({_FIRST}, {_RX(talks.STAMPED)}) AS stamped, {_without_contents('content')} AS r FROM ({view})))"""
+
+
+def _step(name: str, view: str) -> str:
+    """An oracle of one text as a step that keeps the path."""
+    return f"SELECT v.doc_id, v.path, w.content FROM ({view}) v JOIN ({_over(name, view)}) w ON v.doc_id = w.doc_id"
+
+
+def _processed(view: str) -> str:
+    return _step("normalize_ws", _step("artifact_clean", _toc(_step("encoding_fix", view))))
+
+
+def _split(view: str) -> str:
+    whole = _processed(view)
+    at = "(length(content) - strpos(reverse(lower(content)), 'seton') - 4)"
+    return f"""SELECT p.doc_id, CASE WHEN p.notes IS NOT NULL AND contains(lower(p.content), 'notes') AND p.at > 0 THEN {_S('substr(p.content, 1, p.at)')} ELSE b.body END AS body, p.notes
+        FROM (SELECT doc_id, content, {at} AS at, {_NOTES} AS notes FROM ({whole})) p JOIN ({_over('body_extract', whole)}) b ON p.doc_id = b.doc_id"""
+
+
+_BLOCK = r"General Conference\s+\w+\s+\d{4}\s+general conference.*?\w+\s*October \d{4} general conference"
+_STAMP = r"^[0-9]{1,2}:[0-9]{2}"
+_PLACES = lambda ls, cond: f"list_filter(list_transform({ls}, lambda x, i: CASE WHEN {cond} THEN i ELSE 0 END), lambda i: i > 0)[1]"
+_CLEAN = f"""SELECT doc_id, path, CASE WHEN regexp_matches({_S('ls[1]')}, {_RX(talks.STAMPED)}) THEN {_S(f"regexp_replace(ls[1], '{_STAMP}', '')")} || substr(content, length(ls[1]) + 1)
+    WHEN NOT {_ANY(talks.TOC, 'substr(content, 1, 1000)')} THEN content ELSE coalesce(CASE WHEN rs IS NOT NULL AND {_PLACES('rs', f"length({_S('x')}) > 5")} IS NOT NULL THEN array_to_string(rs[{_PLACES('rs', f"length({_S('x')}) > 5")}:], chr(10)) END,
+        CASE WHEN stamp IS NOT NULL THEN array_to_string(list_prepend(regexp_extract({_S('ls[stamp]')}, '{_STAMP}(.+)', 1), ls[stamp + 1:]), chr(10)) WHEN again IS NOT NULL THEN array_to_string(ls[again:], chr(10)) END, content) END AS content
+    FROM (SELECT *, {_PLACES('ls', f"regexp_matches({_S('x')}, '{_STAMP}.+')")} AS stamp, {_PLACES('ls', f"i > 10 AND i <= 100 AND length(title) > 10 AND ({_S('x')} = title OR {_S('x')} = bare OR (contains({_S('x')}, bare) AND length({_S('x')}) < length(bare) + 10))")} AS again
+    FROM (SELECT *, {_S(f"regexp_replace(title, '{_STAMP}', '')")} AS bare FROM (SELECT doc_id, path, content, {_L} AS ls, {_FIRST} AS title, CASE WHEN regexp_matches(content, {_RX('(?s)' + _BLOCK)}) THEN string_split({_S(f"regexp_replace(content, {_RX('(?s)^.*?' + _BLOCK)}, '')")}, chr(10)) END AS rs FROM ({TALKS}))))"""
+_FORMAT_NOTES = f"array_to_string(list_transform(list_filter(list_transform(ns, lambda x, i: {{'x': x, 'p': CASE WHEN i > 1 THEN ns[i - 1] ELSE '' END}}), lambda z: z.x <> '' OR z.p <> ''), lambda z: z.x), chr(10))"
+_PARTS = f"""SELECT k.doc_id, k.path, y.content_type, i.author, i.author_title, CASE WHEN {_S(rf"regexp_replace(h.title, '{_STAMP}', '')")} = '' THEN h.title ELSE {_S(rf"regexp_replace(h.title, '{_STAMP}', '')")} END AS title, e.date, s.issues, n.body, n.notes, list_transform(string_split(n.notes, chr(10)), lambda x: {_S('x')}) AS ns
+    FROM ({_CLEAN}) k JOIN ({_TYPE}) y ON k.doc_id = y.doc_id JOIN ({_over('metadata_infer', _CLEAN)}) i ON k.doc_id = i.doc_id JOIN ({_over('title_detect', _CLEAN)}) h ON k.doc_id = h.doc_id JOIN ({_over('date_parse', _CLEAN)}) e ON k.doc_id = e.doc_id
+    JOIN ({_over('structure_report', _CLEAN)}) s ON k.doc_id = s.doc_id JOIN ({_split(_CLEAN)}) n ON k.doc_id = n.doc_id"""
+_TIDY = lambda f: _S(rf"regexp_replace(regexp_replace(regexp_replace({f}, '\n\s*\n\s*\n', chr(10) || chr(10), 'g'), '(?m)^BODY:\s*\n\s*', 'BODY:' || chr(10), 'g'), '\nNotes\s*\n\s*\n', chr(10) || 'Notes' || chr(10), 'g')")
+_REFERENCES = lambda f: rf"regexp_replace(regexp_replace(regexp_replace({f}, '(\d+)\s+([A-Za-z]+)\s+(\d+):(\d+)', '\1 \2 \3:\4', 'g'), '(D&C)\s+(\d+):(\d+)', '\1 \2:\3', 'g'), '(\d+)\s+([A-Za-z]+)\.\s+(\d+):(\d+)', '\1 \2. \3:\4', 'g')"
+_DRAWN = f"""SELECT *, {_REFERENCES(_TIDY('f'))} AS formatted FROM (SELECT *, coalesce('DATE: ' || date || chr(10), '') || 'TITLE: ' || coalesce(title, 'Unknown Title') || chr(10) || 'AUTHOR: ' || coalesce(author, 'Unknown Author') || coalesce(chr(10) || 'AUTHOR TITLE: ' || author_title, '') || chr(10) || 'BODY:' || chr(10) || body
+    || CASE WHEN notes IS NULL THEN '' WHEN ends_with(body, chr(10)) THEN {_FORMAT_NOTES} ELSE chr(10) || {_FORMAT_NOTES} END AS f FROM ({_PARTS}))"""
+_LEAST = "CASE content_type " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in talks.MIN_BODY.items()) + " ELSE 100 END"
+_FINE = f"(regexp_matches(formatted, '(?m)^TITLE: .+') AND regexp_matches(formatted, '(?m)^AUTHOR: .+') AND regexp_matches(formatted, '(?m)^BODY:') AND length({_S("substr(formatted, strpos(formatted, 'BODY:') + 5)")}) >= {_LEAST})"
+_KNOWN = f"coalesce(length({_S('title')}) >= 3 AND regexp_matches(author, 'Elder|President|Bishop|Sister') AND (date IS NULL OR regexp_extract(date, '^(April|October) ([0-9]{{4}})', 2) = '' OR try_cast(regexp_extract(date, '^(April|October) ([0-9]{{4}})', 2) AS INT) BETWEEN 1970 AND {YEAR + 1}), false)"
+_SKIP = "content_type IN (" + ", ".join(f"'{k}'" for k in talks.SKIPPED) + ")"
+_RESULTS = f"""SELECT doc_id, path, content_type, NOT {_SKIP} AS success, CASE WHEN {_SKIP} THEN 'Skipped ' || content_type || ' content' ELSE 'Successfully processed' END AS message,
+    CASE WHEN {_SKIP} THEN '' ELSE array_to_string(list_concat(list_transform(CASE WHEN issues = '' THEN []::VARCHAR[] ELSE string_split(issues, '; ') END, lambda x: 'Structure issue: ' || x), CASE WHEN NOT {_KNOWN} THEN ['Missing essential metadata'] ELSE [] END, CASE WHEN NOT {_FINE} THEN ['Output validation failed'] ELSE [] END), '; ') END AS warnings,
+    CASE WHEN NOT {_SKIP} THEN formatted END AS formatted, CASE WHEN NOT {_SKIP} THEN regexp_replace(path, '\\.txt$', '_formatted.txt') END AS output_path FROM ({_DRAWN})"""
+_ELIGIBLE = ORACLES["reformat_eligible"]
+_MENDED = _chain("content", talks.SCRAPER_ENCODING)
+_HAS = lambda x, parts: "(" + " OR ".join(f"contains({x}, {_RX(p)})" for p in parts) + ")"
+_LISTED = "CASE " + " ".join(f"WHEN contains(x, {_RX(p)}) THEN {_RX(p)}" for p in talks.LISTED_TITLES) + " END"
+_HITS = lambda what: f"list_filter(list_transform(st, lambda x, i: {{'i': i, 't': {what}}}), lambda h: h.t IS NOT NULL)[1]"
+ORACLES |= {
+    "toc_clean": f"SELECT doc_id, content FROM ({_toc(TALKS)})",
+    "text_process": f"SELECT doc_id, content FROM ({_processed(TALKS)})",
+    "clean_content": f"SELECT doc_id, content FROM ({_CLEAN})",
+    "notes_split": _split(TALKS),
+    "output_validate": f"SELECT doc_id, {_FINE} AS valid FROM ({_DRAWN}) WHERE NOT {_SKIP}",
+    "reformat_e2e": _RESULTS,
+    "reformat_stats": f"SELECT content_type, count(*) AS processed, count(*) FILTER (WHERE success) AS successful, count(*) FILTER (WHERE NOT success) AS skipped, 0::BIGINT AS failed, count(*) FILTER (WHERE warnings <> '') AS warned FROM ({_RESULTS}) GROUP BY content_type",
+    "reformat_failures": f"SELECT count(*) AS failed FROM ({_TYPE}) WHERE {_SKIP} AND content_type <> 'invalid'",
+    "reformat_backup": f"SELECT path || '.backup' AS path, content FROM ({TALKS}) WHERE doc_id % 7 > 0",
+    "reformat_dry_run": f"SELECT count(*) AS found, (SELECT count(*) FROM ({_ELIGIBLE})) AS eligible FROM ({TALKS})",
+    "metadata_all": f"SELECT s.doc_id, s.title, s.author, s.author_title, d.date FROM ({ORACLES['metadata_extract']}) s JOIN ({ORACLES['date_parse']}) d ON s.doc_id = d.doc_id",
+    "conference_clean": f"""SELECT doc_id, CASE WHEN NOT contains(substr(content, 1, 500), 'Conference') THEN content WHEN start IS NULL THEN m ELSE array_to_string(list_concat(list_filter([title.t, speaker.t, CASE WHEN speaker IS NOT NULL THEN list_filter(st[speaker.i + 1:speaker.i + 4], lambda x: {_HAS('x', talks.OFFICES)})[1] END, '{talks.CONFERENCE_DATE}', ''], lambda x: x IS NOT NULL),
+        list_filter(st[start:], lambda x: x <> '' AND NOT starts_with(x, '→') AND NOT contains(x, '16:36'))), chr(10)) END AS content
+        FROM (SELECT *, coalesce({_HITS(f"CASE WHEN length(x) > 50 AND regexp_matches(lower(x), {_RX('|'.join(talks.OPENINGS))}) THEN x END")}.i, {_PLACES('st', 'i >= title.i + 5 AND length(x) > 80')}) AS start
+        FROM (SELECT *, coalesce({_HITS(f"CASE WHEN {_HAS('x', talks.LISTED_MARKS)} AND length(x) > 15 THEN {_LISTED} END")}, {_HITS(f"CASE WHEN length(x) > 20 AND contains(x, ':') AND NOT {_SIGNS('x')} THEN x END")}, {{'i': 1, 't': 'Unknown Talk'}}) AS title, {_HITS("CASE WHEN regexp_matches(x, '^By (Elder|President|Sister)') THEN x END")} AS speaker
+        FROM (SELECT doc_id, content, m, list_transform(string_split(m, chr(10)), lambda x: {_S('x')}) AS st FROM (SELECT doc_id, content, {_MENDED} AS m FROM (SELECT doc_id, {_CONFERENCE} AS content FROM ({TALKS}))))))""",
+}
