@@ -115,3 +115,13 @@ ORACLES = {
         l AS (SELECT class_id, sum(size)::BIGINT AS n, min(other) AS other FROM p WHERE shared / (na + nb - shared) >= 0.8 GROUP BY class_id)
         SELECT s.doc_id, c.class_id, size - 1 + coalesce(n, 0) AS n_links, least(CASE WHEN s.doc_id <> c.class_id THEN c.class_id END, other) AS nearest_id FROM sets s JOIN classes c ON s.words = c.words LEFT JOIN l ON c.class_id = l.class_id""",
 }
+
+# word boundaries by runs of word characters, as SQL knows only those of ASCII: a line with two short words is one sign
+_RUNS = lambda x: rf"regexp_extract_all({x}, '[\p{{L}}\p{{N}}_]+')"
+_OCR = rf"""(len(list_filter({_RUNS('text')}, lambda w: regexp_matches(w, '^[a-z]+[0-9]+[a-z]+$') OR regexp_matches(w, '^[A-Z]{{3,}}$'))) + len(regexp_extract_all(text, '[^\p{{L}}\p{{N}}_\s]{{3,}}'))
+    + len(list_filter(string_split(text, chr(10)), lambda l: len(list_filter({_RUNS('l')}, lambda w: length(w) <= 2)) >= 2))) / nullif(len(list_filter(string_split_regex(text, '\s+'), lambda w: w <> '')), 0)"""
+_SCORED = f"SELECT doc_id, round((CASE WHEN coalesce(rate, 0) > 0.05 THEN 0 ELSE 0.4 END) + readability * 0.3 + completeness * 0.2 + grammar_quality * 0.1, 6) AS quality_score FROM (SELECT *, {_OCR} AS rate FROM {_QUAL('documents')})"
+ORACLES |= {
+    "ocr_ratio": f"SELECT doc_id, round({_OCR}, 6) AS rate, {_OCR} > 0.05 AS faulty FROM documents",
+    "quality_filter": f"SELECT doc_id, quality_score, quality_score >= 0.7 AS kept FROM ({_SCORED})",
+}
