@@ -116,7 +116,21 @@ def test_spans_do_not_depend_on_company():
     assert pii.masked(texts[0], together[0][1]) == "call <PHONE> now"
     late = "word " * 60_000 + "ask kim.lee (at) web24.edu today"
     assert [text for k, a, b in pii.all_spans([late], model)[0][1] for text in [late[a:b]]] == ["kim.lee (at) web24.edu"]
-    assert pii.windows(256) == [(0, 256)] and all(b - a <= pii.STRIDE for (a, _), (b, _) in pairwise(pii.windows(5000))) and pii.windows(5000)[-1] == (5000 - pii.WINDOW, pii.WINDOW)
+    for n in (1, pii.WINDOW, pii.WINDOW + 1, 721, 5000, 123_457):
+        made = pii.windows(n)
+        assert made[0][0] == 0 and sum(made[-1]) == n and all(b[0] <= a[0] + a[1] - pii.SHARED + 1 for a, b in pairwise(made)) and max(x for _, x in made) <= pii.WINDOW
+
+
+def test_screening_misses_no_path():
+    rng, paid = np.random.default_rng(4), []
+    for lead in np.linspace(0, 3, 13):
+        e, a = rng.standard_normal((6, 4, 40)).astype(np.float32), rng.standard_normal((4, 4)).astype(np.float32)
+        e[:, 0] += lead
+        got = bilstm.pays(e, a, 0.0)
+        assert (got == bilstm.viterbi(e.transpose(0, 2, 1), np.full(40, 6), a).any(axis=0)).all()
+        assert (bilstm.pays(e, a, 1.0) | ~got).all()
+        paid += got.tolist()
+    assert 50 < sum(paid) < len(paid) - 50
 
 
 def test_documents(spark, sf):

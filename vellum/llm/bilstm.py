@@ -161,6 +161,22 @@ def train(p: Params, ids: np.ndarray, tags: np.ndarray, rounds: int, batch: int,
     return p
 
 
+def pays(e: np.ndarray, a: np.ndarray, bonus: float) -> np.ndarray:
+    """Which sequences of emissions (T, tags, N) have a best path that isn't tag 0 throughout, were entering another tag worth `bonus` more."""
+    steps = a - a[0, 0]
+    steps[0, 1:] += bonus
+    steps = np.ascontiguousarray(steps.astype(e.dtype))
+    moves = np.empty((len(a), len(a), e.shape[2]), e.dtype)
+    lead = e[0] - e[0, :1]
+    best = steps[0][:, None] + lead  # beyond the path of tag 0, which is at nought
+    for t in range(1, len(e)):
+        np.add(best[:, None], steps[:, :, None], out=moves)
+        np.maximum.reduce(moves, axis=0, out=best)
+        np.subtract(e[t], e[t, :1], out=lead)
+        best += lead
+    return (best + steps[:, :1]).max(axis=0) > 1e-3
+
+
 def viterbi(e: np.ndarray, sizes: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Best tags (T, N) of sequences of emissions (T, N, tags), of which the first `sizes` count; tag 0 stands before and after."""
     best = a[0] + e[0]

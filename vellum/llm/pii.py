@@ -19,6 +19,7 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -34,14 +35,16 @@ KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
 WEIGHTS = Path(__file__).with_name("tagger.npz")
-WINDOW = 256
-STRIDE = 208
-#: Windows scored at once.
+#: Characters of a window at most, and those that neighbouring ones share at least.
+WINDOW = 384
+SHARED = 48
+#: Windows scored at once, and characters of texts read together.
 COLUMNS = 1024
+GROUP = 2_000_000
 #: Characters on both sides of anything doubtful that are decoded with it.
 SURE = 48
-#: Windows are put together where a single one's doubt reaches this: less than the 0 at which a span can pay.
-WARY = -2.0
+#: Windows are put together where a span would pay in one of them, were it worth so much more.
+WARY = 1.0
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]")
@@ -171,14 +174,17 @@ def tagger() -> dict[str, np.ndarray]:
 
 
 def windows(n: int) -> list[tuple[int, int]]:
-    """(start, length) of the overlapping windows that cover a text of n characters, evenly spread."""
+    """(start, length) of the overlapping windows that cover a text of n characters: as few as will do, of one length, evenly spread."""
     if n <= WINDOW:
         return [(0, n)]
-    many = -(-(n - WINDOW) // STRIDE)
-    return [(i * (n - WINDOW) // many, WINDOW) for i in range(many + 1)]
+    many = -(-(n - SHARED) // (WINDOW - SHARED))
+    length = -(-(n + (many - 1) * SHARED) // many)
+    return [(i * (n - length) // (many - 1), length) for i in range(many)]
 
 
-_WEIGHT = (1 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])).astype(np.float32)[:, None]
+@lru_cache(maxsize=WINDOW + 1)
+def _weight(length: int) -> np.ndarray:
+    return (1 + np.minimum(np.arange(length), np.arange(length)[::-1])).astype(np.float32)[:, None]
 
 
 def _gain(e: np.ndarray, model: dict[str, np.ndarray]) -> np.ndarray:
@@ -215,7 +221,8 @@ def doubtful(gain: np.ndarray, cost: float) -> list[tuple[int, int]]:
 
 def _scored(codes: list[np.ndarray], model: dict[str, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     """(text, tag scores of its characters) of the texts with anything doubtful."""
-    order = sorted((k for k, x in enumerate(codes) if len(x)), key=lambda k: (len(codes[k]), k))
+    cut = [windows(len(x)) if len(x) else [] for x in codes]
+    order = sorted((k for k, x in enumerate(codes) if len(x)), key=lambda k: (cut[k][0][1], k))  # windows of like length together
     todo: list[tuple[int, int, int]] = []
 
     def run(part: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, np.ndarray]]:
@@ -225,19 +232,19 @@ def _scored(codes: list[np.ndarray], model: dict[str, np.ndarray]) -> Iterator[t
         for c, (k, start, n) in enumerate(part):
             ids[:n, c] = codes[k][start : start + n]
         e = bilstm.emissions(model, ids)
-        some = {part[c][0] for c in np.flatnonzero((_gain(e, model)[:, : len(part)] > WARY).any(axis=0))}
-        e = np.ascontiguousarray(e.transpose(2, 0, 1))
-        for c, (k, start, n) in enumerate(part):
-            if k in some:
-                yield k, start, n, e[c, :n]
+        some = {part[c][0] for c in np.flatnonzero(bilstm.pays(e, model["A"], WARY)[: len(part)])}
+        mine = [c for c, (k, *_) in enumerate(part) if k in some]
+        for c, x in zip(mine, np.ascontiguousarray(e[:, :, mine].transpose(2, 0, 1)), strict=True):
+            k, start, n = part[c]
+            yield k, start, n, x[:n]
 
     def whole(parts: Iterable[tuple[int, int, int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
         sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k, start, n, e in parts:
             if k not in sums:
                 sums[k] = np.zeros((len(codes[k]), len(TAGS)), np.float32), np.zeros((len(codes[k]), 1), np.float32)
-            sums[k][0][start : start + n] += e * _WEIGHT[:n]
-            sums[k][1][start : start + n] += _WEIGHT[:n]
+            sums[k][0][start : start + n] += e * _weight(n)
+            sums[k][1][start : start + n] += _weight(n)
         for k, (total, weight) in sums.items():
             if not weight.all():  # a long text's windows elsewhere were sure
                 total[weight[:, 0] == 0, 0] = 100.0
@@ -245,7 +252,7 @@ def _scored(codes: list[np.ndarray], model: dict[str, np.ndarray]) -> Iterator[t
             yield k, total / weight
 
     for k in order:
-        mine = [(k, a, n) for a, n in windows(len(codes[k]))]
+        mine = [(k, a, n) for a, n in cut[k]]
         if todo and len(todo) + len(mine) > COLUMNS:
             yield from whole(run(todo))
             todo = []
@@ -263,7 +270,7 @@ def tag_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[list[Span]
     jobs = []
     cost = 2 * model["A"][0, 0] - model["A"][0, 1:].max() - model["A"][1:, 0].max() + model["A"][1:, 1:].max() - model["A"][0, 0]
     for k, e in _scored([encode(t) for t in texts], model):
-        jobs += [(k, a, e[a:b]) for a, b in doubtful(_gain(e, model), float(cost))]
+        jobs += [(k, a, e[a:b].copy()) for a, b in doubtful(_gain(e, model), float(cost))]
     jobs.sort(key=lambda j: len(j[2]))
     at = 0
     while at < len(jobs):
@@ -319,8 +326,14 @@ def trimmed(text: str, kind: str, a: int, b: int) -> tuple[int, int]:
 
 def all_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
-    out = []
-    for text, tagged in zip(texts, tag_spans(texts, model), strict=True):
+    out, held, cuts = [], 0, [0]
+    for i, text in enumerate(texts):
+        if held and held + len(text) > GROUP:
+            cuts.append(i)
+            held = 0
+        held += len(text)
+    tagged_spans = chain.from_iterable(tag_spans(texts[a:b], model) for a, b in pairwise([*cuts, len(texts)]))
+    for text, tagged in zip(texts, tagged_spans, strict=True):
         base, dropped = matches(text)
         taken = [(a, b) for _, a, b in [*base, *dropped]]
         added = []
