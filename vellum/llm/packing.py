@@ -25,8 +25,9 @@ from vellum.llm.common import Scratch, tidy
 
 CAPACITY = 1024
 END_ID = 2
-#: Pieces that one task ranks, and groups of them at most in all.
+#: Pieces ranked together: at most so many, and at most a share of 1 in DEALT; groups at most in all.
 RANKED = 100_000
+DEALT = 4096
 GROUPS = 65_536
 #: Tokens of slack that a bin may keep, tried in turn.
 SPARES = (0, 1, 2, 4, 8, 12, 16, 24, 32)
@@ -146,7 +147,8 @@ def place(items: DataFrame, capacity: int = CAPACITY, ranked_at_once: int = RANK
     """`items` (a written table with doc_id, piece, length, ...) with sequence_id and offset."""
     short = items.where(F.col("length") < capacity)
     counts = {r.length: r.n for r in short.groupBy("length").agg(F.count("*").alias("n")).collect()}  # fewer than `capacity` rows
-    each = max(ranked_at_once, -(-sum(counts.values()) // GROUPS))
+    total = sum(counts.values())
+    each = max(min(ranked_at_once, total // DEALT + 1), -(-total // GROUPS))
     salts = [-(-counts.get(length, 0) // each) or 1 for length in range(capacity)]
     salted = short.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.get(F.lit(salts), F.col("length").cast("int"))).cast("int"))
     # at most `capacity` + GROUPS rows
