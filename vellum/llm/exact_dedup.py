@@ -1,7 +1,7 @@
 """Exact deduplication by deterministic block naming.
 
 A text is cut into fixed-size byte blocks. All distinct blocks are sorted and numbered, so that each
-gets an integer name, its place in the order of contents; then adjacent names are paired and the distinct pairs
+gets an integer name, its place in the order of first bytes, digests and whole contents; then adjacent names are paired and the distinct pairs
 sorted and numbered in the same way, round after round, until each document is one name. Names depend on the
 set of texts alone, not on partitions. They stand for content that was compared byte by byte: the 64-bit digest
 of a block only chooses where equal ones meet, and blocks that share a digest get names of their own. Two
@@ -44,9 +44,12 @@ def _blocks(docs: DataFrame, block_bytes: int, digest: Callable[[Column], Column
     return rows.withColumn("h", digest(F.col("blk"))).withColumn("sha", F.expr("if(pos = 0, sha, null)"))
 
 
-def _numbered(rows: DataFrame, order: list[str], kept: list[str], scratch: Scratch, label: str) -> DataFrame:
-    """(kept, name): each of the distinct `rows` with its place, from 0, in the order of the given columns."""
-    sorted_ = rows.orderBy(*order).select(*kept, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("nth"))
+def _numbered(rows: DataFrame, ranges: list[Column], order: list[Column], kept: list[str], scratch: Scratch, label: str) -> DataFrame:
+    """(kept, name): each of the distinct `rows` with its place, from 0, in the order of `ranges`, then of `order`.
+
+    Only `ranges` are sampled to deal rows out, so they should be short and no value of theirs common.
+    """
+    sorted_ = rows.repartitionByRange(*ranges).sortWithinPartitions(*ranges, *order).select(*kept, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("nth"))
     placed = scratch.write(sorted_, label)
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))  # one row a partition
     first = sizes.select("part", F.coalesce(F.expr("sum(n) over (order by part rows between unbounded preceding and 1 preceding)"), F.lit(0)).alias("first"))
@@ -57,7 +60,7 @@ def _name_blocks(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """(h, key, name) for each distinct block; key holds the bytes where several blocks share h, else nothing."""
     sets = rows.groupBy("h").agg(F.collect_set("blk").alias("blks"))
     flat = sets.select("h", F.size("blks").alias("k"), F.explode("blks").alias("blk"))
-    return _numbered(flat.withColumn("key", F.expr("if(k > 1, concat(X'01', blk), X'')")), ["blk"], ["h", "key"], scratch, "names0")
+    return _numbered(flat.withColumn("key", F.expr("if(k > 1, concat(X'01', blk), X'')")), [F.substring("blk", 1, 16), F.col("h")], [F.col("blk")], ["h", "key"], scratch, "names0")
 
 
 def _first_round(docs: DataFrame, scratch: Scratch, block_bytes: int, digest: Callable[[Column], Column]) -> DataFrame:
@@ -92,7 +95,7 @@ def identities(docs: DataFrame, scratch: Scratch, block_bytes: int = BLOCK_BYTES
                 F.expr("coalesce(max(if(pos % 2 = 1, name, null)), -1)").alias("b"),
             )
         )
-        names = _numbered(pairs.select("a", "b").distinct(), ["a", "b"], ["a", "b"], scratch, f"names{level}")
+        names = _numbered(pairs.select("a", "b").distinct(), [F.col("a"), F.col("b")], [], ["a", "b"], scratch, f"names{level}")
         now = scratch.write(pairs.join(names, ["a", "b"]).select("rid", "doc_id", "sha", "n", F.col("pos").cast("int").alias("pos"), "name"), f"round{level}")
         scratch.drop(f"names{level}")
         done = done.unionByName(now.where("n = 1").withColumn("level", F.lit(level)))
