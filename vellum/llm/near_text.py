@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellum.llm import simhash
-from vellum.llm.common import Scratch, components, tidy
+from vellum.llm.common import HEAVY, Scratch, components, tidy
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -253,7 +253,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float, k: int) -> DataFr
 
 
 def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
-    """(th, sig, root, keep, keep_th): hash and digest of each distinct text, its group, and the doc_id and the hash of what stays of the group."""
+    """(th, sig, copies, root, keep, keep_th): hash, digest and rows of each distinct text, its group, and the doc_id and the hash of what stays of the group."""
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumns({"th": F.xxhash64("text"), "sig": F.md5(F.col("text").cast("binary"))})
 
     @tidy
@@ -268,11 +268,16 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
 
     prints = hashed.select("doc_id", "th", "sig", "text").mapInArrow(run, "doc_id long, th long, sig string, a long, b long")
     # a class is the text of the least digest where several share a hash; the others take no part, see drop_near_copies
-    own = prints.groupBy("th", "sig").agg(F.min("doc_id").alias("least"), F.min("a").alias("a"), F.min("b").alias("b"))
-    classes = scratch.write(own.groupBy("th").agg(F.min_by(F.struct("sig", "least", "a", "b"), "sig").alias("x")).select("th", "x.*"), "classes")
-    n = classes.count()
+    own = prints.groupBy("th", "sig").agg(F.min("doc_id").alias("least"), F.min("a").alias("a"), F.min("b").alias("b"), F.count("*").alias("copies"))
+    classes = scratch.write(own.groupBy("th").agg(F.min_by(F.struct("sig", "least", "a", "b", "copies"), "sig").alias("x")).select("th", "x.*"), "classes")
+    n, total = classes.agg(F.count("*"), F.sum("copies")).first()
+    # of classes with more than a share of 1 in HEAVY of all rows, fewer than HEAVY, one copy's text is enough
+    heavy = classes.where(F.col("copies") > total / HEAVY).select(F.col("th").alias("_h"), F.col("least").alias("_one")) if total else None
+    if heavy is not None:
+        hashed = hashed.join(F.broadcast(heavy), (F.col("th") == F.col("_h")) & ~F.col("doc_id").eqNullSafe(F.col("_one")), "left_anti")
     pairs = scratch.write(candidates(classes.select("th", "a", "b"), n, least), "pairs")
-    texts = hashed.select("th", "text").join(pairs.select(F.explode(F.array("u", "v")).alias("th")).distinct(), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text"))
+    met = classes.select("th", "sig").join(pairs.select(F.explode(F.array("u", "v")).alias("th")).distinct(), "th", "left_semi")
+    texts = hashed.select("th", "sig", "text").join(met, ["th", "sig"], "left_semi").groupBy("th").agg(F.first("text").alias("text"))
     texts = scratch.write(texts, "texts")
     links = scratch.write(verified(pairs, texts, least, k), "links")
     roots = scratch.write(components(links, scratch), "roots")
@@ -280,9 +285,9 @@ def groups(docs: DataFrame, scratch: Scratch, least: float = SIMILARITY, k: int
     more = scratch.write(missed(met, texts, n, least, k), "more")
     if not more.isEmpty():
         roots = components(links.unionByName(verified(more, texts, least, k)), scratch)
-    rooted = classes.join(roots, classes.th == roots.node, "left").select("th", "sig", "least", F.coalesce("root", "th").alias("root"))
+    rooted = classes.join(roots, classes.th == roots.node, "left").select("th", "sig", "least", "copies", F.coalesce("root", "th").alias("root"))
     keep = rooted.groupBy("root").agg(F.min("least").alias("keep"), F.min(F.struct(F.col("least").isNull(), "least", "th")).alias("top"))
-    return rooted.join(keep, "root").select("th", "sig", "root", "keep", F.col("top.th").alias("keep_th"))
+    return rooted.join(keep, "root").select("th", "sig", "copies", "root", "keep", F.col("top.th").alias("keep_th"))
 
 
 def drop_near_copies(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGLE) -> DataFrame:
@@ -294,8 +299,12 @@ def drop_near_copies(docs: DataFrame, least: float = SIMILARITY, k: int = SHINGL
     document and stay together; so do rows without a doc_id whose text stays. Other columns pass through.
     """
     scratch = Scratch(docs.sparkSession, "near")
-    gone = groups(docs, scratch, least, k).select(F.col("th").alias("_kth"), F.col("sig").alias("_ksig"), F.when(F.col("th") == F.col("keep_th"), F.struct(F.col("keep").alias("id"))).alias("_kid"))
+    gone = groups(docs, scratch, least, k).select("copies", F.col("th").alias("_kth"), F.col("sig").alias("_ksig"), F.when(F.col("th") == F.col("keep_th"), F.struct(F.col("keep").alias("id"))).alias("_kid"))
     text = F.coalesce("text", F.lit(""))
     marked = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_th"), F.md5(text.cast("binary")).alias("_sig"))
     goes = (F.col("_th") == F.col("_kth")) & (F.col("_sig") == F.col("_ksig")) & (F.col("_kid").isNull() | ~F.col("_id").eqNullSafe(F.col("_kid.id")))
-    return marked.join(scratch.write(gone, "gone"), goes, "left_anti").select("_row.*")
+    gone = scratch.write(gone, "gone")
+    rows = gone.agg(F.sum("copies")).first()[0] or 0
+    # rows of heavy classes, which are few, go without being moved
+    left = marked.join(F.broadcast(gone.where(F.col("copies") > rows / HEAVY)), goes, "left_anti")
+    return left.join(gone.where(F.col("copies") <= rows / HEAVY), goes, "left_anti").select("_row.*")
