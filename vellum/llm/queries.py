@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellum.llm import edit_counts, exact_dedup, forest, line_dedup, packing, pieces, pii, sharding, simhash, toxicity
+from vellum.llm import bpe, edit_counts, exact_dedup, forest, importance, line_dedup, packing, pieces, pii, sharding, simhash, spelling, toxicity
 from vellum.llm.common import documents
 
 
@@ -50,6 +50,18 @@ def op10_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(documents(spark, sf_dir))
+
+
+def op13_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,6 +80,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sampled_pieces": op8_sampled_pieces,
         "op9_tree_forest": op9_tree_forest,
         "op10_slack_packing": op10_slack_packing,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_tree_bpe": op12_tree_bpe,
+        "op13_importance_draw": op13_importance_draw,
         "pipeline": pipeline,
     }
 
