@@ -118,6 +118,16 @@ def adaptive_steps(ratio: Column, steps: int, threshold: float = 0.8) -> Column:
     return F.when(ratio > threshold, F.greatest(F.lit(1), F.lit(steps // 2))).otherwise(steps)
 
 
+def flushed(log: DataFrame, n: int = 10) -> DataFrame:
+    """(run, ord, ..., flushed_at): what a collector writes that saves a run's last n rows at each step (`ord`) that n divides.
+
+    Where steps leave gaps a row can be written more than once, or never; rows after the last such step aren't written.
+    """
+    near = _by().rowsBetween(0, n - 1)
+    due = F.collect_list(F.when(c("ord") % n == 0, c("ord"))).over(near)
+    return log.withColumn("_due", due).select(*log.columns, F.explode("_due").alias("flushed_at"))
+
+
 def retention(checkpoints: DataFrame, keep: int = 3) -> DataFrame:
     """`checkpoints` (run, path, mtime, step) with keep and latest: the newest by time, then step, stay."""
     rank = F.row_number().over(W.partitionBy("run").orderBy(c("mtime").desc(), c("step").desc()))

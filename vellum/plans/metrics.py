@@ -85,3 +85,7 @@ ORACLES |= {
     "final_metrics": f"SELECT run, ord::INT AS ord, event_id, loss, operation FROM ({_LOG}) QUALIFY row_number() OVER (PARTITION BY run ORDER BY ord DESC) = 1",
     "backoff_jitter": f"SELECT event_id, round(least(0.5 * pow(2.0, ord % 9), 60.0) * (1.1 + 0.4 * (('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296)), 6) AS wait FROM ({_LOG})",
 }
+
+QUERIES |= {"metric_flushes": lambda s, d: t.flushed(load(s, d, "events").select(c("user_id").alias("run"), c("event_id").alias("ord"), c("value").alias("loss"), c("event_type").alias("operation")))}
+# a collector's memory: at each step that ten divides, the ten rows that it logged last
+ORACLES |= {"metric_flushes": "WITH l AS (SELECT user_id AS run, event_id AS ord, value AS loss, event_type AS operation, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) SELECT l.run, l.ord, l.loss, l.operation, f.ord AS flushed_at FROM l AS f JOIN l ON l.run = f.run AND l.i > f.i - 10 AND l.i <= f.i WHERE f.ord % 10 = 0"}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.base import let, lines, strip
+from vellum.operators import telemetry
 from vellum.operators.ingest import target_path
 
 c = F.col
@@ -70,9 +71,10 @@ def read_metrics(spark: SparkSession, path: str, schema: str = METRICS) -> DataF
     return spark.read.schema(schema).json(path).withColumn("ts", F.timestamp_seconds("timestamp"))
 
 
-def append_metrics(rows: DataFrame, path: str) -> None:
-    """Appends every row once."""
-    rows.write.mode("append").json(path)
+def append_metrics(rows: DataFrame, path: str, every: int | None = None) -> None:
+    """Appends every row once; with `every`, as a step collector: a run's last so many `rows` (run, ord, ...) at each step that it divides."""
+    kept = rows if every is None else telemetry.flushed(rows, every).drop("flushed_at")
+    kept.write.mode("append").json(path)
 
 
 def checkpoints(spark: SparkSession, folder: str, run: str = "run") -> DataFrame:

@@ -6,22 +6,25 @@ Rows are (run, ord, ts, loss, operation). Early stopping keeps a few numbers per
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vellum.streaming import runs
+
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
 def events(spark: SparkSession, folder: str, per_trigger: int = 1) -> DataFrame:
     """events files of a folder as a stream of metric rows."""
-    raw = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*.parquet").option("maxFilesPerTrigger", per_trigger).parquet(folder)
+    return rows_of(spark.readStream.schema(EVENTS).option("pathGlobFilter", "events*.parquet").option("maxFilesPerTrigger", per_trigger).parquet(folder))
+
+
+def rows_of(raw: DataFrame) -> DataFrame:
+    """Metric rows of events, batch or stream."""
     return raw.select(F.col("user_id").alias("run"), F.col("event_id").alias("ord"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("loss"), F.col("event_type").alias("operation"))
 
 
@@ -51,22 +54,9 @@ def early_stopping(rows: DataFrame, patience: int = 3, min_delta: float = 0.01)
     return rows.groupBy("run").applyInPandasWithState(step, "run long, seen long, best double, wait long, stopped_at long", "seen long, best double, wait long, stopped_at long", "update", GroupStateTimeout.NoTimeout)
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vellum-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
-def run_once(stream: DataFrame, mode: str, shuffle: int | None = None) -> DataFrame:
-    """Runs a stream over what is there and returns the rows it put out, written to the shared folder batch by batch."""
-    spark = stream.sparkSession
-    folder = _folder(spark)
-
-    def put(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/out/part={number}")
-
-    query = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(T.StructType([*stream.schema, T.StructField("batch", T.IntegerType())])).parquet(f"{folder}/out").drop("part")
+def run_once(stream: DataFrame, mode: str) -> DataFrame:
+    """Runs a stream over what is there, in a folder of its own, and returns the rows it put out with their batch."""
+    return runs.resume(stream, runs.new_folder(stream.sparkSession), mode)
 
 
 def log(rows: DataFrame) -> DataFrame:
