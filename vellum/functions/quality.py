@@ -24,11 +24,11 @@ def _mean(values: Column) -> Column:
     return F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, x: a + x.cast("double")), F.size(values).cast("double"))
 
 
-def features(text: Column) -> Column:
-    """Struct of what style is compared by: sentence lengths, words, marks, rhetoric."""
+def features(text: Column, parts: Column | None = None) -> Column:
+    """Struct of what style is compared by: sentence lengths, words, marks, rhetoric. `parts` are the text's sentences, if not those by pattern."""
 
     def of(t: Column) -> Column:
-        return let(tokens(t), lambda w: let(F.transform(sentences(t), lambda s: F.size(tokens(s))), lambda n: _features(t, w, n)))
+        return let(tokens(t), lambda w: let(F.transform(sentences(t) if parts is None else parts, lambda s: F.size(tokens(s))), lambda n: _features(t, w, n)))
 
     return let(text, of)
 

@@ -5,6 +5,8 @@ Corpora are never collected per author: words, features and n-grams are aggregat
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -32,12 +34,15 @@ def _close(g: Column, r: Column) -> Column:
     return 1 - F.abs(g - r) / F.greatest(r, F.lit(1.0))
 
 
-def feature_scores(texts: DataFrame, refs: DataFrame) -> DataFrame:
-    """(id, structure_similarity, rhetorical_score, style_features) from per-text features and author means."""
+def feature_scores(texts: DataFrame, refs: DataFrame, split: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(id, structure_similarity, rhetorical_score, style_features) from per-text features and author means; `split` gives a text's sentences."""
     n = len(quality.RHETORIC)
-    of = refs.select("author", quality.features(c("text")).alias("f")).select("author", "f.*")
+    if split is not None:
+        texts, refs = (t.withColumn("_s", split(c("text"))) for t in (texts, refs))
+    parts = None if split is None else c("_s")
+    of = refs.select("author", quality.features(c("text"), parts).alias("f")).select("author", "f.*")
     means = of.groupBy("author").agg(F.avg("avg_length").alias("r_length"), F.avg("length_variance").alias("r_variance"), *[F.avg(f).alias(f"r_{f}") for f in FEATURES], F.array(*[F.avg(F.get("rhetoric", F.lit(i))) for i in range(n)]).alias("r_rhetoric"))
-    own = texts.select("id", "author", quality.features(c("text")).alias("f")).select("id", "author", "f.*").join(means, "author")
+    own = texts.select("id", "author", quality.features(c("text"), parts).alias("f")).select("id", "author", "f.*").join(means, "author")
     structure = (_close(c("avg_length"), c("r_length")) + _close(c("length_variance"), c("r_variance"))) / 2
     g, r = (lambda i: F.get("rhetoric", F.lit(i))), (lambda i: F.get("r_rhetoric", F.lit(i)))
     rhetoric = [F.when(r(i) > 0, F.least(F.try_divide(g(i), r(i)), F.lit(2.0)) / 2).otherwise(F.when(g(i) == 0, 1.0).otherwise(0.0)) for i in range(n)]

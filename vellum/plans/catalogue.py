@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-THEMES = ("chunking", "prompting", "reformatting", "metrics", "ingesting", "evaluating", "streams")
+THEMES = ("chunking", "prompting", "reformatting", "metrics", "ingesting", "evaluating", "streams", "boundaries")
 
 
 def _all(what: str) -> dict:
