@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from vellum.functions import classify
-from vellum.functions.base import n_words
+from vellum.functions.base import let, n_words
 
 LEVELS = ("simple", "moderate", "complex", "advanced")
 COMPLEXITY = {"simple": 0.25, "moderate": 0.5, "complex": 0.75, "advanced": 1.0}
@@ -76,20 +76,31 @@ def selection(spark: SparkSession) -> DataFrame:
     return ranked.where("n = 1").select("content_type", "want", F.col("name").alias("template_name"), "template", "needs_context", F.col("level").alias("template_level"))
 
 
+def _filled(template: Column, values: dict[str, Column], other: Callable[[Column], Column]) -> Column:
+    """A template with each {key} replaced in one pass, so that keys in the values stay as they are; `other` gives unknown keys."""
+    keys, parts = F.regexp_extract_all(template, F.lit(r"\{(\w+)\}"), F.lit(1)), F.split(template, r"\{\w+\}")
+
+    def value(k: Column) -> Column:
+        out = other(k)
+        for name, v in values.items():
+            out = F.when(k == name, F.coalesce(v, F.lit(f"[{name}]"))).otherwise(out)
+        return out
+
+    made = let(parts, lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(keys, lambda k, i: F.concat(value(k), F.get(p, i + 1))), "")))
+    return F.when(F.contains(template, F.lit("{")), made).otherwise(template)
+
+
 def fill(template: Column, values: dict[str, Column]) -> Column:
-    """Replaces {key} by its value, a null value by [key]; the chunk's own text goes in last."""
-    return reduce(lambda t, k: F.replace(t, F.lit("{" + k + "}"), F.coalesce(values[k], F.lit(f"[{k}]"))), sorted(values, key=VARIABLES.index), template)
+    """Replaces {key} by its value, a null value by [key]; keys that aren't given stay."""
+    return _filled(template, values, lambda k: F.concat(F.lit("{"), k, F.lit("}")))
 
 
 def fill_open(template: Column, values: dict[str, Column]) -> Column:
     """Fills a template of any keys; one that isn't given becomes [key], and with more the template stays, with a note on the first."""
     keys = F.array_distinct(F.regexp_extract_all(template, F.lit(r"\{(\w+)\}"), F.lit(1)))
     missing = F.filter(keys, lambda k: ~k.isin(*values)) if values else keys
-    first = F.get(missing, F.lit(0))
-    filled = reduce(lambda t, k: F.replace(t, F.lit("{" + k + "}"), F.coalesce(values[k], F.lit(f"[{k}]"))), values, template)
-    one = F.replace(filled, F.concat(F.lit("{"), first, F.lit("}")), F.concat(F.lit("["), first, F.lit("]")))
-    noted = F.concat(template, F.lit("\n\n[Missing template variable: '"), first, F.lit("']"))
-    return F.when(F.size(missing) == 0, filled).when(F.size(missing) == 1, one).otherwise(noted)
+    noted = F.concat(template, F.lit("\n\n[Missing template variable: '"), F.get(missing, F.lit(0)), F.lit("']"))
+    return F.when(F.size(missing) <= 1, _filled(template, values, lambda k: F.concat(F.lit("["), k, F.lit("]")))).otherwise(noted)
 
 
 def training_prompts(docs: DataFrame, template_name: str | None = None) -> DataFrame:

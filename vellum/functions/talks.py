@@ -32,6 +32,9 @@ HONORIFICS = ["Elder", "President", "Bishop", "Sister"]
 # fixed values: shortest body by type, 100 for others
 MIN_BODY = {"conference_talk": 500, "short_remarks": 100, "liahona_article": 300, "magazine_profile": 200, "citations_only": 50, "session_header": 50, "contents_page": 50, "table_of_contents": 50, "invalid": 50}
 SKIPPED = ["session_header", "table_of_contents", "contents_page", "invalid"]
+# how the patterns above that run from an opening to a closing text close, in their order; the others hold no such run
+TOC_CLOSING = [None, None, r"\w+\s*October \d{4} general conference", None, "Sunday Afternoon Session", r"\n[\nA-Z]", r"\n[\nA-Z]", r"\n\n[A-Z][a-z].*?\n", r"(?:Quorum|Presidency|Seventy|Bishopric)\s*$", None]
+# fixed value: a first line that begins with a time
 STAMPED = r"^\d{1,2}:\d{2}[A-Za-z]"
 
 
@@ -100,6 +103,24 @@ def _any(patterns: list[str], x: Column) -> Column:
     return F.array_max(F.array(*[x.rlike(p) for p in patterns]))
 
 
+def _removed(text: Column, pattern: str, closing: str | None) -> Column:
+    """`text` without the matches of a pattern, in time linear in its length.
+
+    No match can end beyond the last place where the pattern can close, so only what lies before is searched; else each
+    opening behind it would be followed to the end of the text. What runs to a heading's end opens with a session, too,
+    so it is searched up to where the last session closes.
+    """
+    if closing is None:
+        return F.regexp_replace(text, f"(?ms){pattern}", "")
+    head = lambda t, p: F.regexp_extract(t, rf"(?ms)\A.*{p}", 0)
+
+    def cut(t: Column) -> Column:
+        last = let(head(t, closing), lambda h: head(h, rf"Session\s*.*?{closing}")) if pattern.startswith("^.*?Session") else head(t, closing)
+        return let(last, lambda h: F.when(h == "", t).otherwise(F.concat(F.regexp_replace(h, f"(?ms){pattern}", ""), F.substr(t, F.length(h) + 1))))
+
+    return let(text, cut)
+
+
 def clean_toc(text: Column, intent: bool = False) -> Column:
     """Removes tables of contents; what then still shows signs of one is cut to its title.
 
@@ -107,8 +128,8 @@ def clean_toc(text: Column, intent: bool = False) -> Column:
     `intent` they stay within lines.
     """
     t = text
-    for p in TOC_REMOVED:
-        t = F.regexp_replace(t, ("(?m)" if intent else "(?ms)") + p, "")
+    for p, closing in zip(TOC_REMOVED, TOC_CLOSING, strict=True):
+        t = F.regexp_replace(t, f"(?m){p}", "") if intent else _removed(t, p, closing)
 
     def cut(ls: Column) -> Column:
         signs = lambda x: _any(["contents", "session", "authenticating"], F.lower(x))

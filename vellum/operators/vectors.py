@@ -14,6 +14,8 @@ c = F.col
 #: Queries, and rows of the table, that meet in one task.
 QUERY_BLOCK = 20_000
 TABLE_PART = 200_000
+#: Queries of a block that meet a batch of rows at a time.
+TOGETHER = 256
 
 
 def unit(v: Column) -> Column:
@@ -42,13 +44,41 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return v.where("vec_id is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)")
 
 
+def _best(who: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, id, similarity), the k most similar distinct ids of each query, ties to the smaller id; an id counts at its nearest."""
+    order = np.lexsort((-sims, ids, who))
+    who, ids, sims = who[order], ids[order], sims[order]
+    once = np.concatenate([[True], (who[1:] != who[:-1]) | (ids[1:] != ids[:-1])]) if len(who) else np.zeros(0, bool)
+    who, ids, sims = who[once], ids[once], sims[once]
+    order = np.lexsort((ids, -sims, who))
+    who, ids, sims = who[order], ids[order], sims[order]
+    start = np.searchsorted(who, who)  # the first place of each query
+    kept = np.arange(len(who)) - start < k
+    return who[kept], ids[kept], sims[kept]
+
+
+def _near(own: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`_best` of some queries (numbered from `first`) against some rows: what is beyond the k-th most similar distinct id isn't sorted."""
+    names, at = np.unique(ids, return_inverse=True)
+    sims = np.round(q @ x.T, 12)
+    if len(names) < len(ids):
+        order = np.argsort(at, kind="stable")
+        sims = np.maximum.reduceat(sims[:, order], np.searchsorted(at[order], np.arange(len(names))), axis=1)
+    else:
+        sims = sims[:, np.argsort(ids)]
+    sims[own[:, None] == names[None, :]] = -np.inf
+    least = np.partition(sims, -k, axis=1)[:, -k] if len(names) > k else np.full(len(q), -np.inf)
+    who, which = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+    return _best(who + first, names[which], sims[who, which], k)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = QUERY_BLOCK, part: int = TABLE_PART) -> DataFrame:
     """(query_id, rank, vec_id, similarity): the k most similar rows but the query's own, ties to the smaller id.
 
     Blocks of queries meet parts of the table in tasks, each of which hands on k rows a query; nothing is
     collected. Similarities that agree to 12 places are ties. Vectors null, zero or with null or non-finite
-    components take no part; vectors of different lengths aren't compared; an id that repeats among the queries
-    asks once for each vector and counts at its nearest.
+    components take no part; vectors of different lengths aren't compared; an id that repeats is one neighbour, at
+    its nearest, and one that repeats among the queries asks once for each vector.
     """
     rows, asked = _usable(vectors), _usable(queries)
     n, m = rows.count(), asked.count()
@@ -59,16 +89,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = QUE
     right = rows.select(every(blocks).alias("block"), own(parts).alias("part"), F.size("v").alias("dim"), F.lit(1).alias("kind"), "vec_id", "v")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, held = None, []
-        best: tuple[np.ndarray, ...] | None = None
+        now, held, here, best = None, [], None, None
 
         def answers() -> pa.RecordBatch:
-            ids, sims = best
-            keep = np.isfinite(sims)
-            who = np.broadcast_to(here[0][:, None], ids.shape)
-            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (who, ids, sims)], names=["query_id", "vec_id", "similarity"])
+            who, ids, sims = best
+            return pa.RecordBatch.from_arrays([pa.array(here[0][who]), pa.array(ids), pa.array(sims)], names=["query_id", "vec_id", "similarity"])
 
-        now = None
         for b in batches:
             keys = np.stack([b[x].to_numpy() for x in ("block", "part", "dim", "kind")], axis=1)
             cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
@@ -86,17 +112,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = QUE
                 x = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
                 if kind == 0:
                     held.append((ids, x))
-                    continue
-                if not held:
-                    continue
-                if here is None:
-                    here = tuple(np.concatenate(y) for y in zip(*held, strict=True))
-                    best = np.zeros((len(here[0]), 0), np.int64), np.zeros((len(here[0]), 0))
-                sims = np.round(here[1] @ x.T, 12)
-                sims[here[0][:, None] == ids[None, :]] = -np.inf
-                both = np.concatenate([best[0], np.broadcast_to(ids, sims.shape)], axis=1), np.concatenate([best[1], sims], axis=1)
-                take = np.lexsort((both[0], -both[1]), axis=1)[:, : 2 * k]
-                best = np.take_along_axis(both[0], take, 1), np.take_along_axis(both[1], take, 1)
+                elif held:
+                    if here is None:
+                        here = tuple(np.concatenate(y) for y in zip(*held, strict=True))
+                    found = [_near(here[0][q : q + TOGETHER], here[1][q : q + TOGETHER], ids, x, k, q) for q in range(0, len(here[0]), TOGETHER)]
+                    best = _best(*(np.concatenate(y) for y in zip(*found, *([best] if best else []), strict=True)), k)
         if best is not None:
             yield answers()
 
