@@ -32,6 +32,13 @@ def regex_count(x: str, pattern: str) -> str:
     return f"len(regexp_extract_all({x}, {lit(pattern)}))"
 
 
+def fill(template: str, values: dict[str, str]) -> str:
+    """A template cut at its keys, with a value after each piece but the last: what values hold isn't looked at again."""
+    keys, parts = rf"regexp_extract_all({template}, '\{{(\w+)\}}', 1)", rf"string_split_regex({template}, '\{{\w+\}}')"
+    cases = " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in values.items())
+    return f"({parts}[1] || array_to_string(list_transform({keys}, lambda k, i: (CASE k {cases} ELSE '{{' || k || '}}' END) || {parts}[i + 1]), ''))"
+
+
 def packed(source: str, keys: str, parts: str, budget: int, separator: str, name: str, count: str = "") -> str:
     """CTEs that pack the list `parts` of `source` greedily; the last is `name` (keys, chunks)."""
     n = count or f"len({words('x')})"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -71,7 +70,7 @@ _PARTIAL = "CASE WHEN length(content) > 200 THEN substr(content, 1, 200) || '...
 
 def _fill(template: str, question: str) -> str:
     values = {k: k for k in prompts.VARIABLES} | {"question": question, "partial_text": _PARTIAL}
-    return reduce(lambda t, k: f"replace({t}, {duck.lit('{' + k + '}')}, {values[k]})", prompts.VARIABLES, template)
+    return duck.fill(template, values)
 
 
 _VERBS = lambda x, vs: "(" + " OR ".join(f"contains(lower({x}), {duck.lit(v)})" for v in vs) + ")"
@@ -114,18 +113,25 @@ ORACLES = {
     "pipeline_report": f"{_EXAMPLES} SELECT (SELECT count(*) FROM documents) AS input_documents, count(*) AS examples, round(count(*) / (SELECT count(*) FROM documents), 6) AS expansion_ratio, round(avg(length(prompt)), 6) AS avg_prompt_length, round(avg(length(response)), 6) AS avg_response_length, count(DISTINCT content_type) AS content_type_coverage, count(DISTINCT template_used) AS template_diversity FROM e",
 }
 
+def _braced():
+    """Titles, those of even documents with what looks like keys."""
+    return F.when(F.col("doc_id") % 2 == 0, F.concat("title", F.lit(" {author} {theme}"))).otherwise(F.col("title"))
+
+
 _OPEN = ["By {author}: {title}", "{author} on {theme} in {title}", "{theme} and {mood} by {author}"]
+
+
 QUERIES |= {
-    "prompt_missing_keys": lambda s, d: corpus(s, d).select("doc_id", prompts.fill_open(F.get(F.array(*map(F.lit, _OPEN)), F.col("doc_id").cast("int") % 3), {"author": F.when(F.col("doc_id") % 5 > 0, F.col("author")), "title": F.col("title")}).alias("prompt")),
+    "prompt_missing_keys": lambda s, d: corpus(s, d).select("doc_id", prompts.fill_open(F.get(F.array(*map(F.lit, _OPEN)), F.col("doc_id").cast("int") % 3), {"author": F.when(F.col("doc_id") % 5 > 0, F.col("author")), "title": _braced()}).alias("prompt")),
     "prompt_factory": lambda s, d: prompts.training_prompts(corpus(s, d), "simple_completion"),
     "instruction_prompt": lambda s, d: corpus(s, d).select("doc_id", prompts.instruction(F.col("author"), F.col("title"), F.col("source"), F.col("content")).alias("text")),
     "leader_topics": lambda s, d: prompts.reflections(s, "Elder David A. Bednar", ["faith", "repentance"]),
     "padded_ids": lambda s, d: corpus(s, d).select("doc_id", prompts.padded(F.transform(F.split("content", " "), F.length), 512, 7).alias("x")).select("doc_id", F.size("x.input_ids").alias("n"), F.aggregate("x.attention_mask", F.lit(0), lambda a, y: a + y).alias("used"), F.array_join("x.input_ids", ",").alias("ids"), (F.col("x.labels") == F.col("x.input_ids")).alias("same")),
     "pipeline_histograms": lambda s, d: training.histograms(training.examples(_spoken(s, d), "paragraph_aware", BUDGET, "\n")),
 }
-_FILL = "replace(replace({}, '{{author}}', coalesce(CASE WHEN doc_id % 5 > 0 THEN author END, '[author]')), '{{title}}', title)".format
+_FILL = lambda t: duck.fill(duck.lit(t), {"author": "coalesce(CASE WHEN doc_id % 5 > 0 THEN author END, '[author]')", "title": "CASE WHEN doc_id % 2 = 0 THEN title || ' {author} {theme}' ELSE title END"})
 ORACLES |= {
-    "prompt_missing_keys": f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN {_FILL(duck.lit(_OPEN[0]))} WHEN 1 THEN {_FILL(duck.lit(_OPEN[1].replace('{theme}', '[theme]')))} ELSE {duck.lit(_OPEN[2])} || chr(10) || chr(10) || '[Missing template variable: ''theme'']' END AS prompt FROM ({CORPUS})",
+    "prompt_missing_keys": f"SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN {_FILL(_OPEN[0])} WHEN 1 THEN {_FILL(_OPEN[1].replace('{theme}', '[theme]'))} ELSE {duck.lit(_OPEN[2])} || chr(10) || chr(10) || '[Missing template variable: ''theme'']' END AS prompt FROM ({CORPUS})",
     "prompt_factory": f"SELECT doc_id, 'Complete the following text in ' || author || {duck.lit("'s style:")} || chr(10) || chr(10) || chr(34) || CASE WHEN length(content) > 200 THEN substr(content, 1, 200) || '...' ELSE content END || chr(34) || chr(10) || chr(10) || 'Continue in ' || author || {duck.lit("'s voice:")} || chr(10) || chr(10) AS prompt FROM ({CORPUS})",
     "instruction_prompt": f"SELECT doc_id, 'Instruction:' || chr(10) || 'Write in the literary style of ' || author || ', based on a document titled \"' || title || '\" written on ' || source || '.' || chr(10) || chr(10) || 'Response:' || chr(10) || content || chr(10) AS text FROM ({CORPUS})",
     "leader_topics": "SELECT t AS Topic, 'Write a brief reflection on ' || t || ' in the style of Elder David A. Bednar. Conclude with a single, clear message..' AS prompt FROM (VALUES ('faith'), ('repentance')) v(t)",
