@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,8 @@ from vellum.functions.base import lines, strip
 
 HREF = r'(?is)<a\b[^>]*\bhref="([^"]*)"'
 
+_HREF = re.compile(HREF)
+
 
 def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(HREF), 1)
@@ -92,3 +95,23 @@ def text_of(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
     for page in pages:
         yield page.map(read)
+
+
+class TalkLinks:
+    """Table function over a page (html, url): (pos, url) of its links to texts of a type, each at its first place."""
+
+    def eval(self, html: str | None, page: str | None, content_type: str) -> Iterator[tuple[int, str]]:
+        base = re.match(r"https?://[^/?#]+", page or "")
+        seen = set()
+        for pos, href in enumerate(_HREF.findall(html or "")):
+            if f"/study/{content_type}/" not in href or href.count("/") < 5 or len(href.strip("/").split("/")) < 5:
+                continue
+            url = (base.group() if base else "") + href if href.startswith("/") else href if href.startswith("http") else None
+            if page is not None and url is not None and url != page and url not in seen:
+                seen.add(url)
+                yield pos, url
+
+
+def register(spark: SparkSession) -> None:
+    """Makes `talk_links(html, url, content_type)` a table function of the session, for LATERAL joins in SQL."""
+    spark.udtf.register("talk_links", F.udtf(TalkLinks, returnType="pos int, link string", useArrow=True))

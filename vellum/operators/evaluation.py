@@ -19,6 +19,19 @@ FEATURES = ("avg_word_length", "type_token_ratio", "avg_sentence_length", "punct
 STYLE = {"vocab_overlap": 0.25, "structure_similarity": 0.25, "rhetorical_score": 0.2, "ngram_similarity": 0.2, "style_features": 0.1}
 OUTPUT = (0.5, 0.3, 0.2)
 MAX_FEATURES = 1000
+#: Parts that the rows, or the terms, of an author are dealt over.
+SALTS = 16
+
+
+def by_author(rows: DataFrame, per_author: DataFrame, *key: str, how: str = "left") -> DataFrame:
+    """`rows` with the columns of their author, of a table with one row an author.
+
+    Rows of an author are dealt by `key` over SALTS parts, each with a copy of the author's row, so that an author of
+    any share isn't one task's.
+    """
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int"))
+    copies = per_author.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, ["author", "_salt"], how).drop("_salt")
 
 
 def vocab_overlap(texts: DataFrame, refs: DataFrame) -> DataFrame:
@@ -27,7 +40,7 @@ def vocab_overlap(texts: DataFrame, refs: DataFrame) -> DataFrame:
     vocab = spread(refs, "author").distinct()
     sizes = vocab.groupBy("author").agg(F.count("*").alias("size"))
     hits = spread(texts, "id", "author").join(vocab, ["author", "w"]).groupBy("id").agg(F.count("*").alias("hits"))
-    return texts.select("id", "author").join(hits, "id", "left").join(sizes, "author", "left").select("id", F.coalesce(F.try_divide("hits", "size"), F.lit(0.0)).alias("vocab_overlap"))
+    return by_author(texts.select("id", "author").join(hits, "id", "left"), sizes, "id").select("id", F.coalesce(F.try_divide("hits", "size"), F.lit(0.0)).alias("vocab_overlap"))
 
 
 def _close(g: Column, r: Column) -> Column:
@@ -42,7 +55,8 @@ def feature_scores(texts: DataFrame, refs: DataFrame, split: Callable[[Column],
     parts = None if split is None else c("_s")
     of = refs.select("author", quality.features(c("text"), parts).alias("f")).select("author", "f.*")
     means = of.groupBy("author").agg(F.avg("avg_length").alias("r_length"), F.avg("length_variance").alias("r_variance"), *[F.avg(f).alias(f"r_{f}") for f in FEATURES], F.array(*[F.avg(F.get("rhetoric", F.lit(i))) for i in range(n)]).alias("r_rhetoric"))
-    own = texts.select("id", "author", quality.features(c("text"), parts).alias("f")).select("id", "author", "f.*").join(means, "author")
+    own = texts.select("id", "author", quality.features(c("text"), parts).alias("f")).select("id", "author", "f.*")
+    own = by_author(own, means, "id", how="inner")
     structure = (_close(c("avg_length"), c("r_length")) + _close(c("length_variance"), c("r_variance"))) / 2
     g, r = (lambda i: F.get("rhetoric", F.lit(i))), (lambda i: F.get("r_rhetoric", F.lit(i)))
     rhetoric = [F.when(r(i) > 0, F.least(F.try_divide(g(i), r(i)), F.lit(2.0)) / 2).otherwise(F.when(g(i) == 0, 1.0).otherwise(0.0)) for i in range(n)]
@@ -58,6 +72,19 @@ def _grams(texts: DataFrame, *keys: str) -> DataFrame:
     return w.select(*keys, F.explode(terms).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("n"))
 
 
+def top_terms(counted: DataFrame, most: int = MAX_FEATURES) -> DataFrame:
+    """(author, top): the `most` most frequent terms of each author's `counted` (author, term, rn), ties to the first in order.
+
+    Terms are ranked in SALTS parts of an author first; what any part hands on is bounded by `most`, so the author's own
+    ranking never sees more than SALTS times that.
+    """
+    order = [c("rn").desc(), c("term")]
+    part = F.pmod(F.xxhash64("term"), F.lit(SALTS))
+    some = counted.withColumn("_part", part).withColumn("k", F.row_number().over(W.partitionBy("author", "_part").orderBy(*order))).where(c("k") <= most)
+    listed = some.groupBy("author").agg(F.array_sort(F.collect_list(F.struct((-c("rn")).alias("m"), "term"))).alias("all"))
+    return listed.select("author", F.transform(F.slice("all", 1, most), lambda x: F.struct(x["term"].alias("term"), (-x["m"]).alias("rn"))).alias("top"))
+
+
 def ngram_similarity(texts: DataFrame, refs: DataFrame, features: int = MAX_FEATURES) -> DataFrame:
     """(id, ngram_similarity): TF-IDF cosine of a text and the author's corpus over their most frequent terms.
 
@@ -65,9 +92,9 @@ def ngram_similarity(texts: DataFrame, refs: DataFrame, features: int = MAX_FEAT
     those meet every text. Counts of the corpus are those of its texts, not across their borders.
     """
     ref = _grams(refs, "author").withColumnRenamed("n", "rn")
-    top = ref.withColumn("k", F.row_number().over(W.partitionBy("author").orderBy(c("rn").desc(), "term"))).where(c("k") <= features).drop("k")
     own = _grams(texts, "id", "author").withColumnRenamed("n", "gn")
-    both = texts.select("id", "author").join(top, "author").select("id", "term", "rn", F.lit(0).cast("long").alias("gn")).unionByName(own.join(ref, ["author", "term"], "left").select("id", "term", F.coalesce("rn", F.lit(0)).alias("rn"), "gn"))
+    each = by_author(texts.select("id", "author"), top_terms(ref, features), "id", how="inner").select("id", F.explode("top").alias("x"))
+    both = each.select("id", "x.term", "x.rn", F.lit(0).cast("long").alias("gn")).unionByName(own.join(ref, ["author", "term"], "left").select("id", "term", F.coalesce("rn", F.lit(0)).alias("rn"), "gn"))
     merged = both.groupBy("id", "term").agg(F.max("rn").alias("rn"), F.max("gn").alias("gn"))
     kept = merged.withColumn("k", F.row_number().over(W.partitionBy("id").orderBy((c("rn") + c("gn")).desc(), "term"))).where(c("k") <= features)
     idf = F.log(F.lit(3.0) / (1 + (c("rn") > 0).cast("int") + (c("gn") > 0).cast("int"))) + 1
@@ -93,7 +120,7 @@ def style(texts: DataFrame, refs: DataFrame) -> DataFrame:
 def evaluate(texts: DataFrame, refs: DataFrame) -> DataFrame:
     """`style` with quality scores, consistency (one half for an author without a corpus) and the overall score."""
     known = refs.select("author").distinct().withColumn("_known", F.lit(True))
-    scored = style(texts, refs).join(known, "author", "left").withColumn("_q", quality.scores(c("text")))
+    scored = by_author(style(texts, refs), known, "id", "text").withColumn("_q", quality.scores(c("text")))
     consistent = F.when(c("_known"), c("overall_similarity")).otherwise(0.5)
     whole = c("overall_similarity") * OUTPUT[0] + c("_q.overall_quality") * OUTPUT[1] + consistent * OUTPUT[2]
     return scored.select("*", "_q.*", consistent.alias("consistency_score"), whole.alias("overall_score")).drop("_q", "_known")

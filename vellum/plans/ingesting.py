@@ -27,6 +27,12 @@ def _talk_pages(s, d):
     return _pages(s, d).withColumn("html", F.concat(F.replace("html", F.lit('href="/'), F.lit('href="/study/general-conference/2024/04/')), F.lit(_INDEX)))
 
 
+def _lateral(s, d):
+    """The same links by a table function, called in SQL."""
+    html.register(s)
+    return s.sql("SELECT page_id, pos, link AS url FROM {pages} AS p, LATERAL talk_links(p.html, p.url, 'general-conference')", pages=_talk_pages(s, d))
+
+
 def _dated(s, d):
     return ingest.first_links(_links(s, d)).withColumns({"year": (c("page_id") % 5 + 2000).cast("int"), "month": F.when(c("page_id") % 2 == 0, 4).otherwise(10)})
 
@@ -36,6 +42,7 @@ QUERIES = {
     "seed_urls_monthly": lambda s, d: ingest.seeds(s, 2008, 2024, "liahona", F.lit("2024-06-01").cast("date")),
     "extract_links": _links,
     "extract_links_strict": lambda s, d: ingest.talk_links(_talk_pages(s, d)),
+    "extract_links_lateral": _lateral,
     "extract_links_anchored": lambda s, d: ingest.anchored_links(_talk_pages(s, d)),
     "dedupe_links": lambda s, d: ingest.first_links(_links(s, d)),
     "distinct_links": lambda s, d: _links(s, d).groupBy("page_id").agg(F.array_join(F.sort_array(F.collect_set("url")), "\n").alias("urls")),
@@ -90,3 +97,5 @@ ORACLES = {
     "html_strip_tags": f"SELECT page_id, {_TEXT('html', chr(39) * 2)} AS text FROM pages",
     "html_article_text": f"""SELECT page_id, {_TEXT("CASE WHEN regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1) <> '' THEN regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1) ELSE html END", 'chr(10)')} AS text FROM pages""",
 }
+
+ORACLES["extract_links_lateral"] = ORACLES["extract_links_strict"]
