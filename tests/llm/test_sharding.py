@@ -84,3 +84,23 @@ def test_documents_as_files(spark, tmp_path):
     assert sorted(map(tuple, out.select(docs.columns).collect())) == sorted(map(tuple, docs.collect()))
     sizes = [r.s for r in out.groupBy("shard").agg(F.sum(F.octet_length("text") + 1).alias("s")).collect()]
     assert len(sizes) == 16 and max(sizes) - min(sizes) < 0.02 * sum(sizes) and report["moved_bytes"] < 0.65 * sum(sizes)
+
+
+def test_rows_that_repeat_in_all_columns_are_dealt_out(spark):
+    for key in (None, 5):
+        docs = spark.createDataFrame([(key, "the very same text")] * 2000, "doc_id long, text string").repartition(3)
+        rows = sharding.shard(docs).collect()
+        check(rows, docs.collect())
+        counts = [sum(r.shard == s for r in rows) for s in range(16)]
+        assert max(counts) - min(counts) <= 1
+
+
+def test_files_of_no_shard_and_of_repeated_rows(spark, tmp_path):
+    rows = [(None if i % 2 else 3, "the same", None if i % 5 == 0 else i % 3) for i in range(900)] + [(i, f"t{i}", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard int")
+    docs.write.partitionBy("shard").parquet(f"{tmp_path}/old")
+    sharding.reshard_files(spark, f"{tmp_path}/old", f"{tmp_path}/new", shards=4)
+    out = spark.read.parquet(f"{tmp_path}/new")
+    assert sorted(map(repr, out.select("doc_id", "text").collect())) == sorted(map(repr, docs.select("doc_id", "text").collect()))
+    sizes = [r.s for r in out.groupBy("shard").agg(F.sum(F.octet_length("text") + 1).alias("s")).orderBy("shard").collect()]
+    assert len(sizes) == 4 and out.where("shard is null").isEmpty() and max(sizes) - min(sizes) < 60

@@ -113,7 +113,7 @@ def _even_out(blocks: list[Block], to: list[int], room: list[int]) -> list[int]:
     held: dict[int, list[int]] = {}
     for k in sorted(range(len(blocks)), key=lambda k: -blocks[k].size):
         held.setdefault(to[k], []).append(k)
-    for _ in range(4 * len(room)):
+    for _ in range(64 * len(room)):
         full, empty = min(range(len(room)), key=lambda j: room[j]), max(range(len(room)), key=lambda j: room[j])
         gap = room[empty] - room[full]
         best = max((k for k in held.get(full, []) if blocks[k].size < gap), key=lambda k: min(blocks[k].size, gap - blocks[k].size), default=None)
@@ -139,7 +139,7 @@ def _keyed(docs: DataFrame, old: Column | None, shards: int, blocks: int) -> Dat
 
 
 def _split_giants(keyed: DataFrame, total: int, shards: int, blocks: int) -> DataFrame:
-    """Deals the rows of groups larger than a shard over blocks of their own; there are fewer than `shards` such groups."""
+    """Deals the rows of groups larger than a shard, by their number _n, over blocks of their own; there are fewer than `shards` such groups."""
     most = max(1, total // shards)
     heavy = keyed.groupBy("_old", "_block").agg(F.sum("_size").alias("s")).where(F.col("s") > most).select("_old", "_block").collect()
     if not heavy:
@@ -152,7 +152,7 @@ def _split_giants(keyed: DataFrame, total: int, shards: int, blocks: int) -> Dat
         return keyed
     parts = PARTS * shards
     nth = F.coalesce(*[F.when(F.col("_h") == h, F.lit(i)) for i, h in enumerate(giants)])
-    own = F.lit(blocks) + nth * parts + F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(parts)).cast("int")
+    own = F.lit(blocks) + nth * parts + F.pmod(F.xxhash64("_n", F.lit(7)), F.lit(parts)).cast("int")
     return keyed.withColumn("_block", F.when(F.col("_h").isin(giants), own).otherwise(F.col("_block")).cast("int"))
 
 
@@ -161,7 +161,7 @@ def _salted(keyed: DataFrame, rows: int) -> DataFrame:
     most = max(1, rows // HEAVY)
     heavy = keyed.groupBy("_old", "_block").agg(F.count("*").alias("n")).where(F.col("n") > most)
     parts = heavy.select("_old", "_block", F.ceil(F.col("n") / most).alias("_parts"))
-    return keyed.join(F.broadcast(parts), ["_old", "_block"], "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(11)), "_parts"), F.lit(0)).cast("int")).drop("_parts")
+    return keyed.join(F.broadcast(parts), ["_old", "_block"], "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_n"), "_parts"), F.lit(0)).cast("int")).drop("_parts")
 
 
 def plan(keyed: DataFrame, shards: int, capacities: list[int] | None = None) -> tuple[DataFrame, dict]:
@@ -194,17 +194,19 @@ def shard(docs: DataFrame, shards: int = SHARDS, old: Column | None = None, bloc
 
     Law `bytes`: shard sizes are as near equal as whole groups of equal text allow; slots count from 0 in
     each shard. A null text has size 1, as an empty one has, is a group apart from it, and its CRC is that
-    of no bytes. Repeated rows get slots of their own; doc_id may be null; an empty table gives no rows.
+    of no bytes. Repeated rows get slots of their own, and are dealt out as others are where their group outgrows a
+    shard; doc_id may be null or the same for all; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "sharding")
     base = docs.select("doc_id", "text", *([old.alias("_given")] if old is not None else []))
     keyed = _keyed(base, F.col("_given") if old is not None else None, shards, blocks)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
-    slim = scratch.write(keyed.select("doc_id", "_h", "_old", "_block", "_size", crc), "rows")
+    # each row's number is written with it, so that rows that repeat in all columns are told apart alike ever after
+    slim = scratch.write(keyed.select("doc_id", "_h", "_old", "_block", "_size", crc, F.monotonically_increasing_id().alias("_n")), "rows")
     total = slim.agg(F.sum("_size")).first()[0] or 0
     slim = _salted(_split_giants(slim, total, shards, blocks), slim.count())
     table, _ = plan(slim, shards)
-    nth = F.expr("row_number() over (partition by _old, _block, _salt order by doc_id, _h)") - 1
+    nth = F.expr("row_number() over (partition by _old, _block, _salt order by doc_id, _h, _n)") - 1
     placed = slim.withColumn("_nth", nth).join(F.broadcast(table), ["_old", "_block", "_salt"])  # the table is bounded, see plan
     return placed.select(
         "doc_id",
@@ -222,11 +224,14 @@ def reshard_files(spark: SparkSession, source: str, target: str, shards: int = S
 
     Only shards that give or take rows have their rows placed anew. Those that neither give nor take, listed
     under "kept", are copied as they are, so that `target` is whole. `target` is another folder than `source`.
-    Columns pass through, whatever their names; a null text has size 1; an empty source gives an empty target.
+    Columns pass through, whatever their names; a null text has size 1; an empty source gives an empty target. Rows
+    whose shard is null come from a shard that goes: all of them are placed.
     """
     docs = spark.read.parquet(source)
+    none = max(shards, (docs.agg(F.max("shard")).first()[0] or 0) + 1)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    keyed = _keyed(docs.select(row, F.col("doc_id"), F.col("text"), F.col("shard").alias("_given")), F.col("_given"), shards, blocks)
+    number = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_n")  # a row's place, whatever is read with it
+    keyed = _keyed(docs.select(row, F.col("doc_id"), F.col("text"), F.coalesce(F.col("shard"), F.lit(none)).alias("_given"), number), F.col("_given"), shards, blocks)
     total = keyed.agg(F.sum("_size")).first()[0] or 0
     keyed = _split_giants(keyed, total, shards, blocks).withColumn("_salt", F.lit(0))
     table, report = plan(keyed, shards)
