@@ -107,6 +107,24 @@ def test_tagger_finds_what_patterns_do_not(spark):
     assert sum(len(every) for _, every in pii.all_spans(plain, model)) <= 2
 
 
+def test_places_on_the_web_and_numbers_of_things_are_not_personal(spark):
+    words = "more available live visit shop hosted sold it details docs meet posted listed found bestellt verfügbar liest kaufen vendu voir disponible lire disponible visita vendido comprar".split()
+    hosts = ["nytimes.com", "amazon.de", "docs.python.org", "www.firma.de", "example.org", "github.io", "ikea.com", "kernel.org", "le-monde.fr", "correo.es"]
+    ends = ["today", "for ten euros", ". Then we left", "und mehr", "et plus", "y más", ", as ever"]
+    rng, model = random.Random(8), pii.tagger()
+    talk = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").where("text is not null").orderBy("conv_id", "turn").limit(200).collect()]
+    carried = []
+    for i in range(200):
+        t = talk[i % len(talk)]
+        at = rng.choice([0, *(m.end() for m in re.finditer(" ", t))])
+        carried.append(f"{t[:at]}{rng.choice(words)} at {rng.choice(hosts)} {rng.choice(ends)} {t[at:]}")
+    assert [x for t, (_, every) in zip(carried, pii.all_spans(carried, model), strict=True) for k, a, b in every if " at " in (x := t[a:b])] == []
+    things = ["version 10 . 2 . 3 . 4 is out", "see SKU 123-456-7890-1 there", "Order no. 555 123 4567 came", "Rechnung Nr. 030 123 4567", "pedido 555-123-4567", "commande n° 555 123 4567", "item 555.123.4567 is new"]
+    assert [every for _, every in pii.all_spans(things, model)] == [[]] * len(things)
+    people = ["write to jane.doe at example.com now", "call my partner 555-123-4567 now", "my number (555) 123-4567 is new"]
+    assert [[k for k, *_ in every] for _, every in pii.all_spans(people, model)] == [["email"], ["phone"], ["phone"]]
+
+
 def test_spans_do_not_depend_on_company():
     model = pii.tagger()
     texts = ["call (555) 123-4567 now", "x " * 900 + "jane.doe [at] mail.example.org " + "y " * 900, "", "plain", "kim (at) web24.edu"] * 3

@@ -298,8 +298,23 @@ def tag_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[list[Span]
 _AT, _DOT = re.compile(r"@|\bat\b", re.I), re.compile(r"\.|\bdot\b", re.I)
 
 
-def plausible(kind: str, part: str) -> bool:
-    """The light check of what the tagger has decoded."""
+#: What makes numbers that follow it an order's, a part's or a version's, in four languages.
+_OTHERWISE = re.compile(r"\b(?:sku|order|part|item|invoice|reference|ref|serial|version|ver|release|isbn|artikel|bestellung|bestell|auftrag|rechnung|teil|serien|commande|facture|article|pedido|factura|versión|serie|artículo)(?:s|nummer|number)?[ .:#-]*(?:(?:no|nr|num|number|nummer|numéro|número|id|code)\b|n[°º])?[ .:#-]*$", re.I)
+#: A name that could be no plain word of a sentence.
+_NAMELIKE = re.compile(r"[0-9._%+-]")
+
+
+def plausible(kind: str, part: str, before: str = "") -> bool:
+    """The light check of what the tagger has decoded, in view of what stands before it.
+
+    "at" as a bare word before a host with a literal dot is mostly a place ("available at example.com"): the word before
+    it must then hold a digit or a sign, as few words of a sentence do, and the host mustn't begin with www.
+    """
+    if kind == "email" and (at := re.search(r"[ \t\n]at[ \t\n]+", part, re.I)) and "@" not in part and "." in part[at.end() :]:
+        if not _NAMELIKE.search(part[: at.start()].rstrip("._%+- ")) or part[at.end() :].lower().startswith("www."):
+            return False
+    if kind != "email" and _OTHERWISE.search(before):
+        return False
     numbers = re.findall(r"[0-9]+", part)
     digits = "".join(numbers)
     if kind == "email":
@@ -339,7 +354,7 @@ def all_spans(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list
         added = []
         for kind, a, b in tagged:
             a, b = trimmed(text, kind, a, b)
-            if a < b and plausible(kind, text[a:b]) and not any(a < y and x < b for x, y in taken):
+            if a < b and plausible(kind, text[a:b], text[max(0, a - 40) : a]) and not any(a < y and x < b for x, y in taken):
                 added.append((kind, a, b))
                 taken.append((a, b))
         out.append((base, ordered([*base, *added])))
