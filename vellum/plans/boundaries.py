@@ -52,5 +52,5 @@ _LEARNT = f"""tk AS (SELECT doc_id, regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\
         WHERE p.kind = x.kind AND nxt = y.kind AND regexp_matches(nxt, '\\p{{L}}') AND n / a > b / ab) WHERE score >= 7.88)"""
 
 ORACLES = {
-    "sentence_model": f"WITH {_LEARNT} SELECT 'abbreviation' AS kind, kind AS first, NULL AS second, d AS n, round(score, 4) AS score FROM ab UNION ALL SELECT 'starter', nxt, NULL, ab, round(score, 4) FROM st UNION ALL SELECT 'collocation', kind, nxt, ab, round(score, 4) FROM cl",
+    "sentence_model": f"WITH {_LEARNT} SELECT 'abbreviation' AS kind, kind AS first, NULL AS second, d AS n, round(score, 4) AS score FROM ab UNION ALL SELECT 'starter', nxt, NULL, ab::BIGINT, round(score, 4) FROM st UNION ALL SELECT 'collocation', kind, nxt, ab::BIGINT, round(score, 4) FROM cl",
 }
