@@ -3,6 +3,7 @@
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 from vellum.functions import prompts, talks
 from vellum.operators import vectors
@@ -51,3 +52,11 @@ def test_an_id_that_repeats_is_one_neighbour(spark):
     tied = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(300, 0, -1)], "vec_id long, embedding array<double>")
     got = vectors.nearest(tied, tied.where("vec_id in (1, 300)"), 3).orderBy("query_id", "rank").collect()
     assert [(r.query_id, r.vec_id) for r in got] == [(1, 2), (1, 3), (1, 4), (300, 1), (300, 2), (300, 3)]
+
+
+def test_a_level_is_one_of_those_known(spark):
+    docs = spark.createDataFrame([(1, "Russell M. Nelson", "On Faith", "2020", "Some text of a talk.")], "doc_id long, author string, title string, date string, content string")
+    own = prompts.generate(docs).first()
+    assert prompts.generate(docs, level="simple").first().template_level == "simple" and own.template_level == own.level
+    with pytest.raises(ValueError, match="level must be"):
+        prompts.training_prompts(docs, level="hard")

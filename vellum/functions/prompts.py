@@ -103,9 +103,12 @@ def fill_open(template: Column, values: dict[str, Column]) -> Column:
     return F.when(F.size(missing) <= 1, _filled(template, values, lambda k: F.concat(F.lit("["), k, F.lit("]")))).otherwise(noted)
 
 
-def training_prompts(docs: DataFrame, template_name: str | None = None) -> DataFrame:
-    """(doc_id, prompt) of `docs` (doc_id, author, title, date, content): the engine's prompt for each chunk, by a named template or the best."""
-    return generate(docs, template_name=template_name).select("doc_id", "prompt")
+def training_prompts(docs: DataFrame, template_name: str | None = None, level: str | None = None) -> DataFrame:
+    """(doc_id, prompt) of `docs` (doc_id, author, title, date, content): the engine's prompt for each chunk, by a named template or the best.
+
+    The best one is that of `level`, where given, else of the speaker's own.
+    """
+    return generate(docs, template_name=template_name, level=level).select("doc_id", "prompt")
 
 
 def instruction(author: Column, title: Column, date: Column, chunk: Column) -> Column:
@@ -157,20 +160,22 @@ def prompt_issues(prompt: Column) -> Column:
     return F.array_compact(F.array(_length_issue(prompt, "Prompt"), F.when(left, "Unfilled template variables detected"), F.when(~_any(prompt, PROMPT_VERBS), "No clear instruction found")))
 
 
-def generate(docs: DataFrame, question: Column | None = None, template_name: str | None = None) -> DataFrame:
+def generate(docs: DataFrame, question: Column | None = None, template_name: str | None = None, level: str | None = None) -> DataFrame:
     """`docs` (author, title, date, content) with content_type, level, topic, template_name and prompt.
 
-    The template is that of the content type and the speaker's level unless named; a prompt that fails
+    The template is that of the content type and the speaker's level, or the `level` given, unless named; a prompt that fails
     validation is written anew from the simple one, unless only what a context template leaves open is wrong.
     """
+    if level is not None and level not in LEVELS:
+        raise ValueError(f"level must be one of {', '.join(LEVELS)}")
     spark = docs.sparkSession
     author, title, date = (F.coalesce(F.col(c), F.lit(v)) for c, v in (("author", "Unknown Author"), ("title", "Untitled"), ("date", "Unknown Date")))
     typed = with_context(docs.withColumns({"author": author, "title": title, "date": date})).withColumns({"content_type": classify.simple_type(F.col("title"), F.col("content")), "topic": classify.topic(F.col("content"))})
     if template_name is None:
-        picked = typed.join(F.broadcast(selection(spark)), ["content_type"], "left").where("want = level")
+        picked = typed.join(F.broadcast(selection(spark)), ["content_type"], "left").where(F.col("want") == (F.col("level") if level is None else F.lit(level)))
     else:
-        name, level, _, needs, _, text = next((t for t in TEMPLATES if t[0] == template_name), TEMPLATES[0])
-        picked = typed.withColumns({"template_name": F.lit(name), "template": F.lit(text), "needs_context": F.lit(needs), "template_level": F.lit(level)})
+        name, own, _, needs, _, text = next((t for t in TEMPLATES if t[0] == template_name), TEMPLATES[0])
+        picked = typed.withColumns({"template_name": F.lit(name), "template": F.lit(text), "needs_context": F.lit(needs), "template_level": F.lit(own)})
     asked = F.concat(F.lit("Can you share your thoughts about "), F.col("topic"), F.lit("?"))
     values = {k: F.col(k) for k in VARIABLES if k not in ("question", "partial_text")} | {"question": asked if question is None else question, "partial_text": partial(F.col("content"))}
     drawn = picked.withColumns({"_prompt": fill(F.col("template"), values), "_simple": fill(F.lit(TEMPLATES[0][5]), values)})

@@ -131,6 +131,7 @@ def clean_toc(text: Column, intent: bool = False) -> Column:
     for p, closing in zip(TOC_REMOVED, TOC_CLOSING, strict=True):
         t = F.regexp_replace(t, f"(?m){p}", "") if intent else _removed(t, p, closing)
 
+    # fixed values: signs of a table of contents, and lines that name an author
     def cut(ls: Column) -> Column:
         signs = lambda x: _any(["contents", "session", "authenticating"], F.lower(x))
         author = lambda x: x.rlike(r"^By (Elder|President|Bishop|Sister) ") | x.rlike(r"^(Elder|President|Bishop|Sister)\s+[A-Z]")
@@ -246,6 +247,7 @@ def structure(text: Column) -> Column:
     toc = _any([f"(?d){p}" for p in TOC], text)
     again = title & (((F.length(text) - F.length(F.replace(text, line))) / F.greatest(F.length(line), F.lit(1))) > 1)
     found = issue_count(text)
+    # fixed values: what is said of each issue
     said = F.array_compact(
         F.array(
             F.when(toc, "Table of contents contamination detected"),

@@ -138,3 +138,6 @@ ORACLES |= {
     "padded_ids": "SELECT doc_id, 512 AS n, least(len(w), 512)::INT AS used, array_to_string(list_transform(range(1, 513), lambda i: coalesce(length(w[i]), 7)), ',') AS ids, true AS same FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)",
     "pipeline_histograms": f"{_EXAMPLES} SELECT 'content_type' AS dimension, content_type AS value, count(*) AS n FROM e GROUP BY 2 UNION ALL SELECT 'template', template_used, count(*) FROM e GROUP BY 2",
 }
+
+QUERIES["prompt_levels"] = lambda s, d: prompts.training_prompts(_spoken(s, d), level="complex")
+ORACLES["prompt_levels"] = f"{_DRAWN.replace('z.level = sel.want', duck.lit('complex') + ' = sel.want')} SELECT doc_id, prompt FROM g"

@@ -260,3 +260,8 @@ ORACLES |= {
         FROM (SELECT *, coalesce({_HITS(f"CASE WHEN {_HAS('x', talks.LISTED_MARKS)} AND length(x) > 15 THEN {_LISTED} END")}, {_HITS(f"CASE WHEN length(x) > 20 AND contains(x, ':') AND NOT {_SIGNS('x')} THEN x END")}, {{'i': 1, 't': 'Unknown Talk'}}) AS title, {_HITS("CASE WHEN regexp_matches(x, '^By (Elder|President|Sister)') THEN x END")} AS speaker
         FROM (SELECT doc_id, content, m, list_transform(string_split(m, chr(10)), lambda x: {_S('x')}) AS st FROM (SELECT doc_id, content, {_MENDED} AS m FROM (SELECT doc_id, {_CONFERENCE} AS content FROM ({TALKS}))))))""",
 }
+
+# every seventh text can't be read: it fails as an invalid one, is neither skipped nor warned of
+QUERIES["reformat_stats_unread"] = lambda s, d: reformat.stats(reformat.reformat(talk_view(s, d).withColumn("content", F.when(c("doc_id") % 7 > 0, c("content"))), YEAR))
+ORACLES["reformat_stats_unread"] = f"""SELECT CASE WHEN doc_id % 7 = 0 THEN 'invalid' ELSE content_type END AS content_type, count(*) AS processed, count(*) FILTER (WHERE success AND doc_id % 7 > 0) AS successful,
+    count(*) FILTER (WHERE NOT success AND doc_id % 7 > 0) AS skipped, count(*) FILTER (WHERE doc_id % 7 = 0) AS failed, count(*) FILTER (WHERE warnings <> '' AND doc_id % 7 > 0) AS warned FROM ({_RESULTS}) GROUP BY 1"""
