@@ -99,3 +99,12 @@ def test_ties_between_labels(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     got = toxicity.score(docs, labels).collect()
     assert len({r.score for r in got}) == 1 and all(r.predicted == int(r.score >= 0.5) for r in got)
+
+
+def test_every_significant_passage_counts():
+    model = toxicity.Model({"vile": 2.0}, rest=-0.5, lam=1.0, k=0.1, space=2, curve=(-8.0, 1.0))
+    passage, gap = "vile vile vile", "fine " * 30
+    readings = [model.read(gap.join([passage] * n)) for n in (0, 1, 2, 3)]
+    assert [len(r.good) for r in readings] == [0, 1, 2, 3]
+    scores = [model.score(r) for r in readings]
+    assert scores == sorted(set(scores)) and len({r.best for r in readings[1:]}) == 1

@@ -12,11 +12,12 @@ such sums follow an extreme-value law; its two parameters turn a segment's sum i
 good segments that chance would find in a clean text as long as the longest of the sample. Segments beyond
 chance are the toxic passages.
 
-The score is a logistic curve, fitted on sample rows that took no part in the log-odds, over two numbers: the
-calibrated value of the best segment, and the log of the toxic weight that the significant segments hold.
-Both weights are held at zero or more. A text's segments lie within those of any text that goes on from it,
-whose sums and weights are as large at least, and calibration doesn't depend on a text's own length: so
-repeating a passage, or appending whatever text, never lowers a score.
+The score is a logistic curve, fitted on sample rows that took no part in the log-odds, over one number: the
+calibrated value of the toxic weight that all significant segments of a text hold together, or of its best
+segment where that is more. Its weight is held at zero or more. A sum of the segments' own calibrated values would
+fall where two segments grow into one, so weights are summed before they are calibrated. A text's segments lie
+within those of any text that goes on from it, whose sums and weights are as large at least, and calibration
+doesn't depend on a text's own length: so repeating a passage, or appending whatever text, never lowers a score.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ class Model:
     lam: float = 1.0
     k: float = 0.1
     space: int = 1
-    curve: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    curve: tuple[float, float] = (0.0, 0.0)
 
     def __post_init__(self):
         self.memo = _Memo(self.weights)
@@ -121,15 +122,14 @@ class Model:
         weight = math.fsum(v for a, b, _ in good for v in values[a : b + 1])
         return Reading(found, good, max(s for *_, s in found), weight, len(words))
 
-    def evidence(self, reading: Reading) -> tuple[float, float]:
-        """(value of the best segment, log of one and the weight of the significant ones), neither below 0."""
-        b = self.bits(reading.best)
-        return (max(b, 0.0) + math.log1p(math.exp(-abs(b))) if reading.found else 0.0), math.log1p(self.lam * reading.weight)
+    def evidence(self, reading: Reading) -> float:
+        """Calibrated value, never below 0, of all significant segments together, or of the best one where that is more."""
+        b = self.bits(max(reading.best, reading.weight))
+        return max(b, 0.0) + math.log1p(math.exp(-abs(b))) if reading.found else 0.0
 
     def score(self, reading: Reading) -> float:
-        x, y = self.evidence(reading)
-        a, b, c = self.curve
-        return 1 / (1 + math.exp(-min(max(a + b * x + c * y, -30.0), 30.0)))
+        a, b = self.curve
+        return 1 / (1 + math.exp(-min(max(a + b * self.evidence(reading), -30.0), 30.0)))
 
     def passages(self, text: str | None, reading: Reading) -> list[tuple[int, int, float]]:
         """(start, end, bits) in characters of the significant passages."""
@@ -219,13 +219,12 @@ def log_odds(c1: int, c0: int, n1: int, n0: int) -> tuple[float, float]:
     return odds(c1, n1) - odds(c0, n0), math.sqrt(1 / (c1 + a) + 1 / (c0 + a))
 
 
-def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Ridge logistic regression by Newton steps; a feature whose weight would be negative is left out."""
-    used = list(range(x.shape[1]))
-    while True:
-        design = np.hstack([np.ones((len(x), 1)), x[:, used]])
+def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Ridge logistic regression on one number by Newton steps; a weight that would be negative is 0."""
+    for used in (True, False):
+        design = np.stack([np.ones(len(x)), x], axis=1) if used else np.ones((len(x), 1))
         w = np.zeros(design.shape[1])
-        ridge = np.diag([1e-3] + [1e-2] * len(used))
+        ridge = np.diag([1e-3, 1e-2][: len(w)])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
             gradient = design.T @ (y - p) - ridge @ w
@@ -234,11 +233,9 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
             w += step * min(1.0, 8 / max(np.abs(step).max(), 1e-12))
             if np.abs(step).max() < 1e-8:
                 break
-        if not used or w[1:].min() >= 0:
-            out = np.zeros(1 + x.shape[1])
-            out[[0, *(1 + i for i in used)]] = w
-            return tuple(float(v) for v in out)
-        del used[int(w[1:].argmin())]
+        if w[1:].min(initial=0.0) >= 0:
+            break
+    return float(w[0]), float(w[1]) if used else 0.0
 
 
 def train_model(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> Model:
@@ -256,7 +253,7 @@ def train_model(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN) -> M
     x, y, _, _ = _evidence(rows, model)
     if len(y) < 20 or not 0 < y.sum() < len(y):  # too few rows of their own: all that there are
         x, y, _, _ = _evidence(train, model)
-    model.curve = _fit_logistic(x, y) if len(y) else (0.0, 0.0, 0.0)
+    model.curve = _fit_logistic(x, y) if len(y) else (0.0, 0.0)
     return model
 
 
@@ -264,16 +261,16 @@ def _evidence(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list[float]] = [[], [], [], []]
+            out: list[list[float]] = [[], [], []]
             for text in b["text"].to_pylist():
                 reading = model.read(text)
-                for column, value in zip(out, (*model.evidence(reading), float(reading.tokens), reading.best), strict=True):
+                for column, value in zip(out, (model.evidence(reading), float(reading.tokens), reading.best), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in out), b["toxic"], b["doc_id"]], names=["x", "y", "tokens", "best", "toxic", "doc_id"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.float64()) for c in out), b["toxic"], b["doc_id"]], names=["x", "tokens", "best", "toxic", "doc_id"])
 
-    # four numbers a row of the bounded sample
-    got = rows.select("text", "toxic", "doc_id").mapInArrow(run, "x double, y double, tokens double, best double, toxic int, doc_id long").orderBy("doc_id").collect()
-    return np.array([(r.x, r.y) for r in got]).reshape(-1, 2), np.array([r.toxic for r in got], dtype=float), np.array([r.tokens for r in got]), np.array([r.best for r in got])
+    # three numbers a row of the bounded sample
+    got = rows.select("text", "toxic", "doc_id").mapInArrow(run, "x double, tokens double, best double, toxic int, doc_id long").orderBy("doc_id").collect()
+    return np.array([r.x for r in got], dtype=float), np.array([r.toxic for r in got], dtype=float), np.array([r.tokens for r in got]), np.array([r.best for r in got])
 
 
 def _calibrated(model: Model, train: DataFrame) -> Model:
