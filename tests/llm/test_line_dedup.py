@@ -83,3 +83,30 @@ def test_short_shared_runs(spark):
         own = "\n".join(x for n in range(5) for x in (f"own {i} {n} a", f"own {i} {n} b"))
         assert got[i] == f"{own}\nend {i}\nonce {i}\n\nshared line"
     assert got[6] is None and got[7] == "" and got[8] == "shared line" and got[None] == "odd 1\n\nodd 2" and got[9] == "odd 3"
+
+
+def test_chunks_go_first_and_runs_take_the_rest(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_passages(docs, counts=True).collect()}
+    by_chunks = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs, counts=True).collect()}
+    first, gone = {}, {}
+    for i in sorted(rows):  # every two lines in a row, and long lines, by definition
+        lines = rows[i].split("\n")
+        told = [k for k, x in enumerate(lines) if x.strip(" ")]
+        units = [(a, b, f"{lines[a]}\n{lines[b]}") for a, b in zip(told, told[1:], strict=False)] + [(k, k, lines[k]) for k in told if len(lines[k].split()) >= line_dedup.LONG_LINE]
+        gone[i] = {k for a, b, x in sorted(units) if first.setdefault(x, (i, a)) != (i, a) for k in range(a, b + 1)}
+    seen = set()
+    for i in sorted(rows):
+        lines, taken, at = rows[i].split("\n"), set(), 0
+        for chunk in slow_chunks(rows[i]):
+            body = "\n".join(chunk)
+            if len(chunk) >= 2 and body.replace("\n", "").strip(" "):
+                if body in seen:
+                    taken |= set(range(at, at + len(chunk)))
+                seen.add(body)
+            at += len(chunk)
+        assert got[i].text == "\n".join(x for k, x in enumerate(lines) if k not in taken | gone[i]), i
+        assert got[i].n_chunk_lines == len(taken) and got[i].n_run_lines == len(gone[i] - taken)
+        assert (got[i].n_chunk_lines > 0) == (by_chunks[i] > 0)
+    assert sum(r.n_chunk_lines for r in got.values()) > 0 and sum(r.n_run_lines for r in got.values()) > 0

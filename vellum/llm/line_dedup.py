@@ -20,7 +20,7 @@ from vellum.llm.common import Scratch
 
 #: Chunk hashes shared by different contents are looked up by broadcast up to so many.
 BROADCAST_HASHES = 100_000
-#: Words from which a single line counts as a passage in `drop_repeated_runs`.
+#: Words from which a single line counts as a passage in `drop_repeated_passages`.
 LONG_LINE = 50
 
 _LINE_HASH = "cast(conv(substring(md5(l), 1, 15), 16, 10) as bigint)"
@@ -92,37 +92,65 @@ def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
 
 
 def _units(docs: DataFrame) -> DataFrame:
-    """(_id, _th, pos, last, h): two lines in a row, blank ones between them left out, and single long lines; h is a digest of 128 bits."""
+    """(_id, _th, pos, last, h): two lines in a row, blank ones between them left out, and single long lines; h is a digest of 128 bits.
+
+    Those whose lines are all in _gone are left out.
+    """
     lined = docs.withColumn("_lines", F.expr(r"split(text, '\n', -1)"))
     told = lined.withColumn("_at", F.expr(r"filter(sequence(0, size(_lines) - 1), i -> trim(get(_lines, i)) <> '')"))
     pairs = r"""if(size(_at) < 2, array(), transform(sequence(0, size(_at) - 2), j -> named_struct('pos', get(_at, j), 'last', get(_at, j + 1),
         'h', unhex(md5(concat(get(_lines, get(_at, j)), '\n', get(_lines, get(_at, j + 1))))))))"""
     words = r"size(split(trim(get(_lines, i)), '\\s+'))"
     longs = f"transform(filter(_at, i -> length(get(_lines, i)) >= {2 * LONG_LINE - 1} and {words} >= {LONG_LINE}), i -> named_struct('pos', i, 'last', i, 'h', unhex(md5(get(_lines, i)))))"
-    rows = told.where("text is not null").select("_id", "_th", F.explode_outer(F.expr(f"concat({pairs}, {longs})")).alias("u"))
+    rows = told.where("text is not null").select("_id", "_th", F.explode_outer(F.expr(f"filter(concat({pairs}, {longs}), u -> not (array_contains(_gone, u.pos) and array_contains(_gone, u.last)))")).alias("u"))
     return rows.where("u is not null").select("_id", "_th", "u.pos", "u.last", "u.h")
 
 
-def drop_repeated_runs(docs: DataFrame) -> DataFrame:
-    """`docs` without the lines that chunks miss: runs of two lines or more, and single lines of LONG_LINE words, that occurred before.
+def _marked(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """_row of `docs` and _gone, the numbers of the lines that lie in chunks that `dedup_lines` removes; written once."""
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text")
+    removals = _removals(_occurrences(_chunked(keyed, ["_id", "_th"])), scratch).withColumnsRenamed({"_id": "_rid", "_th": "_rth"})
+    whole = _whole(docs).withColumn("text", F.col("_row.text"))
+    joined = whole.join(removals, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
+    cut = _chunked(joined.select("_row", "removed", "text"), ["_row", "removed"])
+    # the chunk of each line, in the order of lines
+    of_line = "flatten(transform(_chunks, (c, j) -> array_repeat(j, c.n)))"
+    gone = f"if(removed is null, cast(array() as array<int>), filter(transform({of_line}, (j, i) -> if(array_contains(removed, j), i, null)), i -> i is not null))"
+    return scratch.write(cut.select("_row", F.expr(gone).alias("_gone")), "marked")
+
 
-    Every two lines in a row that occur more than once stay at their first occurrence (in the order of
-    `dedup_lines`) and go from all others, whatever stands beside them. The first occurrence of a line never
-    goes, as no pair that holds it can have occurred before. Other rows and columns are as in `dedup_lines`.
+def _whole(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+
+
+def drop_repeated_passages(docs: DataFrame, counts: bool = False) -> DataFrame:
+    """`docs` without repeated chunks of lines, and without the repeated runs that chunks miss.
+
+    First go the chunks that `dedup_lines` removes. Then, of the lines that are left, every two lines in a row,
+    and every single line of LONG_LINE words, that occur more than once stay at their first occurrence (in the
+    order of `dedup_lines`) and go from all others, whatever stands beside them. Two lines of which a chunk has
+    taken one still count as a run: a run isn't broken by what chunks take out of it. Those that lie in removed
+    chunks whole need no looking up, as they have occurred before and go anyway. The first occurrence of a
+    line never goes by a run, as no pair that holds it can have occurred before. With `counts`, also n_chunk_lines and
+    n_run_lines, the lines that each step took. Other rows and columns are as in `dedup_lines`.
     """
-    scratch = Scratch(docs.sparkSession, "runs")
+    scratch = Scratch(docs.sparkSession, "passages")
+    marked = _marked(docs, scratch)
     place = F.struct("_id", "_th", "pos")
-    units = _units(docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"), "text"))
-    repeated = scratch.write(units.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"), "repeated")
+    units = _units(marked.select(F.col("_row.doc_id").alias("_id"), F.xxhash64("_row.text").alias("_th"), F.col("_row.text").alias("text"), "_gone"))
+    repeated = scratch.write(units.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first"), "repeated_runs")
     later = units.join(repeated, "h").where(~place.eqNullSafe(F.col("first")))
-    removals = later.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set(F.struct("pos", "last")).alias("spans"))
-    removals = removals.select("_rid", "_rth", F.expr("array_distinct(flatten(transform(spans, s -> sequence(s.pos, s.last))))").alias("removed"))
-    whole = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    spans = later.groupBy(F.col("_id").alias("_rid"), F.col("_th").alias("_rth")).agg(F.collect_set(F.struct("pos", "last")).alias("spans"))
+    removals = spans.select("_rid", "_rth", F.expr("array_distinct(flatten(transform(spans, s -> sequence(s.pos, s.last))))").alias("removed"))
+    whole = marked.select("_row", "_gone", F.col("_row.doc_id").alias("_id"), F.xxhash64("_row.text").alias("_th"))
     joined = whole.join(removals, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_th") == F.col("_rth")), "left")
-    cut = joined.withColumn("_lines", F.expr(r"split(_row.text, '\n', -1)"))
-    kept = "transform(array_except(sequence(0, size(_lines) - 1), removed), i -> get(_lines, i))"
-    text = F.expr(rf"if(removed is null, _row.text, array_join({kept}, '\n'))")
-    return cut.select(*[text.alias(n) if n == "text" else F.col(f"_row.`{n}`").alias(n) for n in docs.columns])
+    cut = joined.withColumn("_lines", F.expr(r"split(_row.text, '\n', -1)")).withColumn("_out", F.expr("array_union(_gone, coalesce(removed, cast(array() as array<int>)))"))
+    kept = "transform(array_except(sequence(0, size(_lines) - 1), _out), i -> get(_lines, i))"
+    text = F.expr(rf"if(size(_out) = 0, _row.text, array_join({kept}, '\n'))")
+    columns = [text.alias(n) if n == "text" else F.col(f"_row.`{n}`").alias(n) for n in docs.columns]
+    if counts:
+        columns += [F.expr("size(_gone)").alias("n_chunk_lines"), F.expr("size(_out) - size(_gone)").alias("n_run_lines")]
+    return cut.select(*columns)
 
 
 ORACLE = """
