@@ -23,8 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rest = Scratch(spark, "runs").write(line_dedup.drop_repeated_runs(docs), "rest")
-    return _counted(line_dedup.dedup_lines(rest))
+    return _counted(line_dedup.drop_repeated_passages(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
