@@ -80,3 +80,22 @@ def test_repeated_ids_with_other_vectors(spark):
     rows = [(0, [1.0, 0.0]), (0, [0.0, 3.0]), (1, [1.0, 1.0]), (2, [0.0, 2.5]), (2, [9.0, 9.0]), (3, [-5.0, 0.0])]
     got = found(forest.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")))
     assert [i for i, _ in got[0]] == [2, 1, 3] and np.allclose([d for _, d in got[0]], [0.5, 1.0, 34**0.5])
+
+
+def test_breadth_follows_measured_recall(spark):
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((6000, 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    classes = forest.classes_of(forest.valid(table), 10)
+    made, asked = forest.grow(x[200:], len(x), forest.TREES), x[:60]
+    near = forest._nearest(classes, made, asked, 10)
+    leaves = made.leaves(x)
+    for q, got in near:
+        d = ((x - asked[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        assert (got == leaves[np.argsort(d)[:10]]).all()
+    for recall in (0.5, 0.9):
+        enough = forest.measured_breadth(classes, made, asked, 10, recall)
+        hits = sum(np.isin(got, made.probes(asked[q], enough)).any(axis=1).sum() for q, got in near)
+        assert recall <= hits / 600 <= recall + 0.02
+    assert forest.measured_breadth(classes, made, asked[:0]) == 0.0

@@ -9,8 +9,11 @@ leaves stay small beside the table and yet a query needs no more of them as it g
 Every vector of the table is indexed: it has one leaf in each tree. A query walks all trees together: a shared
 priority queue holds the branches not taken, keyed by the log-probability that a near vector went there (a
 softmax of the query's projections, whose sharpness is fitted on near pairs of the sample), and gives up
-leaves, likeliest first, until they hold enough vectors: BREADTH times the square root of the table, so the
-share of the table that is compared falls as it grows. Leaves and the queries that ask for them meet in
+leaves, likeliest first, until they hold enough vectors. How many are enough is measured: ASKED vectors of the
+sample, kept out of the fit of the forest where the table is larger than the sample, are compared with the whole table
+in one pass, and a walk tells how much its leaves hold when it reaches each of their true neighbours; enough is
+what reaches a share RECALL of these, and BREADTH times the square root of the table at least. So recall
+doesn't fall as the table grows. Leaves and the queries that ask for them meet in
 sorted partitions, crowded leaves dealt over several, where candidates are compared exactly, in double
 precision and in blocks; each leaf returns its best few per query, never all pairs.
 
@@ -40,6 +43,9 @@ SAMPLE = 50_000
 #: Leaves of a tree, and vectors that a query's leaves hold together (over all trees, counted with repeats), in square roots of the table.
 SPREAD = 16.0
 BREADTH = 32.0
+#: Vectors whose neighbours are found exactly, to measure recall, and the share of their neighbours that must be reached.
+ASKED = 96
+RECALL = 0.94
 #: Directions of a node at most, and sample vectors that a node needs for a centre of its own.
 DIRECTIONS = 64
 OWN = 32
@@ -95,6 +101,32 @@ class Forest:
 
     def probes(self, q: np.ndarray, enough: float) -> list[int]:
         """Leaves of all trees, likeliest first, until they hold `enough` vectors."""
+        found, held = [], 0.0
+        for leaf, n in self.walk(q):
+            found.append(leaf)
+            held += n
+            if held >= enough:
+                break
+        return found
+
+    def reached(self, q: np.ndarray, neighbours: np.ndarray) -> list[float]:
+        """For each row of leaves of a neighbour (rows, trees), what a walk's leaves held when it came to one of them."""
+        of_leaf: dict[int, list[int]] = {}
+        for i, leaves in enumerate(neighbours.tolist()):
+            for leaf in leaves:
+                of_leaf.setdefault(leaf, []).append(i)
+        out, left, held = [math.inf] * len(neighbours), len(neighbours), 0.0
+        for leaf, n in self.walk(q):
+            if not left:
+                break
+            for i in of_leaf.get(leaf, ()):
+                if out[i] == math.inf:
+                    out[i], left = held, left - 1  # the leaf that has it is looked up while less than enough is held
+            held += n
+        return out
+
+    def walk(self, q: np.ndarray) -> Iterator[tuple[int, float]]:
+        """(leaf, vectors expected in it) of all trees, likeliest first."""
         projected = [[q @ level.directions for level in levels] for levels in self.trees]
         queue: list[tuple] = []
         count = 0
@@ -110,8 +142,9 @@ class Forest:
 
         for t in range(len(self.trees)):
             open_(t, 0, 0, 0.0)
-        found, held = ([], 0.0) if self.trees and self.trees[0] else ([t * self.leaves_a_tree for t in range(len(self.trees))], enough)
-        while queue and held < enough:
+        if not (self.trees and self.trees[0]):  # trees of one leaf: all of them, which together hold enough
+            yield from ((t * self.leaves_a_tree, 0.0) for t in range(len(self.trees)))
+        while queue:
             cost, _, t, depth, node, nth, base, costs, order = heapq.heappop(queue)
             if nth + 1 < len(order):
                 count += 1
@@ -120,9 +153,7 @@ class Forest:
             if depth + 1 < len(self.trees[t]):
                 open_(t, depth + 1, child, cost)
             elif (n := self.weights.get(t * self.leaves_a_tree + child, self.other)) > 0:
-                found.append(t * self.leaves_a_tree + child)
-                held += n
-        return found
+                yield t * self.leaves_a_tree + child, n
 
     def tasks(self, leaf: int) -> int:
         return math.ceil(max(self.weights.get(leaf, 0.0), 1.0) / CROWD)
@@ -246,7 +277,59 @@ class _Best:
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(ids.astype(np.int64)), pa.array(d.astype(np.float64))], names=["key", "vec_id", "score"])
 
 
-def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int = TREES, sample: int = SAMPLE, spread: float = SPREAD, breadth: float = BREADTH, seed: int = 0) -> DataFrame:
+def _nearest(classes: DataFrame, forest: Forest, asked: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+    """(row of `asked`, leaves of its k nearest vectors of the whole table but itself), compared exactly in one pass."""
+    square = np.einsum("ij,ij->i", asked, asked)
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d, x = np.empty((len(asked), 0)), np.empty((0, asked.shape[1]))
+        for b in batches:
+            there = _matrix(b["v"]).reshape(-1, asked.shape[1])
+            for at in range(0, len(there), CROWD):
+                part = there[at : at + CROWD]
+                far = square[:, None] - 2 * asked @ part.T + np.einsum("ij,ij->i", part, part)
+                far[(asked[:, None, 0] == part[None, :, 0]) & (far <= 1e-9 * square[:, None])] = np.inf  # itself
+                d, x = np.concatenate([d, far], axis=1), np.concatenate([x, part])
+                best = np.argpartition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k]
+                keep = np.unique(best)
+                d, x = d[:, keep], x[keep]
+        if d.shape[1]:
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            q, at = np.repeat(np.arange(len(asked)), best.shape[1]), best.ravel()
+            real = np.isfinite(d[q, at])
+            q, at = q[real], at[real]
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(d[q, at]), pa.array(list(forest.leaves(x[at])), pa.list_(pa.int64()))], names=["q", "d", "leaves"])
+
+    found = classes.select("v").mapInArrow(run, "q long, d double, leaves array<long>")
+    got = found.withColumn("n", F.expr("row_number() over (partition by q order by d, leaves)")).where(f"n <= {k}").collect()  # ASKED * k rows
+    of_query: dict[int, list] = {}
+    for row in got:
+        of_query.setdefault(row.q, []).append(row.leaves)
+    return [(q, np.array(leaves, dtype=np.int64)) for q, leaves in sorted(of_query.items())]
+
+
+def measured_breadth(classes: DataFrame, forest: Forest, asked: np.ndarray, k: int = K, recall: float = RECALL) -> float:
+    """How many vectors a query's leaves must hold to reach a share `recall` of the true neighbours of `asked`."""
+    near = _nearest(classes, forest, asked, k) if len(asked) else []
+    if not near:
+        return 0.0
+    spark = classes.sparkSession
+    rows = [(asked[q].tolist(), leaves.tolist()) for q, leaves in near]
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [h for q, leaves in zip(_matrix(b["v"]), b["leaves"].to_pylist(), strict=True) for h in forest.reached(q, np.array(leaves, dtype=np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.float64())], names=["held"])
+
+    walks = spark.createDataFrame(rows, "v array<double>, leaves array<array<long>>").repartition(len(rows)).mapInArrow(run, "held double")
+    held = sorted(r.held for r in walks.collect())  # ASKED * k numbers
+    finite = [h for h in held if h < math.inf]
+    return float(np.nextafter(finite[min(math.ceil(recall * len(held)), len(finite)) - 1], np.inf)) if finite else 0.0
+
+
+def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int = TREES, sample: int = SAMPLE, spread: float = SPREAD, breadth: float | None = None, seed: int = 0) -> DataFrame:
     """Nearest found of `vectors` (vec_id, embedding) for each row whose vec_id is divisible by `every`.
 
     Returns query_id, rank (from 1), vec_id, score: the k rows, but for the query's own, with the smallest
@@ -254,7 +337,8 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
     null, zero or with null or non-finite components take no part, nor those of another length than most of
     the sample has. Ids that repeat with equal vectors count once; an id that repeats with different vectors
     names them all, so its query asks from each of them, and a neighbour or query counts at its nearest. An
-    empty table, or one without queries, gives no rows; other columns are ignored.
+    empty table, or one without queries, gives no rows; other columns are ignored. A query's leaves hold `breadth`
+    times the square root of the table together; without it, as much as measuring asks for.
     """
     scratch = Scratch(vectors.sparkSession, "forest")
     rows = valid(vectors).distinct()
@@ -265,9 +349,12 @@ def search(vectors: DataFrame, k: int = K, every: int = QUERY_EVERY, trees: int
     points = np.array([x.as_py() for x, w in zip(taken, widths, strict=True) if w == dim], dtype=np.float64).reshape(-1, dim)
     classes = classes.where(F.size("v") == dim)
     total = classes.count()
-    forest = grow(points, total, trees, spread, seed)
+    asked = points[:ASKED]
+    forest = grow(points[len(asked) :] if total > sample else points, total, trees, spread, seed)
     # in a table of no more than 2 k vectors all are compared
-    enough = max(breadth * math.sqrt(total), 2.0 * k * trees)
+    enough = max((breadth or BREADTH) * math.sqrt(total), 2.0 * k * trees)
+    if breadth is None and total > 2 * k:
+        enough = max(enough, measured_breadth(classes, forest, asked, k))
     asking = rows.where(f"vec_id % {every} = 0 and size(v) = {dim}").select(F.col("vec_id").alias("query_id"), "v")
     asking = scratch.write(asking.withColumn("key", F.md5(F.array_join(F.col("v").cast("array<string>"), ",").cast("binary"))), "asking")
     queries = asking.dropDuplicates(["key"]).select("key", "v")
