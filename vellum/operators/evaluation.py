@@ -5,6 +5,7 @@ Corpora are never collected per author: words, features and n-grams are aggregat
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -88,19 +89,32 @@ def top_terms(counted: DataFrame, most: int = MAX_FEATURES) -> DataFrame:
 def ngram_similarity(texts: DataFrame, refs: DataFrame, features: int = MAX_FEATURES) -> DataFrame:
     """(id, ngram_similarity): TF-IDF cosine of a text and the author's corpus over their most frequent terms.
 
-    A term that the text lacks can be among them only if it is among the corpus' own most frequent, so only
-    those meet every text. Counts of the corpus are those of its texts, not across their borders.
+    A term that the text lacks can be among them only if it is among the corpus' own most frequent, and one that it has
+    only if it is as frequent as the last of those; so a text is a row of such terms of its own, beside one list for
+    each author. Counts of the corpus are those of its texts, not across their borders.
     """
-    ref = _grams(refs, "author").withColumnRenamed("n", "rn")
-    own = _grams(texts, "id", "author").withColumnRenamed("n", "gn")
-    each = by_author(texts.select("id", "author"), top_terms(ref, features), "id", how="inner").select("id", F.explode("top").alias("x"))
-    both = each.select("id", "x.term", "x.rn", F.lit(0).cast("long").alias("gn")).unionByName(own.join(ref, ["author", "term"], "left").select("id", "term", F.coalesce("rn", F.lit(0)).alias("rn"), "gn"))
-    merged = both.groupBy("id", "term").agg(F.max("rn").alias("rn"), F.max("gn").alias("gn"))
-    kept = merged.withColumn("k", F.row_number().over(W.partitionBy("id").orderBy((c("rn") + c("gn")).desc(), "term"))).where(c("k") <= features)
-    idf = F.log(F.lit(3.0) / (1 + (c("rn") > 0).cast("int") + (c("gn") > 0).cast("int"))) + 1
-    a, b = c("rn") * idf, c("gn") * idf
-    sums = kept.groupBy("id").agg(F.sum(a * b).alias("d"), F.sum(a * a).alias("x"), F.sum(b * b).alias("y"))
-    return texts.select("id").join(sums, "id", "left").select("id", F.coalesce(F.try_divide("d", F.sqrt(c("x") * c("y"))), F.lit(0.0)).alias("ngram_similarity"))
+    ref = _grams(refs.where("author is not null"), "author").where("term is not null").withColumnRenamed("n", "rn")
+    top = top_terms(ref, features)
+    least = top.select("author", F.when(F.size("top") >= features, F.element_at("top", -1)["rn"]).otherwise(F.lit(0)).alias("least"))
+    own = _grams(by_author(texts, least, "id", how="inner"), "id", "author", "least").withColumnRenamed("n", "gn")
+    placed = ref.join(top.select("author", F.posexplode("top").alias("pos", "x")).select("author", "x.term", "pos"), ["author", "term"], "left")
+    rn = F.coalesce("rn", F.lit(0))
+    some = own.join(placed, ["author", "term"], "left").where(rn + c("gn") >= c("least"))
+    term = lambda m, term, rn, gn: F.struct(m.alias("m"), term.alias("term"), rn.alias("rn"), gn.alias("gn"))
+    listed = some.groupBy("id", "author").agg(F.collect_list(term(-(rn + c("gn")), c("term"), rn, c("gn"))).alias("own"), F.collect_list("pos").alias("shared"))
+    both = by_author(listed, top, "id", how="inner")
+    # what exceeds `features` are the last `over` terms of both lists together: only so many of the corpus' are sorted with the text's
+    lacking = both.withColumn("lacks", F.array_except(F.sequence(F.lit(0), F.size("top") - 1), "shared"))
+    cut = lacking.withColumn("over", F.greatest(F.size("own") + F.size("lacks") - features, F.lit(0))).withColumn("sure", F.greatest(F.size("lacks") - c("over"), F.lit(0)))
+    rest = F.transform(F.slice("lacks", c("sure") + 1, c("over")), lambda i: term(-F.get("top", i)["rn"], F.get("top", i)["term"], F.get("top", i)["rn"], F.lit(0).cast("long")))
+    kept = F.slice(F.sort_array(F.concat("own", rest)), F.lit(1), F.size("own") + F.size("lacks") - c("sure") - c("over"))
+    alone = (math.log(1.5) + 1) ** 2
+    square = lambda n, other: n.cast("double") * n * F.when(other > 0, 1.0).otherwise(alone)
+    before = F.aggregate(F.slice("lacks", F.lit(1), c("sure")), F.lit(0.0), lambda a, i: a + square(F.get("top", i)["rn"], F.lit(0)))
+    zero = F.struct(F.lit(0.0).alias("d"), c("before").alias("x"), F.lit(0.0).alias("y"))
+    sums = F.aggregate("kept", zero, lambda a, t: F.struct((a["d"] + t["rn"].cast("double") * t["gn"]).alias("d"), (a["x"] + square(t["rn"], t["gn"])).alias("x"), (a["y"] + square(t["gn"], t["rn"])).alias("y")))
+    scored = cut.select("id", "author", kept.alias("kept"), before.alias("before")).select("id", "author", sums.alias("s")).select("id", "author", F.try_divide("s.d", F.sqrt(c("s.x") * c("s.y"))).alias("cosine"))
+    return texts.select("id", "author").join(scored, ["id", "author"], "left").select("id", F.coalesce("cosine", F.lit(0.0)).alias("ngram_similarity"))
 
 
 def style(texts: DataFrame, refs: DataFrame) -> DataFrame:
