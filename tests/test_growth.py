@@ -5,18 +5,22 @@ import random
 from collections import Counter
 
 from pyspark.sql import functions as F
-from vellum.operators import evaluation
+from vellum.operators import curation, evaluation
 
 
-def moved(spark, df):
-    """(rows of df, rows that its stages wrote to shuffles)."""
-    jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    stages = lambda: spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
-    written = lambda: (lambda all_: sum(all_.apply(i).shuffleWriteRecords() for i in range(all_.size())))(stages())
-    before = written()
-    rows = df.collect()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    return rows, written() - before
+def written(spark, run):
+    """(what `run` returns, rows that its stages wrote to shuffles, bytes that they wrote there)."""
+    jvm, gateway, sc = spark._jvm, spark.sparkContext._gateway, spark.sparkContext._jsc.sc()
+
+    def total():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        stages = sc.statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        each = [stages.apply(i) for i in range(stages.size())]
+        return {(x.stageId(), x.attemptId()): (x.shuffleWriteRecords(), x.shuffleWriteBytes()) for x in each}
+
+    before, out = total(), run()
+    new = [x for k, x in total().items() if k not in before]
+    return out, sum(r for r, _ in new), sum(b for _, b in new)
 
 
 def grams(text):
@@ -49,5 +53,26 @@ def test_ngrams_of_a_text_meet_the_corpus_without_a_row_for_each_frequent_term(s
             want = cosine(grams(text), corpora[author], features) if author in corpora and author is not None else 0.0
             assert abs(got[i] - want) < 1e-9, (features, i, author, text)
     many = spark.range(3000).select("id", F.lit("a0").alias("author"), F.lit("aa bb cc").alias("text"))
-    rows, records = moved(spark, evaluation.ngram_similarity(many, r))
+    rows, records, _ = written(spark, lambda: evaluation.ngram_similarity(many, r).collect())
     assert len(rows) == 3000 and records < 60_000
+
+
+def test_near_copies_are_compared_without_a_text_for_each_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"word{i}" for i in range(300)]
+    texts = [" ".join(rng.sample(base, len(base))) for _ in range(5)]  # one set of words
+    texts += [" ".join(w for w in base if rng.random() > 0.1) + f" own{i}" for i in range(200)]
+    texts += [" ".join(f"w{rng.randint(0, 400)}" for _ in range(60)) for _ in range(50)] + ["", None, "  \n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").repartition(7)
+    sets = [frozenset((t or "").split()) for t in texts]
+    similar = lambda x, y: len(x & y) / len(x | y) >= 0.8
+    linked = {i: [j for j in range(len(sets)) if j != i and (sets[i] == sets[j] or sets[i] and sets[j] and similar(sets[i], sets[j]))] for i in range(len(sets))}
+    first = [min(j for j in range(len(sets)) if sets[j] == x) for x in sets]
+    want = {i: (first[i], len(js), min({first[j] for j in js} - {i}, default=None)) for i, js in linked.items()}
+    for tile in (4096, 16):  # a cluster as one, and cut into tiles
+        monkeypatch.setattr(curation, "TILE", tile)
+        rows, _, size = written(spark, lambda: curation.near_duplicates(docs).collect())
+        assert {r.doc_id: (r.class_id, r.n_links, r.nearest_id) for r in rows} == want
+        if tile == 4096:
+            assert size < 8 * sum(len(t or "") for t in texts)
+    assert sum(map(len, linked.values())) > 20_000
