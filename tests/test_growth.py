@@ -7,7 +7,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import functions as F
 from vellum.functions import html
-from vellum.operators import curation, evaluation
+from vellum.operators import boundaries, curation, evaluation
 
 
 def written(spark, run):
@@ -85,3 +85,9 @@ def test_pages_become_strings_a_few_at_a_time():
     parts = list(html.text_of.func(iter([pa.array(pages), pa.array(pages[:1])])))
     assert max(map(len, parts)) <= html.SLICE
     assert [x.as_py() for p in parts for x in p] == ["a & b", "", ""] * 100 + ["a & b"]
+
+
+def test_texts_to_split_become_strings_a_few_at_a_time(spark):
+    of = boundaries.splitter(spark, boundaries.Model(frozenset(), frozenset(), frozenset()))
+    parts = list(of.func(iter([pa.array(["It is so. We go on.", None] * 150)])))
+    assert max(map(len, parts)) <= boundaries.SLICE and sum(map(len, parts)) == 300

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ c = F.col
 # fixed values: thresholds of the three ratios as published, and the likelihood of a period after an abbreviation
 ABBREVIATION, STARTER, COLLOCATION, SURE = 0.3, 30.0, 7.88, 0.99
 LIMIT = 1_000_000
+#: Texts that are Python strings at a time.
+SLICE = 64
 NUMBER = "##number##"
 _OPEN, _CLOSE = "\"'(\\[{“‘«„", "\"')\\]}”’»"
 _OUTER = f"^[{_OPEN}]+|[{_CLOSE}]+$"
@@ -156,9 +158,11 @@ def splitter(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """A function of a text column that gives its sentences; a null or blank text has none."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<string>")
-    def of(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held = shared.value
-        return texts.map(lambda t: split(t, held))
+        for texts in batches:
+            for at in range(0, len(texts), SLICE):  # a batch of Arrow has 10,000 texts: too many to be Python strings at once
+                yield pa.array([split(t, held) for t in texts.slice(at, SLICE).to_pylist()], pa.list_(pa.string()))
 
     return of
