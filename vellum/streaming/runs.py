@@ -23,15 +23,21 @@ PROGRESS = "query string, batch long, at string, rows long, rows_per_second doub
 #: The state store that processors with several state variables need.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Bytes of a row group of a landed file.
+GROUP = 8 << 20
+
 
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def land(parts: list[DataFrame], folder: str) -> None:
-    """Writes frames as files of `folder`, one frame after the other, so that a stream takes them up in this order."""
+    """Writes frames as files of `folder`, one frame after the other, so that a stream takes them up in this order.
+
+    A frame is read by all cores and only written by one; its file's row groups are so small that a trigger splits it.
+    """
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
+        part.repartition(1).write.mode("append").option("parquet.block.size", GROUP).parquet(folder)
 
 
 def read(spark: SparkSession, folder: str, schema: str | T.StructType, per_trigger: int = 1) -> DataFrame:
