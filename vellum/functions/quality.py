@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vellum.functions.base import let, strip
+from vellum.functions.base import let, n_words, strip
 from vellum.functions.chunks import sentences
 
 WORD = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
@@ -49,7 +49,11 @@ def _features(t: Column, w: Column, n: Column) -> Column:
 
 
 def readability(text: Column) -> Column:
-    return let(tokens(text), lambda w: let(sentences(text), lambda s: 1 / (1 + F.try_divide(F.size(w), F.size(s)) / 20 + F.coalesce(_mean(F.transform(w, F.length)), F.lit(0.0)) / 6)))
+    return let(tokens(text), lambda w: let(sentences(text), lambda s: _readability(w, s)))
+
+
+def _readability(w: Column, s: Column) -> Column:
+    return 1 / (1 + F.try_divide(F.size(w), F.size(s)) / 20 + F.coalesce(_mean(F.transform(w, F.length)), F.lit(0.0)) / 6)
 
 
 def coherence(text: Column) -> Column:
@@ -63,15 +67,18 @@ def coherence(text: Column) -> Column:
 
 
 def completeness(text: Column) -> Column:
+    return _completeness(text, tokens(text), sentences(text))
+
+
+def _completeness(text: Column, w: Column, s: Column) -> Column:
     end = F.when(strip(text).rlike(r"[.!?]$"), 1.0).otherwise(0.5)
-    return end * 0.4 + F.least(F.size(tokens(text)) / 50, F.lit(1.0)) * 0.4 + F.when(F.size(sentences(text)) >= 2, 1.0).otherwise(0.7) * 0.2
+    return end * 0.4 + F.least(F.size(w) / 50, F.lit(1.0)) * 0.4 + F.when(F.size(s) >= 2, 1.0).otherwise(0.7) * 0.2
 
 
-def grammar(text: Column) -> Column:
+def grammar(text: Column, parts: Column | None = None) -> Column:
     upper = F.when(text.rlike(r"\p{Lu}"), 0.3).otherwise(0.0)
     marks = F.when(text.rlike("[.,!?;:]"), 0.3).otherwise(0.0)
-    share = let(sentences(text), lambda s: F.size(F.filter(s, lambda x: x.rlike(r"^\p{Lu}"))) / F.size(s))
-    return upper + marks + share * 0.4
+    return upper + marks + let(sentences(text) if parts is None else parts, lambda s: F.size(F.filter(s, lambda x: x.rlike(r"^\p{Lu}"))) / F.size(s)) * 0.4
 
 
 def scores(text: Column) -> Column:
@@ -85,10 +92,11 @@ def ocr_rate(text: Column) -> Column:
     hits = F.lit(0)
     for p in OCR:
         hits = hits + F.regexp_count(text, F.lit(f"(?Ud){p}"))
-    return F.try_divide(hits, F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")))
+    return F.try_divide(hits, n_words(text))
 
 
 def quality_score(text: Column) -> Column:
     """Weighted score: few recognition faults .4, readability .3, completeness .2, form .1."""
     faulty = F.when(F.coalesce(ocr_rate(text), F.lit(0.0)) > 0.05, 1.0).otherwise(0.0)
-    return (1 - faulty) * 0.4 + readability(text) * 0.3 + completeness(text) * 0.2 + grammar(text) * 0.1
+    # words and sentences are found once for all scores
+    return let(tokens(text), lambda w: let(sentences(text), lambda s: (1 - faulty) * 0.4 + _readability(w, s) * 0.3 + _completeness(text, w, s) * 0.2 + grammar(text, s) * 0.1))

@@ -6,10 +6,12 @@ feeds only, and m where anchors stand for lines.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vellum.functions.base import first, let, lines, strip
+from vellum.functions.base import BLANK, first, let, lines, occurrences, strip
 
 # fixed values: replacements of mis-decoded sequences, in order; only the first matching form of a character counts
 ENCODING = [("â", "–"), ("Ã©", "é"), ("Ã", "À"), ("â¦", "…"), ("Â", " "), ("\x80\x9c", '"'), ("\x80\x9d", '"'), ("\x80\x94", "—"), ("\x80\x99", "'"), ("\x80\x93", "–"), ("\x80\x98", "'"), ("\x80\xa6", "…"), ("\x80\xa0", " ")]
@@ -34,6 +36,11 @@ MIN_BODY = {"conference_talk": 500, "short_remarks": 100, "liahona_article": 300
 SKIPPED = ["session_header", "table_of_contents", "contents_page", "invalid"]
 # how the patterns above that run from an opening to a closing text close, in their order; the others hold no such run
 TOC_CLOSING = [None, None, r"\w+\s*October \d{4} general conference", None, "Sunday Afternoon Session", r"\n[\nA-Z]", r"\n[\nA-Z]", r"\n\n[A-Z][a-z].*?\n", r"(?:Quorum|Presidency|Seventy|Bishopric)\s*$", None]
+# what texts hold that the patterns above match: one of these words; others aren't searched
+TOC_WORDS = [["Authenticating..."], [], ["Contents"], ["Saturday Morning SessionThe"], ["Sunday Afternoon SessionThe"], ["Contents"], ["Contents"], ["Contents"], ["Contents"], ["General Conference"], ["Contents"], ["general conference"]]
+TOC_REMOVED_WORDS = [["Authenticating..."], ["â"], ["general conference"], ["Contents"], ["Sunday Afternoon Session"], [" Session"], [" Session"], ["Session"], ["Quorum", "Presidency", "Seventy", "Bishopric"], [":"]]
+#: Lines that are looked at before all others, where the first of a kind is wanted.
+FEW = 40
 # fixed value: a first line that begins with a time
 STAMPED = r"^\d{1,2}:\d{2}[A-Za-z]"
 
@@ -57,8 +64,8 @@ def fix_scraper_encoding(text: Column) -> Column:
 
 def issue_count(text: Column) -> Column:
     total = F.lit(0)
-    for pattern, *_ in ISSUES:
-        total = total + F.regexp_count(text, F.lit(pattern))
+    for pattern, n in Counter(p for p, *_ in ISSUES).items():
+        total = total + occurrences(text, pattern) * n
     return total
 
 
@@ -82,27 +89,42 @@ def strip_stamp(title: Column) -> Column:
 def normalize_whitespace(text: Column) -> Column:
     once = F.regexp_replace(text, r"\n\s*\n\s*\n", "\n\n")
     bare = F.regexp_replace(once, r"(?m)[^\S\n]+$", "")
-    return F.regexp_replace(bare, r"^(?:[^\S\n]*\n)+|\s+$", "")
+    return F.rtrim(F.regexp_replace(bare, r"\A(?:[^\S\n]*\n)+", ""), F.lit(BLANK))
 
 
 def clean_artifacts(text: Column) -> Column:
     """Without standalone and session time stamps, repeats of the title in lines 3 to 10, and runs of dots."""
-    t = F.regexp_replace(text, r"(?md)^\d{1,2}:\d{2}\s*$", "")
-    t = F.regexp_replace(t, r"(?md)^\d{1,2}:\d{2}\s+(Session|Morning|Afternoon|Evening)\b.*$", "")
+
+    def untimed(t: Column) -> Column:
+        alone = F.regexp_replace(t, r"(?md)^\d{1,2}:\d{2}\s*$", "")
+        return F.when(t.rlike(r"(?md)^\d{1,2}:\d{2}\s"), F.regexp_replace(alone, r"(?md)^\d{1,2}:\d{2}\s+(Session|Morning|Afternoon|Evening)\b.*$", "")).when(t.rlike(r"(?md)^\d{1,2}:\d{2}$"), alone).otherwise(t)
 
     def deduped(ls: Column) -> Column:
         title = strip(F.get(ls, F.lit(0)))
         again = lambda x, i: F.when((i >= 2) & (i < 10) & (F.size(ls) > 2) & (strip(x) == title), "").otherwise(x)
         return F.array_join(F.transform(ls, again), "\n")
 
-    t = let(lines(t), deduped)
-    return F.regexp_replace(F.regexp_replace(t, "[â]{2,}", '"'), r"\.{4,}", "...")
+    t = let(lines(let(text, lambda t: F.when(~F.contains(t, F.lit(":")), t).otherwise(untimed(t)))), deduped)
+    held = lambda t, part, p, to: let(t, lambda x: F.when(~F.contains(x, F.lit(part)), x).otherwise(F.regexp_replace(x, p, to)))
+    return held(held(t, "ââ", "[â]{2,}", '"'), "....", r"\.{4,}", "...")
 
 
 def _any(patterns: list[str], x: Column) -> Column:
     return F.array_max(F.array(*[x.rlike(p) for p in patterns]))
 
 
+def _holds(x: Column, words: list[str]) -> Column:
+    out = F.contains(x, F.lit(words[0]))
+    for w in words[1:]:
+        out = out | F.contains(x, F.lit(w))
+    return out
+
+
+def _toc_signs(x: Column) -> list[Column]:
+    """Whether each pattern of TOC is found."""
+    return [_holds(x, w) & x.rlike(f"(?d){p}") if w else x.rlike(f"(?d){p}") for p, w in zip(TOC, TOC_WORDS, strict=True)]
+
+
 def _removed(text: Column, pattern: str, closing: str | None) -> Column:
     """`text` without the matches of a pattern, in time linear in its length.
 
@@ -110,15 +132,17 @@ def _removed(text: Column, pattern: str, closing: str | None) -> Column:
     opening behind it would be followed to the end of the text. What runs to a heading's end opens with a session, too,
     so it is searched up to where the last session closes.
     """
+    words = TOC_REMOVED_WORDS[TOC_REMOVED.index(pattern)]
+    lacks = lambda t: ~_holds(t, words)
     if closing is None:
-        return F.regexp_replace(text, f"(?ms){pattern}", "")
+        return let(text, lambda t: F.when(lacks(t), t).otherwise(F.regexp_replace(t, f"(?ms){pattern}", "")))
     head = lambda t, p: F.regexp_extract(t, rf"(?ms)\A.*{p}", 0)
 
     def cut(t: Column) -> Column:
         last = let(head(t, closing), lambda h: head(h, rf"Session\s*.*?{closing}")) if pattern.startswith("^.*?Session") else head(t, closing)
         return let(last, lambda h: F.when(h == "", t).otherwise(F.concat(F.regexp_replace(h, f"(?ms){pattern}", ""), F.substr(t, F.length(h) + 1))))
 
-    return let(text, cut)
+    return let(text, lambda t: F.when(lacks(t), t).otherwise(cut(t)))
 
 
 def clean_toc(text: Column, intent: bool = False) -> Column:
@@ -159,11 +183,11 @@ def process(text: Column) -> Column:
 def notes(text: Column) -> Column:
     """The notes, under the heading Notes; null if there are none."""
 
-    def after(name: str) -> Column:
-        rest = F.regexp_extract(text, rf"(?is)\n{name}?\s*\n(.*)$", 1)
-        return F.when(strip(rest) != "", F.concat(F.lit("Notes\n"), strip(rest)))
+    def after(low: Column, name: str) -> Column:
+        rest = strip(F.regexp_extract(text, rf"(?is)\n{name}?\s*\n(.*)$", 1))
+        return F.when(F.contains(low, F.lit(f"\n{name[:-1].lower()}")), let(rest, lambda r: F.when(r != "", F.concat(F.lit("Notes\n"), r))))
 
-    return F.coalesce(*[after(n) for n in ("Notes", "References", "Footnotes")])
+    return let(F.lower(text), lambda low: F.coalesce(*[after(low, n) for n in ("Notes", "References", "Footnotes")]))
 
 
 def body(text: Column) -> Column:
@@ -175,8 +199,9 @@ def body(text: Column) -> Column:
             meta = line.rlike("By |Elder |President |Bishop |Sister |Of the Quorum|Of the First|Of the Seventy|Of the Presiding") | line.rlike(r"^(April|October) \d{4}")
             return F.when((line != "") & ~((i < 5) & meta), i).otherwise(-1)
 
-        start = F.coalesce(first(F.filter(F.transform(ls, keeps), lambda i: i >= 0)), F.lit(0))
-        ends = F.filter(F.transform(ls, lambda x, i: F.when(strip(x).rlike("(?i)^notes?$"), i).otherwise(-1)), lambda i: i >= 0)
+        begins = lambda some: first(F.filter(F.transform(some, keeps), lambda i: i >= 0))
+        start = F.coalesce(begins(F.slice(ls, 1, FEW)), begins(ls), F.lit(0))
+        ends = F.filter(F.transform(ls, lambda x, i: F.when(F.contains(F.lower(x), F.lit("note")) & strip(x).rlike("(?i)^notes?$"), i).otherwise(-1)), lambda i: i >= 0)
         end = F.coalesce(F.element_at(F.when(F.size(ends) > 0, ends), -1), F.size(ls))
         return strip(F.array_join(F.slice(ls, start + 1, F.greatest(end - start, F.lit(0))), "\n"))
 
@@ -190,6 +215,7 @@ def split_notes(text: Column) -> Column:
         low = F.lower(t)
         at = F.length(t) - F.locate("seton", F.reverse(low)) - 4  # of the last occurrence, from 0
         has = F.contains(low, F.lit("notes")) & (at > 0)
+        # the mention of notes is looked for only where there are some
         return let(notes(t), lambda n: F.struct(F.when(n.isNotNull() & has, strip(F.substring(t, F.lit(1), at))).otherwise(body(t)).alias("body"), n.alias("notes")))
 
     return let(process(text), of)
@@ -214,12 +240,18 @@ def doc_type(text: Column, path: Column) -> Column:
     """One of nine types by file name, contents signs, author, title and long lines."""
     name = F.lower(F.substring_index(path, "/", -1))
     line = strip(F.substring_index(text, "\n", 1))
-    head = F.array_join(_head(text, 20), "\n")
-    author, n, titled = has_author(text), long_lines(text), F.length(line) > 5
-    toc = F.lit(0)
-    for p in TOC:
-        toc = toc + head.rlike(f"(?d){p}").cast("int")
-    pure = ~line.rlike(STAMPED) & (toc >= 2) & ~author & (n <= 3)
+    return let(F.struct(line.alias("line"), has_author(text).alias("author"), long_lines(text).alias("n")), lambda x: _typed(text, path, name, x["line"], x["author"], x["n"]))
+
+
+def _typed(text: Column, path: Column, name: Column, line: Column, author: Column, n: Column) -> Column:
+    def signs(head: Column) -> Column:
+        total = F.lit(0)
+        for x in _toc_signs(head):
+            total = total + x.cast("int")
+        return total
+
+    toc, titled = let(F.array_join(_head(text, 20), "\n"), signs), F.length(line) > 5
+    pure = ~line.rlike(STAMPED) & ~author & (n <= 3) & (toc >= 2)
     cites = F.size(F.filter(lines(text), lambda x: strip(x).rlike(r'^\d+\.|^See |^".*?"|^\w+\s+\d+:')))
     profile = text.rlike(r"Making Friends|By \w+ \w+\s*Church Magazines")
     liahona, conference = F.contains(path, F.lit("liahona")), F.contains(path, F.lit("general-conference"))
@@ -244,9 +276,10 @@ def structure(text: Column) -> Column:
     title, author, full = line != "", has_author(text), long_lines(text) > 3
     date = F.exists(_head(text, 30), lambda x: x.rlike(DATES[0]) | x.rlike(DATES[1]))
     note = F.exists(F.slice(lines(text), F.greatest(F.size(lines(text)) - 19, F.lit(1)), F.lit(20)), lambda x: x.rlike("Notes|notes"))
-    toc = _any([f"(?d){p}" for p in TOC], text)
+    toc = F.lit(False)
+    for x in _toc_signs(text):
+        toc = toc | x
     again = title & (((F.length(text) - F.length(F.replace(text, line))) / F.greatest(F.length(line), F.lit(1))) > 1)
-    found = issue_count(text)
     # fixed values: what is said of each issue
     said = F.array_compact(
         F.array(
@@ -256,7 +289,7 @@ def structure(text: Column) -> Column:
             F.when(~author, "Missing author information"),
             F.when(~date, "Missing date information"),
             F.when(~full, "Insufficient body content"),
-            F.when(found > 0, F.concat(F.lit("Found "), found.cast("string"), F.lit(" encoding issues"))),
+            let(issue_count(text), lambda n: F.when(n > 0, F.concat(F.lit("Found "), n.cast("string"), F.lit(" encoding issues")))),
         )
     )
     parts = {"has_title": title, "has_author": author, "has_date": date, "has_body": full, "has_notes": note, "toc_contamination": toc, "duplicate_title": again, "line_count": F.size(lines(text)), "issues": said}
@@ -318,7 +351,7 @@ def talk_title(text: Column) -> Column:
         skip = F.lower(line).rlike("authenticating|contents|session|april|october") | line.rlike("By |Elder |President |Bishop |Sister |Of the Quorum|Of the First|Of the Seventy")
         return ~skip & (F.length(line) > 3) & ~line.rlike(r"^\d+$")
 
-    return strip(first(F.filter(lines(text), shown)))
+    return let(lines(text), lambda ls: strip(F.coalesce(first(F.filter(F.slice(ls, 1, FEW), shown)), first(F.filter(ls, shown)))))
 
 
 def infer(author: Column, author_title: Column) -> Column:
@@ -438,7 +471,7 @@ def valid_output(text: Column, kind: Column) -> Column:
 def clean_content(text: Column) -> Column:
     """A text from its own start on: behind a time stamp, a block of contents, or up to its repeated title."""
     head = F.substring(text, 1, 1000)
-    dirty = _any([f"(?d){p}" for p in TOC], head)
+    dirty = let(head, lambda x: F.array_max(F.array(*_toc_signs(x))))
     line = F.substring_index(text, "\n", 1)
     stamped = strip(line).rlike(STAMPED)
     unstamped = F.concat(strip(F.regexp_replace(line, r"^\d{1,2}:\d{2}", "")), F.substring(text, F.length(line) + 1, F.length(text)))
