@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,23 @@ def test_budgets_are_kept_in_pieces(spark, tmp_path):
     assert [(r.content, r.token_count) for r in got] == [("abcd abcd.", 5), ("abcd abcdx.", 6), ("ab", 1)]
     with pytest.raises(ValueError, match="strategy"):
         subwords.chunk(docs, "x", "pages")
+
+
+@pytest.mark.parametrize("strategy", chunks.STRATEGIES)
+def test_a_word_is_looked_up_once_for_its_paragraph_and_sentence(strategy):
+    rng, seen = random.Random(8), []
+    size = lambda w: 1 + len(w) // 3
+    line = lambda n: " ".join(rng.choice(["a", "bcd", "efghi.", "é!", "jklmnopqr"]) for _ in range(n))
+    text = "\n".join(line(rng.choice([1, 5, 10, 60])) for _ in range(300))
+    made = subwords.cut(text.encode(), strategy, 40, 7, b"\n", lambda w: seen.append(w) or size(w))
+    assert [n for _, n in made] == [sum(map(size, x.split())) for x, _ in made]
+    words = text.encode().split()
+    assert len(made) > 100 and {*words} == {*b" ".join(x for x, _ in made).split()}
+    assert len(seen) <= (1 if strategy == "sentences" else 2) * len(words) + 8 * len(made)
+
+
+def test_a_long_word_is_cut_in_linear_time():
+    held = subwords.Vocabulary(["a", "b</w>"])
+    begin = time.time()
+    assert held.count("a" * 400_000 + "b") == 400_001
+    assert time.time() - begin < 3
