@@ -55,7 +55,7 @@ QUERIES = {
     "target_path": lambda s, d: _dated(s, d).select("page_id", "pos", ingest.target_path(F.lit("liahona"), c("year"), c("month"), html.file_name(html.slug(c("url")))).alias("path")),
     "html_strip_tags": lambda s, d: _pages(s, d).select("page_id", html.without_tags(c("html")).alias("text")),
     "html_article_text": lambda s, d: _pages(s, d).select("page_id", html.without_tags(html.article(c("html")), "\n").alias("text")),
-    "html_to_text": lambda s, d: _pages(s, d).select("page_id", html.text_of(c("html")).alias("text")).where("trim(text) <> ''"),
+    "html_to_text": lambda s, d: _pages(s, d).select("page_id", html.strict_text_of(c("html")).alias("text")).where("trim(text) <> ''"),
 }
 
 _HREF = """regexp_extract_all(html, '(?is)<a\\b[^>]*\\bhref="([^"]*)"', 1)"""
